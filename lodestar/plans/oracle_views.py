@@ -183,3 +183,53 @@ def with_views(body: str, *names: str) -> str:
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
+
+
+# ---- feature mart ---------------------------------------------------------------
+view("fm_bounds", [], """
+  SELECT CAST(TIMESTAMP '2001-07-15 12:00:00' + INTERVAL 9 HOUR AS DATE) AS event_date,
+         CAST(CAST(TIMESTAMP '2001-07-15 12:00:00' + INTERVAL 9 HOUR AS DATE) - INTERVAL 28 DAY AS TIMESTAMP) AS window_start""")
+
+view("fm_exploded", ["search_logs", "fm_bounds"], """
+  SELECT request_id, unnest(result_property_ids) AS property_id
+  FROM search_logs, fm_bounds
+  WHERE ts >= window_start AND ts <= TIMESTAMP '2001-07-15 12:00:00'""")
+
+view("fm_impressions", ["fm_exploded"], """
+  SELECT property_id, count(*) AS impression_count FROM fm_exploded GROUP BY property_id""")
+
+view("fm_actions", ["feedback_events", "fm_bounds"], """
+  SELECT property_id, count_if(action = 'click') AS click_count, count_if(action = 'favorite') AS favorite_count,
+         count_if(action = 'inquiry') AS inquiry_count
+  FROM feedback_events, fm_bounds
+  WHERE ts >= window_start AND ts <= TIMESTAMP '2001-07-15 12:00:00'
+  GROUP BY property_id""")
+
+view("cleaned", ["properties"], """
+  SELECT property_id, title, description, city, ward, coalesce(rent, 0) AS rent,
+         coalesce(management_fee, 0) AS management_fee, layout, CAST(area_m2 AS DOUBLE) AS area_m2,
+         greatest(coalesce(age_years, 0), 0) AS age_years, greatest(coalesce(walk_min, 0), 0) AS walk_min,
+         coalesce(pet_ok, FALSE) AS pet_ok, created_at, updated_at
+  FROM properties WHERE property_id IS NOT NULL""")
+
+_FM = """
+  SELECT event_date, property_id, rent, walk_min, age_years, area_m2, ctr, fav_rate, inquiry_rate,
+         0.4 * coalesce(ctr, 0) + 0.2 * coalesce(fav_rate, 0) + 0.2 * coalesce(inquiry_rate, 0) AS popularity_score,
+         impression_count, click_count, favorite_count, inquiry_count
+  FROM (
+    SELECT b.event_date, c.property_id, c.rent, c.walk_min, c.age_years, c.area_m2,
+           CASE WHEN i.impression_count = 0 THEN NULL ELSE CAST(a.click_count AS DOUBLE) / i.impression_count END AS ctr,
+           CASE WHEN i.impression_count = 0 THEN NULL ELSE CAST(a.favorite_count AS DOUBLE) / i.impression_count END AS fav_rate,
+           CASE WHEN i.impression_count = 0 THEN NULL ELSE CAST(a.inquiry_count AS DOUBLE) / i.impression_count END AS inquiry_rate,
+           i.impression_count, a.click_count, a.favorite_count, a.inquiry_count
+    FROM ({src}) c CROSS JOIN fm_bounds b
+    LEFT JOIN fm_impressions i ON i.property_id = c.property_id
+    LEFT JOIN fm_actions a ON a.property_id = c.property_id)"""
+
+view("feature_mart", ["listings", "fm_bounds", "fm_impressions", "fm_actions"], _FM.format(src="""
+      SELECT property_id, coalesce(rent, 0) AS rent, greatest(coalesce(walk_min, 0), 0) AS walk_min,
+             greatest(coalesce(age_years, 0), 0) AS age_years, CAST(area_m2 AS DOUBLE) AS area_m2
+      FROM listings WHERE property_id IS NOT NULL"""))
+
+view("feature_mart_raw", ["listings", "fm_bounds", "fm_impressions", "fm_actions"], _FM.format(src="""
+      SELECT property_id, rent, walk_min, age_years, CAST(area_m2 AS DOUBLE) AS area_m2 FROM listings"""))
