@@ -100,6 +100,9 @@ def coerce_param(value: Column) -> Column:
 
 def latency_bucket(ms: Column, buckets: int = 24) -> Column:
     """Exponential bucket (growth 2, scale 1): 0 underflow, 1..buckets finite, buckets+1 overflow."""
+    e = F.floor(F.log2(ms))
+    # log2 may be off by one ulp at exact powers of two: correct with exact powers
+    e = F.when(F.pow(F.lit(2.0), e + 1) <= ms, e + 1).when(F.pow(F.lit(2.0), e) > ms, e - 1).otherwise(e)
     return (F.when(ms < 1, F.lit(0))
-            .otherwise(F.least(F.floor(F.log2(ms)) + 1, F.lit(buckets + 1)))
+            .otherwise(F.least(e + 1, F.lit(buckets + 1)))
             .cast("bigint"))
