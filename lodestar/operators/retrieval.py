@@ -34,9 +34,11 @@ MAX_BROADCAST_QUERY_BYTES = 64 * 1024 * 1024
 
 
 def search_documents(cleaned: DataFrame) -> DataFrame:
-    """SRC-04: filterable {rent, walk_min, age_years, layout, pet_ok}, searchable {title, description, layout}."""
+    """SRC-04: filterable {rent, walk_min, age_years, layout, pet_ok}, searchable {title, description, layout}.
+
+    area_m2 rides along for candidate enrichment."""
     return cleaned.select(
-        "property_id", "title", "description", "layout", "rent", "walk_min", "age_years", "pet_ok",
+        "property_id", "title", "description", "layout", "rent", "walk_min", "age_years", "pet_ok", "area_m2",
         F.concat_ws(" ", "title", "description", "layout").alias("searchable_text"))
 
 
@@ -86,11 +88,12 @@ def facet_filter(candidates: DataFrame, listings: DataFrame, queries: DataFrame)
     Left join to listings: a candidate without a listing survives only when
     its query sets no filter.
     """
-    facets = listings.select("property_id", "rent", "layout", "walk_min", "pet_ok", "age_years")
-    f = normalize_filters(queries).select("query_id", *FILTER_COLUMNS)
+    lcols = ["rent", "layout", "walk_min", "pet_ok", "age_years"]
+    facets = listings.select("property_id", *[F.col(c).alias(f"_l_{c}") for c in lcols])
+    f = normalize_filters(queries).select("query_id", *[F.col(c).alias(f"_q_{c}") for c in FILTER_COLUMNS])
     j = candidates.join(facets, "property_id", "left").join(f, "query_id", "left")
-    return j.filter(facet_predicate()).drop("rent", "layout", "walk_min", "pet_ok", "age_years",
-                                            *FILTER_COLUMNS)
+    return j.filter(facet_predicate("_l_", "_q_")).drop(*[f"_l_{c}" for c in lcols],
+                                                         *[f"_q_{c}" for c in FILTER_COLUMNS])
 
 
 # ---------------------------------------------------------------- BM25 (RET-01)

@@ -233,3 +233,100 @@ view("feature_mart", ["listings", "fm_bounds", "fm_impressions", "fm_actions"],
 
 view("feature_mart_raw", ["listings", "fm_bounds", "fm_impressions", "fm_actions"], _FM.format(src="""
       SELECT property_id, rent, walk_min, age_years, CAST(area_m2 AS DOUBLE) AS area_m2 FROM listings"""))
+
+
+# ---- retrieval ----------------------------------------------------------------------
+D = "CAST({} AS DOUBLE)".format
+_FACETS = """coalesce((q.max_rent IS NULL OR d.rent <= q.max_rent) AND (q.layout IS NULL OR d.layout = q.layout)
+          AND (q.max_walk_min IS NULL OR d.walk_min <= q.max_walk_min) AND (q.pet_ok IS NULL OR d.pet_ok = q.pet_ok)
+          AND (q.max_age IS NULL OR d.age_years <= q.max_age), FALSE)"""
+TOKEN_RE = "'[a-z0-9à-ÿ]+'"
+
+view("docs", ["cleaned"], """
+  SELECT property_id, rent, layout, walk_min, pet_ok, age_years, area_m2,
+         concat_ws(' ', title, description, layout) AS searchable_text FROM cleaned""")
+
+view("doc_tokens", ["docs"], f"""
+  SELECT property_id, regexp_extract_all(lower(searchable_text), {TOKEN_RE}) AS tokens FROM docs""")
+
+view("q_terms", ["text_queries"], f"""
+  SELECT DISTINCT query_id, term FROM (
+    SELECT query_id, unnest(regexp_extract_all(lower(query_text), {TOKEN_RE})) AS term FROM text_queries)""")
+
+view("bm25_tf", ["doc_tokens", "q_terms"], """
+  SELECT property_id, dl, term, count(*) AS tf
+  FROM (SELECT property_id, len(tokens) AS dl, unnest(tokens) AS term FROM doc_tokens)
+  WHERE term IN (SELECT term FROM q_terms)
+  GROUP BY property_id, dl, term""")
+
+view("bm25_scores", ["bm25_tf", "doc_tokens", "q_terms"], f"""
+  SELECT q.query_id, t.property_id,
+         sum(ln({D(1)} + ({D('s.n')} - d.df + {D(0.5)}) / (d.df + {D(0.5)})) * t.tf * {D(2.2)}
+             / (t.tf + {D(1.2)} * ({D(0.25)} + {D(0.75)} * t.dl / s.avgdl))) AS bm25
+  FROM bm25_tf t
+  JOIN (SELECT term, count(*) AS df FROM bm25_tf GROUP BY term) d ON d.term = t.term
+  JOIN q_terms q ON q.term = t.term
+  CROSS JOIN (SELECT count(*) AS n, avg(len(tokens)) AS avgdl FROM doc_tokens) s
+  GROUP BY q.query_id, t.property_id""")
+
+view("facet_pass", ["bm25_scores", "docs", "text_queries"], f"""
+  SELECT s.query_id, s.property_id, s.bm25
+  FROM bm25_scores s LEFT JOIN docs d ON d.property_id = s.property_id
+  JOIN text_queries q ON q.query_id = s.query_id
+  WHERE {_FACETS}""")
+
+view("lexical", ["facet_pass"], """
+  SELECT * FROM (
+    SELECT query_id, property_id, bm25,
+           CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(bm25, 9) DESC, property_id) AS BIGINT) AS lexical_rank
+    FROM facet_pass)
+  WHERE lexical_rank <= 200""")
+
+view("vec_dist", ["query_vectors"], """
+  SELECT q.query_id, 'P' || CAST(e.vec_id AS VARCHAR) AS property_id,
+         1 - list_dot_product(q.query_vector, CAST(e.embedding AS DOUBLE[]))
+             / (sqrt(list_dot_product(q.query_vector, q.query_vector))
+                * sqrt(list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])))) AS cosine_distance
+  FROM query_vectors q CROSS JOIN embeddings e""")
+
+view("vec_top", ["vec_dist"], """
+  SELECT query_id, property_id, cosine_distance FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(cosine_distance, 9), property_id) AS r FROM vec_dist)
+  WHERE r <= 200""")
+
+view("semantic", ["vec_top", "docs", "text_queries"], f"""
+  SELECT v.query_id, v.property_id, v.cosine_distance,
+         CAST(row_number() OVER (PARTITION BY v.query_id ORDER BY round(v.cosine_distance, 9), v.property_id) AS BIGINT) AS semantic_rank,
+         1 - v.cosine_distance AS me5_score
+  FROM vec_top v LEFT JOIN docs d ON d.property_id = v.property_id
+  JOIN text_queries q ON q.query_id = v.query_id
+  WHERE {_FACETS}""")
+
+view("merged", ["lexical", "semantic"], """
+  SELECT coalesce(l.query_id, s.query_id) AS query_id, coalesce(l.property_id, s.property_id) AS property_id,
+         l.lexical_rank, s.semantic_rank, s.me5_score
+  FROM lexical l FULL OUTER JOIN semantic s ON l.query_id = s.query_id AND l.property_id = s.property_id""")
+
+view("fused", ["merged", "text_queries"], """
+  SELECT f.* FROM (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY rrf_score DESC, lexical_rank ASC NULLS LAST,
+                                      semantic_rank ASC NULLS LAST) AS BIGINT) AS rrf_rank
+    FROM (SELECT *, coalesce(CAST(1 AS DOUBLE) / (60 + lexical_rank), 0) + coalesce(CAST(1 AS DOUBLE) / (60 + semantic_rank), 0) AS rrf_score
+          FROM merged)) f
+  LEFT JOIN text_queries q ON q.query_id = f.query_id
+  WHERE f.rrf_rank <= greatest(coalesce(q.top_k, 0), 100)""")
+
+view("enriched", ["fused", "docs", "feature_mart"], """
+  SELECT f.query_id, f.property_id, f.rrf_rank, f.rrf_score,
+         CAST(coalesce(f.lexical_rank, 10000) AS BIGINT) AS lexical_rank,
+         CAST(coalesce(f.semantic_rank, 10000) AS BIGINT) AS semantic_rank,
+         coalesce(f.me5_score, 0) AS me5_score,
+         d.rent, d.walk_min, d.age_years, d.area_m2, m.ctr, m.fav_rate, m.inquiry_rate
+  FROM fused f LEFT JOIN docs d ON d.property_id = f.property_id
+  LEFT JOIN (SELECT * FROM feature_mart WHERE event_date = (SELECT max(event_date) FROM feature_mart)) m
+    ON m.property_id = f.property_id""")
+
+view("scored", ["enriched"], f"""
+  SELECT e.*, round(((({D(0)} + {D(0.5)} * coalesce(ctr, 0)) + {D(1.0)} * me5_score)
+                 + {D(-0.001)} * {D('lexical_rank')}) + {D(-0.0005)} * {D('semantic_rank')}, 9) AS score
+  FROM enriched e""")

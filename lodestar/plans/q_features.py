@@ -53,7 +53,7 @@ def q_scan_property_text(spark, d):
 
 
 @query("search_documents", """
-SELECT property_id, title, description, layout, rent, walk_min, age_years, pet_ok,
+SELECT property_id, title, description, layout, rent, walk_min, age_years, pet_ok, area_m2,
        concat_ws(' ', title, description, layout) AS searchable_text
 FROM cleaned""", ("cleaned",))
 def q_search_documents(spark, d):

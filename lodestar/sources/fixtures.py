@@ -284,3 +284,9 @@ def property_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(MODEL_NAME).alias("model_name"),
         ts_lit(EMBEDDED_AT).alias("generated_at"),
     )
+
+
+def embedding_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vector corpus (property_id, embedding as double array) straight from ``embeddings``."""
+    return read(spark, sf_dir, "embeddings").select(
+        _pid(F.col("vec_id")).alias("property_id"), F.col("embedding").cast("array<double>").alias("embedding"))
