@@ -330,3 +330,15 @@ view("scored", ["enriched"], f"""
   SELECT e.*, round(((({D(0)} + {D(0.5)} * coalesce(ctr, 0)) + {D(1.0)} * me5_score)
                  + {D(-0.001)} * {D('lexical_rank')}) + {D(-0.0005)} * {D('semantic_rank')}, 9) AS score
   FROM enriched e""")
+
+
+# ---- embeddings ----------------------------------------------------------------------
+view("text_hashes", ["properties"], """
+  SELECT property_id, sha256('e5-base' || chr(31) || regexp_replace(
+           coalesce(title, '') || '。' || coalesce(description, ''), '^\\s+|\\s+$', '', 'g')) AS text_hash
+  FROM properties WHERE title IS NOT NULL""")
+
+view("changed", ["text_hashes", "property_embeddings"], """
+  SELECT t.property_id, t.text_hash FROM text_hashes t
+  LEFT JOIN property_embeddings e ON e.property_id = t.property_id
+  WHERE e.text_hash IS DISTINCT FROM t.text_hash""")
