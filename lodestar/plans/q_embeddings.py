@@ -84,3 +84,12 @@ def q_batch_predict(spark, d):
     enc = emb.batch_predict_embeddings(rows, emb.hashing_encoder(DIM))
     return enc.select("query_id", F.size("embedding").alias("dim"),
                       F.round(l2_norm(F.col("embedding")), 6).alias("norm"))
+
+
+@query("encode_queries", """
+SELECT query_id, CAST(64 AS INTEGER) AS dim, CAST(1.0 AS DOUBLE) AS norm FROM text_queries""", ("text_queries",))
+def q_encode_queries(spark, d):
+    """EMB-02 (query side): 'query: ' prefix once, then the encoder."""
+    enc = emb.encode_queries(fx.text_queries(spark, d), emb.hashing_encoder(DIM))
+    return enc.select("query_id", F.size("query_vector").alias("dim"),
+                      F.round(l2_norm(F.col("query_vector")), 6).alias("norm"))

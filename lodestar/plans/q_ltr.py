@@ -19,7 +19,7 @@ WIN90 = ("ts >= TIMESTAMP '2001-07-15 12:00:00' - INTERVAL 90 DAY AND ts <= TIME
 def _per_request_sql(score: str, tie: str, cols: str) -> str:
     return f"""
 WITH lab AS ({LABEL_SQL.format(where='')}),
-fr AS (SELECT r.request_id, r.lexical_rank, r.score, coalesce(l.label, 0) AS label
+fr AS (SELECT r.request_id, r.lexical_rank, r.score, r.me5_score, coalesce(l.label, 0) AS label
        FROM ranking_log r LEFT JOIN lab l ON l.request_id = r.request_id AND l.property_id = r.property_id),
 pos AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY {score} DESC, {tie}) AS p,
                row_number() OVER (PARTITION BY request_id ORDER BY label DESC) AS ip,
@@ -198,3 +198,35 @@ def q_request_count(spark, d):
        ("ranking_log", "feedback_events"))
 def q_training_order(spark, d):
     return ltr.training_order(frame(spark, d)).select("request_id", "property_id", "label")
+
+
+@query("eval_mean", _per_request_sql("me5_score", "lexical_rank", EVAL_COLS), ("ranking_log", "feedback_events"))
+def q_eval_mean(spark, d):
+    """AGG-15: mean NDCG@10 / MAP / Recall@20 of the pools ordered by the semantic score."""
+    r = fx.ranking_log(spark, d).select("request_id", "property_id", "lexical_rank", "me5_score")
+    f = ltr.label_left_join(r, ltr.strongest_label(fx.feedback_events(spark, d)))
+    return ltr.evaluate(ltr.per_request_metrics(f, F.col("me5_score"), F.col("lexical_rank")))
+
+
+@query("fresh_features_join", FRAME_SQL + """
+SELECT request_id, property_id FROM frame
+WHERE property_id IN (SELECT property_id FROM feature_mart WHERE event_date = (SELECT max(event_date) FROM feature_mart))""",
+       ("ranking_log", "feedback_events", "feature_mart"))
+def q_fresh_features(spark, d):
+    """JOIN-10: training rows whose listing is in the latest feature snapshot (semi join, no fan-out)."""
+    from lodestar.operators.features import latest_partition
+    from lodestar.plans.q_features import mart
+    snap = latest_partition(mart(spark, d)).select("property_id")
+    return frame(spark, d).join(snap, "property_id", "left_semi").select("request_id", "property_id")
+
+
+@query("feedback_seed", """
+WITH top AS (SELECT request_id, property_id FROM ranking_log WHERE final_rank = 1 ORDER BY ts, request_id LIMIT 1)
+SELECT top.request_id, top.property_id, a.action
+FROM top CROSS JOIN (VALUES ('click'), ('favorite'), ('inquiry')) a(action)""", ("ranking_log",))
+def q_feedback_seed(spark, d):
+    """SRC-08: one bootstrap feedback row per action on the top result of the first answered query."""
+    r = fx.ranking_log(spark, d).filter(F.col("final_rank") == 1)
+    first = r.agg(F.min_by(F.struct("request_id", "property_id"), F.struct("ts", "request_id")).alias("t"))
+    return first.select("t.request_id", "t.property_id",
+                        F.explode(F.array(*[F.lit(a) for a in ("click", "favorite", "inquiry")])).alias("action"))

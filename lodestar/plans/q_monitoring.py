@@ -355,3 +355,36 @@ WHERE len(embedding) <> 64 OR abs(sqrt(list_sum(list_transform(embedding, lambda
 def q_vector_contract(spark, d):
     bad = quality.vector_contract(fx.property_embeddings(spark, d), 64)
     return bad.select("property_id", "dim")
+
+
+@query("skew_join", f"""
+WITH t AS (SELECT feature_name, avg(value) AS mean FROM {_unpivot_sql(MART_D + f" WHERE event_date BETWEEN {RD} - 90 AND {RD}")} GROUP BY 1),
+s AS (SELECT feature_name, avg(value) AS mean FROM {_unpivot_sql(LOG_D + f" WHERE ts >= {A} - INTERVAL 24 HOUR AND ts <= {A}")} GROUP BY 1)
+SELECT t.feature_name, round(t.mean, 6) AS train_mean, round(s.mean, 6) AS serve_mean
+FROM t JOIN s ON s.feature_name = t.feature_name""", ("feature_mart", "ranking_log"))
+def q_skew_join(spark, d):
+    """JOIN-08: training stats inner join serving stats on feature_name (one-sided features vanish)."""
+    t = mon.feature_moments(mon.unpivot_features(mon.training_side(mart(spark, d), fx.AS_OF)))
+    s = mon.feature_moments(mon.unpivot_features(mon.serving_side(fx.ranking_log(spark, d), fx.AS_OF)))
+    return t.select("feature_name", F.round("mean", 6).alias("train_mean")).join(
+        s.select("feature_name", F.round("mean", 6).alias("serve_mean")), "feature_name")
+
+
+@query("append_run", """
+SELECT 'run-' || CAST(o_orderkey AS VARCHAR) AS run_id, round(CAST(0.5 AS DOUBLE) + CAST(o_orderkey % 400 AS DOUBLE) / 1000, 6) AS ndcg_at_10,
+       CAST(NULL AS DOUBLE) AS recall_at_20, CAST(NULL AS BIGINT) AS num_leaves, CAST(0.05 AS DOUBLE) AS learning_rate
+FROM orders WHERE o_orderkey % 50 = 0""")
+def q_append_run(spark, d):
+    """SNK-04: run rows with partial metric/hyperparameter keys; missing keys are null; read back."""
+    from lodestar.operators import sinks
+    from lodestar.plans.q_features import _sink_dir
+    runs = fx.training_runs(spark, d).select("run_id", "started_at", "finished_at", "model_path",
+                                             F.col("metrics.ndcg_at_10").alias("ndcg_at_10"),
+                                             F.col("hyperparams.learning_rate").alias("learning_rate"))
+    path = _sink_dir(spark, "training_runs")
+    sinks.append_run(runs, path)
+    back = spark.read.parquet(path)
+    return back.select("run_id", F.round("metrics.ndcg_at_10", 6).alias("ndcg_at_10"),
+                       F.col("metrics.recall_at_20").alias("recall_at_20"),
+                       F.col("hyperparams.num_leaves").alias("num_leaves"),
+                       F.col("hyperparams.learning_rate").alias("learning_rate"))
