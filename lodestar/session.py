@@ -29,7 +29,6 @@ def get_spark(master: str | None = None, app: str = "lodestar",
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("LODESTAR_DRIVER_MEMORY", "16g"))
-        .config("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -64,23 +64,38 @@ def to_message(df: DataFrame, extra: dict[str, Column] | None = None) -> DataFra
     return df.select(F.to_json(F.struct(*cols), JSON_OPTIONS).alias("value"))
 
 
-def parse(raw: DataFrame, schema: T.StructType, value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """(typed rows, quarantined raw rows). Unknown fields are dropped by the schema."""
+# required (non-null) fields per message type; a message missing one is quarantined
+REQUIRED = {
+    "ranking_log": ["request_id", "ts", "property_id", "lexical_rank"],
+    "feedback": ["request_id", "property_id", "action", "ts"],
+    "alert": ["alert_time"],
+}
+
+
+def parse(raw: DataFrame, schema: T.StructType, value: str = "value",
+          required: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(typed rows, quarantined raw rows). Unknown fields are dropped by the schema;
+    malformed JSON or a missing required field sends the raw message to quarantine."""
+    req = required if required is not None else [f.name for f in schema.fields]
     p = raw.withColumn("_m", F.from_json(F.col(value), schema, JSON_OPTIONS))
-    ok = p.filter(F.col("_m").isNotNull()).select("_m.*")
-    bad = p.filter(F.col("_m").isNull()).select(F.col(value).alias("raw"))
+    ok_cond = F.col("_m").isNotNull()
+    for c in req:
+        ok_cond = ok_cond & F.col(f"_m.{c}").isNotNull()
+    p = p.withColumn("_ok", F.coalesce(ok_cond, F.lit(False)))
+    ok = p.filter(F.col("_ok")).select("_m.*")
+    bad = p.filter(~F.col("_ok")).select(F.col(value).alias("raw"))
     return ok, bad
 
 
 def ranking_log_rows(raw: DataFrame) -> DataFrame:
     """STR-01: nested JSON candidate rows -> typed ranking_log rows."""
-    return parse(raw, RANKING_LOG_T)[0]
+    return parse(raw, RANKING_LOG_T, required=REQUIRED["ranking_log"])[0]
 
 
 def feedback_rows(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """STR-02: JSON feedback -> (valid rows, rejected rows) by the action whitelist (VAL-02)."""
     from lodestar.operators.quality import split_feedback
-    rows, _ = parse(raw, FEEDBACK_T)
+    rows, _ = parse(raw, FEEDBACK_T, required=REQUIRED["feedback"])
     return split_feedback(rows)
 
 
@@ -111,7 +126,9 @@ def trigger_events(raw: DataFrame, defaults: dict[str, str] | None = None,
               .otherwise(F.lit("scheduler")))
     base = F.create_map(*[x for k, v in dflt.items() for x in (F.lit(k), F.lit(v))]) if dflt else \
         F.create_map().cast("map<string,string>")
-    params = F.map_concat(base, F.coalesce(F.col("_m.parameters"), F.create_map().cast("map<string,string>")))
+    given = F.coalesce(F.col("_m.parameters"), F.create_map().cast("map<string,string>"))
+    # event parameters win over defaults (no reliance on the session's map-key dedup policy)
+    params = F.map_concat(F.map_filter(base, lambda k, v: ~F.array_contains(F.map_keys(given), k)), given)
     tuning = F.coalesce(F.lower(params["enable_tuning"]).try_cast("boolean"), source == "monitoring")
     return m.select(*[c for c in raw.columns if c != "data"], source.alias("source"),
                     tuning.alias("enable_tuning"), params.alias("parameters"),
