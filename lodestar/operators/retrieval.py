@@ -103,7 +103,10 @@ def bm25_scores(docs: DataFrame, queries: DataFrame, k1: float = BM25_K1, b: flo
     idf = ln(1 + (N - df + 0.5) / (df + 0.5)); term score = idf * tf * (k1 + 1) /
     (tf + k1 * (1 - b + b * dl / avgdl)); query terms are a set.
     """
-    toks = docs.select("property_id", tokenize(F.col("searchable_text")).alias("tokens"))
+    from pyspark import StorageLevel
+    # tokenised once: the corpus size, the mean length and the postings all read it
+    toks = docs.select("property_id", tokenize(F.col("searchable_text")).alias("tokens")) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     n_docs = toks.agg(F.count(F.lit(1))).scalar()
     avgdl = toks.agg(F.avg(F.size("tokens"))).scalar()
     qterms = queries.select("query_id", F.explode(F.array_distinct(tokenize(F.col("query_text")))).alias("term"))

@@ -58,7 +58,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw listings with their description text (``part`` left join ``documents``)."""
-    docs = read(spark, sf_dir, "documents").select(
+    docs = read(spark, sf_dir, "documents", spread=True).select(
         F.col("doc_id").alias("p_partkey"), F.col("text").alias("description"))
     return listings(spark, sf_dir).join(docs, "p_partkey", "left").select(
         "property_id", "title", "description", "city", "ward", "rent", "management_fee",
@@ -288,5 +288,5 @@ def property_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def embedding_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vector corpus (property_id, embedding as double array) straight from ``embeddings``."""
-    return read(spark, sf_dir, "embeddings").select(
+    return read(spark, sf_dir, "embeddings", spread=True).select(
         _pid(F.col("vec_id")).alias("property_id"), F.col("embedding").cast("array<double>").alias("embedding"))
