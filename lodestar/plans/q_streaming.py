@@ -194,3 +194,38 @@ def q_retrain_trigger(spark, d):
     m = so.retrain_trigger_messages(dec)
     parsed = F.from_json("message", "source string, reasons array<string>")
     return m.select(parsed["source"].alias("source"), F.array_join(parsed["reasons"], ";").alias("reasons"))
+
+
+@query("feedback_attribution_stream", """
+SELECT r.request_id, r.property_id, r.final_rank, f.action
+FROM ranking_log r LEFT JOIN feedback_events f
+  ON f.request_id = r.request_id AND f.property_id = r.property_id AND f.ts >= r.ts AND f.ts <= r.ts + INTERVAL 1 DAY""",
+       ("ranking_log", "feedback_events"))
+def q_attribution_stream(spark, d):
+    """JOIN-14: the stream-stream form. Both logs are replayed as file streams with 2-day
+    watermarks; a final flush record moves the watermark so unmatched candidates are emitted."""
+    base = _sink_dir(spark, "attribution_stream")
+    rl = fx.ranking_log(spark, d).select("request_id", "property_id", "ts", "final_rank")
+    fb = fx.feedback_events(spark, d)
+    flush = F.lit("2100-01-01 00:00:00").cast("timestamp_ntz")
+    rl.write.mode("errorifexists").parquet(f"{base}/rl/part=0")
+    fb.write.mode("errorifexists").parquet(f"{base}/fb/part=0")
+    rs = so.event_time(spark.readStream.schema(rl.schema).parquet(f"{base}/rl/*")).withWatermark("ts", "2 days")
+    fs = so.event_time(spark.readStream.schema(fb.schema).parquet(f"{base}/fb/*")).withWatermark("ts", "2 days")
+    out = so.feedback_attribution(rs, fs).select("request_id", "property_id", "final_rank", "action")
+    q = (out.writeStream.format("parquet").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/ckpt").outputMode("append").start())
+    q.processAllAvailable()
+    # flush records in a later micro-batch advance both watermarks past every real row
+    spark.range(1).select(F.lit("FLUSH").alias("request_id"), F.lit("FLUSH").alias("property_id"),
+                          flush.alias("ts"), F.lit(0).cast("bigint").alias("final_rank")) \
+        .write.parquet(f"{base}/rl/part=1")
+    spark.range(1).select(F.lit("FLUSH").alias("request_id"), F.lit("FLUSH").alias("property_id"),
+                          F.lit("flush").alias("action"), flush.alias("ts")).write.parquet(f"{base}/fb/part=1")
+    q.processAllAvailable()
+    spark.range(1).select(F.lit("FLUSH2").alias("request_id"), F.lit("FLUSH2").alias("property_id"),
+                          (flush + F.expr("INTERVAL 30 DAYS")).alias("ts"), F.lit(0).cast("bigint").alias("final_rank")) \
+        .write.parquet(f"{base}/rl/part=2")
+    q.processAllAvailable()
+    q.stop()
+    return spark.read.parquet(f"{base}/out").filter(~F.col("request_id").startswith("FLUSH"))
