@@ -90,33 +90,72 @@ def behaviour_window(feedback: DataFrame, size: str = "28 days", slide: str = "1
 
 
 # ------------------------------------------------------------------- STR-07 TTL dedup
-def dedup_ttl(events: DataFrame, key: str, ts: str, ttl_seconds: int) -> DataFrame:
-    """STR-07 (batch, exact): flag cache misses; a hit is within ttl of the key's last miss.
+def global_index(df: DataFrame, order_cols: list[str], name: str = "pos") -> DataFrame:
+    """0-based position of every row in the total order ``order_cols``.
 
-    The cache window is fixed at the miss and does not slide. A gap longer than
-    the ttl always starts a miss, so each key's timeline is first cut into
-    segments at such gaps (a window over the key), and misses are found by a
-    fold over each segment's sorted timestamps (JVM ``aggregate``). Segments,
-    not whole keys, are the unit of work.
+    Range-partitioned sort (a hot key's range is split across tasks), then
+    per-partition row offsets from a table with one row per partition. No step
+    sees more than one partition's rows.
     """
     from pyspark.sql import Window
-    t = F.col(ts).cast("timestamp")
-    secs = F.unix_micros(t) / 1e6
-    w = Window.partitionBy(key).orderBy(secs, "event_id")
-    e = events.withColumn("_s", secs)
-    e = e.withColumn("_gap", F.col("_s") - F.lag("_s").over(w))
-    e = e.withColumn("_seg", F.sum(F.when(F.col("_gap").isNull() | (F.col("_gap") >= ttl_seconds), 1)
-                                   .otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    seg = e.groupBy(key, "_seg").agg(F.sort_array(F.collect_list(F.struct("_s", "event_id"))).alias("_ev"))
-    init = F.struct(F.lit(-1e30).alias("last"), F.array().cast("array<bigint>").alias("misses"))
-
-    def step(acc, x):
-        miss = x["_s"] >= acc["last"] + ttl_seconds
-        return F.struct(F.when(miss, x["_s"]).otherwise(acc["last"]).alias("last"),
-                        F.when(miss, F.concat(acc["misses"], F.array(x["event_id"]))).otherwise(acc["misses"])
-                        .alias("misses"))
-    misses = seg.select(F.explode(F.aggregate("_ev", init, step)["misses"]).alias("event_id"))
-    return events.join(misses.withColumn("is_miss", F.lit(True)), "event_id", "left") \
+    s = (df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+         .withColumn("_pid", F.spark_partition_id())
+         .withColumn("_mono", F.monotonically_increasing_id())
+         .checkpoint())
+    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # one row per partition
+    local = F.col("_mono") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
+    return (s.join(F.broadcast(offs.select("_pid", "_off")), "_pid")
+            .withColumn(name, F.col("_off") + local).drop("_pid", "_mono", "_off"))
+
+
+def dedup_ttl(events: DataFrame, key: str, ts: str, ttl_seconds: int) -> DataFrame:
+    """STR-07 (batch, exact, distributed): flag cache misses.
+
+    A hit is an event within ttl of its key's last miss; the window is fixed at
+    the miss and does not slide. After a miss at s the next miss is the first
+    event of the key at or after s + ttl ("next link"). Misses are the events
+    reachable from each key's first event along next links.
+
+    * next links: events and probes (s + ttl) sorted together by (key, time);
+      a probe's count of preceding events is the position of its next event.
+      Global positions come from range-partitioned sorts, so a key holding a
+      third of all rows is spread over many tasks.
+    * reachability: pointer doubling (J_{k+1} = J_k o J_k, joins on event id),
+      log2(chain length) rounds, each checkpointed to cut lineage.
+    """
+    from lodestar.session import checkpoint_dir
+    checkpoint_dir(events.sparkSession)
+    secs = F.unix_micros(F.col(ts).cast("timestamp")) / 1e6
+    ev = events.select("event_id", F.col(key).alias("_k"), secs.alias("_s"))
+    pos_e = global_index(ev, ["_k", "_s", "event_id"], "_pe")
+    probes = ev.select("_k", (F.col("_s") + F.lit(float(ttl_seconds))).alias("_s"),
+                       F.col("event_id").alias("_src"))
+    pos_p = global_index(probes, ["_k", "_s", "_src"], "_pp").select("_src", "_pp")
+    both = (ev.select("_k", "_s", F.lit(1).alias("_t"), F.col("event_id").alias("_id"))
+            .unionByName(probes.select("_k", "_s", F.lit(0).alias("_t"), F.col("_src").alias("_id"))))
+    pos_c = global_index(both, ["_k", "_s", "_t", "_id"], "_pc").filter(F.col("_t") == 0) \
+        .select(F.col("_id").alias("_src"), "_k", "_pc")
+    want = pos_c.join(pos_p, "_src").select("_src", "_k", (F.col("_pc") - F.col("_pp")).alias("_pe"))
+    target = pos_e.select(F.col("_pe"), F.col("_k").alias("_k2"), F.col("event_id").alias("_nxt"))
+    nxt = (want.join(target, "_pe", "left")
+           .select(F.col("_src").alias("id"),
+                   F.when(F.col("_k2") == F.col("_k"), F.col("_nxt")).alias("nxt"))
+           .checkpoint())
+    heads = ev.groupBy("_k").agg(F.min_by("event_id", F.struct("_s", "event_id")).alias("id")).select("id")
+    path = heads.checkpoint()
+    jump = nxt
+    while True:
+        step = path.join(jump, "id").filter(F.col("nxt").isNotNull()).select(F.col("nxt").alias("id"))
+        path = path.unionByName(step).checkpoint()
+        if jump.filter(F.col("nxt").isNotNull()).limit(1).count() == 0:
+            break
+        a, b = jump.alias("a"), jump.alias("b")
+        jump = (a.join(b, F.col("a.nxt") == F.col("b.id"), "left")
+                .select(F.col("a.id").alias("id"), F.col("b.nxt").alias("nxt")).checkpoint())
+    misses = path.select(F.col("id").alias("event_id"), F.lit(True).alias("is_miss"))
+    return events.join(misses, "event_id", "left") \
         .withColumn("is_miss", F.coalesce(F.col("is_miss"), F.lit(False)))
 
 

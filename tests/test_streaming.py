@@ -105,3 +105,22 @@ def test_parse_drops_unknown_and_quarantines(spark):
     ok, bad = msg.parse(raw, msg.FEEDBACK_T)
     assert ok.columns == ["request_id", "property_id", "action", "ts"] and ok.count() == 1
     assert bad.count() == 1
+
+
+def test_dedup_hot_key_never_quiet_matches_loop(spark):
+    """One key with gaps always below the ttl (no natural reset point), plus a cold key."""
+    import random
+    rnd = random.Random(5)
+    rows, t = [], 0.0
+    for i in range(3000):
+        t += rnd.uniform(0, 40)          # ttl 300 s, gaps < 40 s: the key never goes quiet
+        rows.append((i, "hot", t))
+    for i in range(3000, 3050):
+        rows.append((i, "cold", rnd.uniform(0, 60000)))
+    df = spark.createDataFrame(rows, "event_id long, k string, s double") \
+        .withColumn("ts", F.timestamp_seconds("s").cast("timestamp_ntz"))
+    got = {r["event_id"]: r["is_miss"] for r in so.dedup_ttl(df.repartition(7), "k", "ts", 300).collect()}
+    want = _brute_dedup([(r[0], r[1], r[2]) for r in
+                         df.select("event_id", "k", (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6)).collect()],
+                        300)
+    assert got == want and sum(want.values()) > 100
