@@ -106,3 +106,15 @@ def latency_bucket(ms: Column, buckets: int = 24) -> Column:
     return (F.when(ms < 1, F.lit(0))
             .otherwise(F.least(e + 1, F.lit(buckets + 1)))
             .cast("bigint"))
+
+
+def request_cache_key(query: Column, filters: Column, top_k: Column) -> Column:
+    """FN-09: sha256 of the canonical JSON {filters, query (stripped), top_k}, keys sorted,
+    nulls kept, compact separators. ``filters`` is a struct whose fields are sorted by name."""
+    payload = F.struct(filters.alias("filters"), F.trim(query).alias("query"), top_k.cast("bigint").alias("top_k"))
+    return F.sha2(F.to_json(payload, {"ignoreNullFields": "false"}), 256)
+
+
+def sorted_struct(df_cols: list[str]) -> Column:
+    """Struct of ``df_cols`` with fields in name order (canonical JSON key order)."""
+    return F.struct(*[F.col(c) for c in sorted(df_cols)])

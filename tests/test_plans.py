@@ -55,3 +55,15 @@ def test_feature_mart_aggregates_before_joining(spark):
                         fx.feedback_events(spark, SF_SMALL), fx.AS_OF)
     p = plan(m)
     assert "partial_count" in p  # map-side combine of impressions/actions
+
+
+def test_ann_recall_against_exact(spark):
+    q = fx.query_vectors(spark, SF_SMALL)
+    c = fx.embedding_corpus(spark, SF_SMALL)
+    exact = rt.vector_topk(q, c, k=10)
+    ann = rt.vector_topk_ann(q, c, k=10)
+    e = {(r[0], r[1]) for r in exact.select("query_id", "property_id").collect()}
+    a = {(r[0], r[1]) for r in ann.select("query_id", "property_id").collect()}
+    recall = len(e & a) / len(e)
+    print("ANN recall@10", recall)
+    assert a and recall > 0.2
