@@ -98,8 +98,11 @@ def refresh_plan(texts: DataFrame, stored: DataFrame, model_name: str, generated
     """
     h = with_hash(texts, model_name)
     s = existing_hashes(stored).withColumnRenamed("text_hash", "stored_hash")
+    from pyspark import StorageLevel
+    # one hashing pass feeds both the counts and the rows to encode
     tagged = h.join(s, "property_id", "left").withColumn(
-        "unchanged", F.col("text_hash").eqNullSafe(F.col("stored_hash")))
+        "unchanged", F.col("text_hash").eqNullSafe(F.col("stored_hash"))) \
+        .select("property_id", "text", "text_hash", "unchanged").persist(StorageLevel.MEMORY_AND_DISK)
     counts = tagged.agg(F.count(F.lit(1)).alias("total"),
                         F.count_if(F.col("unchanged")).alias("unchanged"),
                         F.count_if(~F.col("unchanged")).alias("encoded"))

@@ -321,13 +321,18 @@ def linear_scorer(weights: dict[str, float] | None = None):
     """UDF-02 slot example: score = sum(w_i * feature_i) on the 10-feature vector (JVM-side)."""
     wts = weights or {"me5_score": 1.0, "ctr": 0.5, "lexical_rank": -0.001, "semantic_rank": -0.0005}
 
+    listing = {"rent", "walk_min", "age_years", "area_m2", "ctr", "fav_rate", "inquiry_rate"}
+
+    def feature(c):
+        x = F.col(c).cast("double")
+        return F.coalesce(x, F.lit(0.0)) if c in listing else x
+
     def score(cands: DataFrame) -> DataFrame:
-        f = candidate_features(cands)
         s = F.lit(0.0)
         for c in FEATURE_COLS:
             if c in wts:
-                s = s + F.lit(wts[c]) * F.col(c)
-        return cands.join(f.select("query_id", "property_id", s.alias("score")), ["query_id", "property_id"])
+                s = s + F.lit(wts[c]) * feature(c)
+        return cands.withColumn("score", s)   # a projection: no join, no shuffle
     return score
 
 

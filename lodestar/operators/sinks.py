@@ -48,13 +48,17 @@ def upsert_embeddings(target: DataFrame, batch: DataFrame, new_path: str) -> int
     Writes the merged table to ``new_path`` (a new version) and returns the
     number of batch rows written; an empty batch writes nothing and returns 0.
     """
-    n = batch.count()
-    if n == 0:
-        return 0
-    keep = target.join(batch.select("property_id"), "property_id", "left_anti")
-    merged = keep.unionByName(batch.select(*target.columns))
-    merged.repartition("property_id").write.mode("errorifexists").parquet(new_path)
-    return n
+    from pyspark import StorageLevel
+    b = batch.select(*target.columns).persist(StorageLevel.MEMORY_AND_DISK)  # counted and written once
+    try:
+        n = b.count()
+        if n == 0:
+            return 0
+        keep = target.join(b.select("property_id"), "property_id", "left_anti")
+        keep.unionByName(b).repartition("property_id").write.mode("errorifexists").parquet(new_path)
+        return n
+    finally:
+        b.unpersist()
 
 
 def new_version_path(base: str) -> str:
