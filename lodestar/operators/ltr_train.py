@@ -152,8 +152,13 @@ def train_lambdarank(train: DataFrame, valid: DataFrame | None = None, params: d
     checkpoint_dir(spark)
     depth = max(1, int(math.ceil(math.log2(p["num_leaves"] + 1))) - 1)
     model = LambdaRankModel(learning_rate=p["learning_rate"])
+    # one partition per core, hashed by request: every round's per-request step reuses it
     cur = (train.select("request_id", "pool_rank", "label", *feature_cols).withColumn("score", F.lit(0.0))
-           .repartition("request_id").checkpoint())
+           .repartition(spark.sparkContext.defaultParallelism, "request_id").checkpoint())
+    vcur = None
+    if valid is not None:
+        vcur = (valid.select("request_id", "pool_rank", "label", *feature_cols).withColumn("score", F.lit(0.0))
+                .repartition(spark.sparkContext.defaultParallelism, "request_id").checkpoint())
     best, best_iter, since_best = -1.0, 0, 0
     for r in range(int(p["num_iterations"])):
         g = lambda_gradients(cur, feature_cols, int(p["lambdarank_truncation_level"]))
@@ -176,8 +181,12 @@ def train_lambdarank(train: DataFrame, valid: DataFrame | None = None, params: d
         cur = cur.withColumn("score", F.col("score") + F.lit(p["learning_rate"]) * tree.expr)
         if (r + 1) % checkpoint_every == 0:
             cur = cur.checkpoint()
-        if valid is not None:
-            v = _ndcg(valid, model.score_column(len(model.trees)))
+        if vcur is not None:
+            # validation scores are updated like the training ones: one tree per round
+            vcur = vcur.withColumn("score", F.col("score") + F.lit(p["learning_rate"]) * tree.expr)
+            if (r + 1) % checkpoint_every == 0:
+                vcur = vcur.checkpoint()
+            v = _ndcg(vcur, F.col("score"))
             # training NDCG only at checkpoints (it is reporting, not control)
             t = _ndcg(cur, F.col("score")) if (r + 1) % checkpoint_every == 0 else None
             model.history.append((r + 1, t, v))
@@ -215,7 +224,8 @@ def training_pipeline(frame: DataFrame, params: dict | None = None, run_id: str
     schema (flattened metrics and hyperparameters).
     """
     feats = ltr.ranker_features(frame)
-    split = ltr.group_split(feats, bucket=bucket).checkpoint()
+    split = ltr.group_split(feats, bucket=bucket) \
+        .repartition(frame.sparkSession.sparkContext.defaultParallelism, "request_id").checkpoint()
     train = split.filter(F.col("split") == "train")
     test = split.filter(F.col("split") == "test")
     model = train_lambdarank(train, test, params)

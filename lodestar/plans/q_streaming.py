@@ -213,8 +213,10 @@ def q_attribution_stream(spark, d):
     rs = so.event_time(spark.readStream.schema(rl.schema).parquet(f"{base}/rl/*")).withWatermark("ts", "2 days")
     fs = so.event_time(spark.readStream.schema(fb.schema).parquet(f"{base}/fb/*")).withWatermark("ts", "2 days")
     out = so.feedback_attribution(rs, fs).select("request_id", "property_id", "final_rank", "action")
-    q = (out.writeStream.format("parquet").option("path", f"{base}/out")
-         .option("checkpointLocation", f"{base}/ckpt").outputMode("append").start())
+    from lodestar.session import conf_override, stream_state_partitions
+    with conf_override(spark, stream_state_partitions(spark)):
+        q = (out.writeStream.format("parquet").option("path", f"{base}/out")
+             .option("checkpointLocation", f"{base}/ckpt").outputMode("append").start())
     q.processAllAvailable()
     # flush records in a later micro-batch advance both watermarks past every real row
     spark.range(1).select(F.lit("FLUSH").alias("request_id"), F.lit("FLUSH").alias("property_id"),

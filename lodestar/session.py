@@ -47,3 +47,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+class conf_override:
+    """Temporarily set SQL confs on a session (restored on exit)."""
+
+    def __init__(self, spark: SparkSession, values: dict[str, str]):
+        self.spark, self.values, self.saved = spark, values, {}
+
+    def __enter__(self):
+        for k, v in self.values.items():
+            self.saved[k] = self.spark.conf.get(k, None)
+            self.spark.conf.set(k, v)
+        return self
+
+    def __exit__(self, *exc):
+        for k, v in self.saved.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
+        return False
+
+
+def stream_state_partitions(spark: SparkSession) -> dict[str, str]:
+    """State partitions of a new stateful stream: one per core of the cluster.
+
+    Fixed by the checkpoint at the first start, so it is chosen from the
+    cluster size rather than inherited from a batch-tuned session setting.
+    """
+    return {"spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism)}
