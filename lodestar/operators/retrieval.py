@@ -372,3 +372,66 @@ def emit_ranking_log(ranked: DataFrame, ts: Column | None = None) -> DataFrame:
 def ordinality(ids: Column) -> Column:
     """JOIN-13 helper: ordered id array -> array of (property_id, pos) with pos = offset + 1."""
     return F.transform(ids, lambda x, i: F.struct(x.alias("property_id"), (i + 1).cast("bigint").alias("pos")))
+
+
+# ------------------------------------------------------------- stored BM25 index
+TERM_BUCKETS = 64
+
+
+def term_bucket(term: Column, buckets: int = TERM_BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
+
+def build_bm25_index(docs: DataFrame, path: str, buckets: int = TERM_BUCKETS) -> None:
+    """Tokenise the corpus once and store it for many query batches.
+
+    ``{path}/postings``: (term_bucket, term, property_id, tf), partitioned by
+    term_bucket and sorted by term inside files; ``{path}/docs``: (property_id,
+    dl) plus the facet columns; ``{path}/stats``: one row (n_docs, avgdl).
+    """
+    toks = docs.select("property_id", tokenize(F.col("searchable_text")).alias("tokens"),
+                       "rent", "layout", "walk_min", "pet_ok", "age_years")
+    from pyspark import StorageLevel
+    toks = toks.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        postings = (toks.select("property_id", F.explode("tokens").alias("term"))
+                    .groupBy("term", "property_id").agg(F.count(F.lit(1)).alias("tf"))
+                    .withColumn("term_bucket", term_bucket(F.col("term"), buckets)))
+        (postings.repartition("term_bucket").sortWithinPartitions("term")
+         .write.partitionBy("term_bucket").mode("errorifexists").parquet(f"{path}/postings"))
+        dl = toks.select("property_id", F.size("tokens").alias("dl"), "rent", "layout", "walk_min", "pet_ok",
+                         "age_years")
+        dl.write.mode("errorifexists").parquet(f"{path}/docs")
+        dl.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avgdl")) \
+            .write.mode("errorifexists").parquet(f"{path}/stats")
+    finally:
+        toks.unpersist()
+
+
+def bm25_search(spark, path: str, queries: DataFrame, k: int = POOL_PER_RETRIEVER,
+                k1: float = BM25_K1, b: float = BM25_B, buckets: int = TERM_BUCKETS) -> DataFrame:
+    """RET-01 over a stored index: only the term buckets of the batch's query terms are read
+    (partition pruning on ``term_bucket``); same scores and ranks as ``bm25_topk``."""
+    postings = spark.read.parquet(f"{path}/postings")
+    docs = spark.read.parquet(f"{path}/docs")
+    stats = spark.read.parquet(f"{path}/stats")
+    n_docs = stats.select("n_docs").scalar()
+    avgdl = stats.select("avgdl").scalar()
+    qterms = queries.select("query_id", F.explode(F.array_distinct(tokenize(F.col("query_text")))).alias("term")) \
+        .withColumn("term_bucket", term_bucket(F.col("term"), buckets))
+    vocab = qterms.select("term_bucket", "term").distinct()
+    # partition pruning: the batch's term buckets (at most ``buckets`` ints) become a static
+    # partition filter, so the scan lists and reads only those postings folders
+    needed = [r[0] for r in vocab.select("term_bucket").distinct().collect()]
+    hits = postings.filter(F.col("term_bucket").isin(needed)).join(vocab, ["term_bucket", "term"], "left_semi")
+    df = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    norm = F.col("tf") + k1 * (F.lit(1.0 - b) + b * F.col("dl") / avgdl)
+    term_score = idf * F.col("tf") * (k1 + 1) / norm
+    scored = (hits.join(df, "term").join(docs.select("property_id", "dl"), "property_id")
+              .join(qterms.select("query_id", "term"), "term")
+              .select("query_id", "property_id", term_score.alias("s"))
+              .groupBy("query_id", "property_id").agg(F.sum("s").alias("bm25")))
+    s = facet_filter(scored, docs, queries)
+    w = Window.partitionBy("query_id").orderBy(F.round("bm25", RANK_DECIMALS).desc(), F.col("property_id"))
+    return s.withColumn("lexical_rank", F.row_number().over(w).cast("bigint")).filter(F.col("lexical_rank") <= k)

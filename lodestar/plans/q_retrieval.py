@@ -223,3 +223,12 @@ def q_export(spark, d):
 def q_ann(spark, d):
     """RET-03: LSH approximate top-200 (no exact oracle; recall is checked in tests)."""
     return rt.vector_topk_ann(fx.query_vectors(spark, d), fx.embedding_corpus(spark, d))
+
+
+@query("bm25_index_search", f"SELECT query_id, property_id, {R6('bm25')}, lexical_rank FROM lexical", ("lexical",))
+def q_bm25_index(spark, d):
+    """RET-01 via a stored index (built once, searched per query batch with partition pruning)."""
+    path = _sink_dir(spark, "bm25_index")
+    rt.build_bm25_index(docs(spark, d), path)
+    hits = rt.bm25_search(spark, path, queries_df(spark, d))
+    return hits.select("query_id", "property_id", r6("bm25"), "lexical_rank")

@@ -67,3 +67,17 @@ def test_ann_recall_against_exact(spark):
     recall = len(e & a) / len(e)
     print("ANN recall@10", recall)
     assert a and recall > 0.2
+
+
+def test_bm25_index_prunes_term_buckets_and_matches(spark, tmp_dir):
+    docs = rt.search_documents(fm.clean_properties(fx.properties(spark, SF_SMALL)))
+    q = fx.text_queries(spark, SF_SMALL)
+    rt.build_bm25_index(docs, f"{tmp_dir}/idx")
+    one = q.orderBy("query_id").limit(1)
+    hits = rt.bm25_search(spark, f"{tmp_dir}/idx", one)
+    p = plan(hits)
+    import re
+    assert re.search(r"PartitionFilters: \[[^\]]*term_bucket[^\]]*(INSET| IN \()", p)
+    full = rt.bm25_search(spark, f"{tmp_dir}/idx", q).select("query_id", "property_id", "lexical_rank")
+    direct = rt.bm25_topk(docs, q).select("query_id", "property_id", "lexical_rank")
+    assert full.exceptAll(direct).count() == 0 and direct.exceptAll(full).count() == 0
