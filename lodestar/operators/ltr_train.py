@@ -96,13 +96,44 @@ def _lambda_fn(truncation: int, sigma: float, feature_cols: list[str]):
 
 
 def lambda_gradients(frame: DataFrame, feature_cols: list[str] = FEATURE_COLS,
-                     truncation: int = 20, sigma: float = 1.0) -> DataFrame:
-    """Per-row lambda gradient and hessian of NDCG for the current ``score``."""
+                     truncation: int = 20, sigma: float = 1.0, clustered: bool = False) -> DataFrame:
+    """Per-row lambda gradient and hessian of NDCG for the current ``score``.
+
+    Requests must not straddle partitions: with ``clustered=True`` the frame is
+    already hash-partitioned by request_id (the training loop keeps it so) and
+    only a sort inside partitions is added; otherwise it is repartitioned. One
+    ``mapInPandas`` pass then walks each partition's requests in order (a
+    request split across Arrow batches is carried to the next batch), instead
+    of one Arrow round trip per request.
+    """
     cols = ["request_id", "pool_rank", "label", "score", *feature_cols]
     schema = ", ".join([f"{c} {frame.schema[c].dataType.simpleString()}" for c in cols]
                        + ["grad double", "hess double"])
-    return frame.select(*cols).groupBy("request_id").applyInPandas(
-        _lambda_fn(truncation, sigma, feature_cols), schema)
+    per_request = _lambda_fn(truncation, sigma, feature_cols)
+
+    def process(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat([per_request(g) for _, g in pdf.groupby("request_id", sort=False)], ignore_index=True)
+
+    def run(batches):
+        carry = None
+        for pdf in batches:
+            if carry is not None:
+                pdf = pd.concat([carry, pdf], ignore_index=True)
+            if pdf.empty:
+                continue
+            last = pdf["request_id"].iloc[-1]
+            tail = pdf["request_id"] == last
+            carry = pdf[tail]
+            done = pdf[~tail]
+            if len(done):
+                yield process(done)
+        if carry is not None and len(carry):
+            yield process(carry)
+
+    f = frame.select(*cols)
+    if not clustered:
+        f = f.repartition("request_id")
+    return f.sortWithinPartitions("request_id").mapInPandas(run, schema)
 
 
 def _node_to_column(node, cols: list[str]) -> Column:
@@ -161,7 +192,7 @@ def train_lambdarank(train: DataFrame, valid: DataFrame | None = None, params: d
                 .repartition(spark.sparkContext.defaultParallelism, "request_id").checkpoint())
     best, best_iter, since_best = -1.0, 0, 0
     for r in range(int(p["num_iterations"])):
-        g = lambda_gradients(cur, feature_cols, int(p["lambdarank_truncation_level"]))
+        g = lambda_gradients(cur, feature_cols, int(p["lambdarank_truncation_level"]), clustered=True)
         if p["bagging_fraction"] < 1.0:
             block = r // max(1, int(p["bagging_freq"]))
             keep = F.pmod(F.xxhash64("request_id", F.lit(seed), F.lit(block)), F.lit(1000)) \
