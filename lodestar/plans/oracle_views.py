@@ -180,6 +180,8 @@ def with_views(body: str, *names: str) -> str:
         return body
     ctes = ",\n".join(f"{n} AS ({VIEWS[n][1]}\n)" for n in order)
     body = body.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
