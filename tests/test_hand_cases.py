@@ -227,3 +227,15 @@ def test_clean_properties_rules(spark):
     r = out[0]
     assert (r["rent"], r["management_fee"], r["age_years"], r["walk_min"], r["pet_ok"], r["area_m2"]) == \
         (0, 0, 0, 0, False, 12.0)
+
+
+def test_day_partitions_replace_and_delete(spark, tmp_dir):
+    rows = spark.createDataFrame([("2026-04-17", "p1", 1), ("2026-04-18", "p1", 2)],
+                                 "d string, property_id string, v long").withColumn("event_date", F.to_date("d")).drop("d")
+    path = f"{tmp_dir}/mart"
+    sinks.write_feature_mart(rows, path)
+    sinks.replace_day_partition(rows.filter(F.col("v") == 2).withColumn("v", F.lit(9).cast("bigint")), path)
+    got = {str(r["event_date"]): r["v"] for r in spark.read.parquet(path).collect()}
+    assert got == {"2026-04-17": 1, "2026-04-18": 9}
+    kept = sinks.delete_day(spark, path, "2026-04-17", f"{tmp_dir}/mart_v2")
+    assert [str(r["event_date"]) for r in spark.read.parquet(kept).collect()] == ["2026-04-18"]
