@@ -136,23 +136,35 @@ def bm25_topk(docs: DataFrame, queries: DataFrame, k: int = POOL_PER_RETRIEVER)
 
 # ----------------------------------------------------------- vectors (RET-02/03)
 def _topk_block(qids: np.ndarray, qmat: np.ndarray, k: int):
-    """mapInPandas body: exact cosine distance of a corpus batch against a query block."""
+    """mapInPandas body: exact cosine distance of a corpus partition against a query block.
+
+    A running top-k per query is kept across the partition's Arrow batches and
+    emitted once, so a partition sends at most k rows per query to the shuffle.
+    """
     qn = qmat / np.maximum(np.linalg.norm(qmat, axis=1, keepdims=True), 1e-300)
+    nq = len(qids)
 
     def run(batches):
+        best_d = np.empty((nq, 0))
+        best_id = np.empty((nq, 0), dtype=object)
         for pdf in batches:
             if pdf.empty:
                 continue
             m = np.stack(pdf["embedding"].to_numpy()).astype(np.float64)
             mn = m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
             dist = 1.0 - qn @ mn.T                      # (queries, batch)
-            kk = min(k, dist.shape[1])
-            idx = np.argpartition(dist, kk - 1, axis=1)[:, :kk]
-            rows = np.repeat(np.arange(len(qids)), kk)
-            cols = idx.ravel()
-            yield pd.DataFrame({"query_id": qids[rows],
-                                "property_id": pdf["property_id"].to_numpy()[cols],
-                                "cosine_distance": dist[rows, cols]})
+            ids = np.broadcast_to(pdf["property_id"].to_numpy().astype(object), dist.shape)
+            d = np.concatenate([best_d, dist], axis=1)
+            i = np.concatenate([best_id, ids], axis=1)
+            kk = min(k, d.shape[1])
+            keep = np.argpartition(d, kk - 1, axis=1)[:, :kk]
+            best_d = np.take_along_axis(d, keep, axis=1)
+            best_id = np.take_along_axis(i, keep, axis=1)
+        if best_d.shape[1] == 0:
+            return
+        kk = best_d.shape[1]
+        yield pd.DataFrame({"query_id": np.repeat(qids, kk), "property_id": best_id.ravel(),
+                            "cosine_distance": best_d.ravel()})
     return run
 
 
