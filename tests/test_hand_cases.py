@@ -239,3 +239,14 @@ def test_day_partitions_replace_and_delete(spark, tmp_dir):
     assert got == {"2026-04-17": 1, "2026-04-18": 9}
     kept = sinks.delete_day(spark, path, "2026-04-17", f"{tmp_dir}/mart_v2")
     assert [str(r["event_date"]) for r in spark.read.parquet(kept).collect()] == ["2026-04-18"]
+
+
+def test_export_documents_batches_of_1000(spark, tmp_dir):
+    import glob
+    import json
+    docs = spark.range(2500).select(F.format_string("P%d", F.col("id")).alias("property_id")).coalesce(1)
+    sinks.export_documents(docs, f"{tmp_dir}/export", batch_size=1000)
+    files = [f for f in glob.glob(f"{tmp_dir}/export/*.json")]
+    sizes = sorted(sum(1 for _ in open(f)) for f in files)
+    assert sizes == [500, 1000, 1000]
+    assert all("property_id" in json.loads(open(f).readline()) for f in files)
