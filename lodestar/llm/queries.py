@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import bpe, quality_rules, secrets, sharding
+from lodestar.llm import bpe, decontam, pii, quality_rules, secrets, sharding
 from lodestar.sources.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,19 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query("op1_pii")
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.extract_spans(read(spark, sf_dir, "documents"))
+    count = [F.size(F.filter("base", lambda x, i=i: x["k"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
+    return found.select("doc_id", *count, F.sha2(pii.spelled(F.col("base")), 256).alias("base_sha256"), pii.spelled(F.col("spans")).alias("spans"))
+
+
+@query("op4_decontamination")
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "start_word", "n_words", "hamming", "similarity")
+
+
 @query("op5_secrets")
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(read(spark, sf_dir, "documents"))
