@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import bpe, decontam, pii, quality_rules, secrets, sharding
+from lodestar.llm import bpe, decontam, pii, quality_mil, quality_rules, secrets, sharding, toxicity
 from lodestar.sources.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,16 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *count, F.sha2(pii.spelled(F.col("base")), 256).alias("base_sha256"), pii.spelled(F.col("spans")).alias("spans"))
 
 
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op3_quality")
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_mil.score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query("op4_decontamination")
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
