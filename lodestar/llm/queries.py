@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import bpe, decontam, pii, quality_mil, quality_rules, secrets, sharding, toxicity
+from lodestar.llm import bpe, decontam, pii, quality_mil, quality_rules, secrets, sharding, span_dedup, toxicity
 from lodestar.sources.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,6 +64,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "js_chars", "js_words")
 
 
+@query("op9_span_dedup")
+def op9_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 @query("op10_shards")
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = sharding.assign_shards(read(spark, sf_dir, "documents"))
