@@ -251,6 +251,21 @@ def encode(docs: DataFrame, path: str, with_ids: bool = True) -> DataFrame:
     return kept.mapInArrow(run, "doc_id long, ids array<int>" if with_ids else "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, text), one row per row of ``docs``; the text is decoded from the ids."""
+
+    def run(parts):
+        v = vocabulary(path)
+        for part in parts:
+            for b in slices(part):
+                ids, upto = encode_texts(texts_of(b), v)
+                lists = pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(ids.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.diff(upto)), lists, pa.array(decode_ids(ids, upto, v), pa.string())], names=["doc_id", "n_tokens", "ids", "text"])
+
+    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+    return kept.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, text string")
+
+
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, text) of (doc_id, ids); null ids are an empty text."""
 

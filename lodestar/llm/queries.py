@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import bpe, decontam, pii, quality_mil, quality_rules, secrets, sharding, span_dedup, toxicity
+from lodestar.llm import bpe, decontam, jaccard_join, pii, quality_mil, quality_rules, secrets, sharding, span_dedup, toxicity
 from lodestar.sources.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +58,11 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
 
 
+@query("op7_jaccard_join")
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_documents(read(spark, sf_dir, "documents"))
+
+
 @query("op8_quality_rules")
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.apply_rules(read(spark, sf_dir, "documents"))
