@@ -35,6 +35,8 @@ BLANKS = r"[\x20\x09-\x0D]"
 MIN_CHARS, MIN_WORDS = 120, 30
 MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.17, 0.50
 GRAM = 5
+#: Rejected documents are joined by broadcast up to so many rows, else by a shuffle.
+BROADCAST_ROWS = 200_000
 
 
 def _without(text: Column, chars: str) -> Column:
@@ -47,10 +49,10 @@ def _normal(hist: Column) -> Column:
     return F.transform(hist, lambda x: x / F.greatest(total, F.lit(1.0)))
 
 
-def measured(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Base counts and both histograms (``chars``, ``common``: array<double>) of every row."""
+def measured(docs: DataFrame) -> DataFrame:
+    """Base counts, both histograms (``chars``, ``common``: array<double>) and the text's hash of every row."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    d = docs.select(F.col("doc_id"), F.col("lang"), text.alias("_t"), *[F.col(c).alias(f"_keep_{c}") for c in keep])
+    d = docs.select(F.col("doc_id"), F.col("lang"), text.alias("_t"))
     d = d.withColumn("_w", F.array_remove(F.split("_t", BLANKS + "+"), ""))
     n = F.size("_w")
     # A window of five words is known by a 64-bit hash of them.
@@ -58,7 +60,7 @@ def measured(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     lines = F.filter(F.split("_t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     chars = F.length("_t")
     d = d.select(
-        "doc_id", "lang", *[f"_keep_{c}" for c in keep], n.cast("long").alias("n_words"), F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
+        "doc_id", "lang", F.xxhash64("_t").alias("text_hash"), n.cast("long").alias("n_words"), F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
         _without(F.col("_t"), r"#*$%&|<>").cast("long").alias("n_symbols"), chars.cast("double").alias("_n"),
         _without(F.col("_t"), r"\p{Lu}").cast("double").alias("_upper"), _without(F.col("_t"), r"0-9").cast("double").alias("_digit"), _without(F.col("_t"), r".,;:!?'\"()-").cast("double").alias("_mark"),
         lines.alias("_lines"), grams.alias("_g"),
@@ -72,7 +74,7 @@ def measured(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     hits = F.size("_hits")
     rest = F.greatest(F.col("_n") - F.col("_upper") - F.col("_digit") - F.col("_mark") - F.col("n_symbols") - (F.col("_n") - F.col("word_chars")), F.lit(0.0))
     return d.select(
-        "doc_id", "lang", *[F.col(f"_keep_{c}").alias(c) for c in keep], "n_words", "word_chars", "n_symbols",
+        "doc_id", "lang", "text_hash", "n_words", "word_chars", "n_symbols",
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"), F.col("_n").cast("long").alias("n_chars_read"),
         F.array((F.col("_n") - F.col("word_chars")).cast("double"), F.col("_upper"), F.col("_mark"), F.col("n_symbols").cast("double"), rest).alias("chars"),
@@ -120,20 +122,25 @@ def judge(counts: DataFrame, refs: dict[str, dict[str, list[float]]]) -> DataFra
             .withColumn("base_failed", failed).withColumn("kept", ~failed & ~F.coalesce(far, F.lit(False))).drop("chars", "common"))
 
 
-def apply_rules(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, lang, counts, distances, base_failed, kept.
-
-    The texts are read once: counts and histograms go to the checkpoint folder.
-    """
+def _judged(docs: DataFrame) -> DataFrame:
+    """The texts are read once: counts and histograms go to the checkpoint folder."""
     checkpoint_dir(docs.sparkSession)
     counts = measured(docs).checkpoint()
     return judge(counts, references(counts))
 
 
+def apply_rules(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs``: doc_id, lang, counts, distances, base_failed, kept."""
+    return _judged(docs).drop("text_hash")
+
+
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns."""
-    checkpoint_dir(docs.sparkSession)
-    refs = references(measured(docs).checkpoint())
-    names = docs.columns
-    d = docs.select("doc_id", "text", "lang", F.struct(*[F.col(c) for c in names]).alias("_row"))
-    return judge(measured(d, keep=("_row",)), refs).where("kept").select("_row.*")
+    """The rows of ``docs`` that the rules keep, with all their columns.
+
+    Equal texts fare alike, so the rejected are known by id and text hash.
+    """
+    gone = _judged(docs).where("not kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th")).distinct().checkpoint()
+    if gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    d = docs.withColumn("_key", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    return d.join(gone, d["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_th")), "left_anti").select(*docs.columns)
