@@ -50,7 +50,9 @@ def _cut(text: str) -> list[int]:
 
 def sentences(text: str) -> list[str]:
     """The sentences with the white space behind them; joined they are the text."""
-    ends = _cut(text) if text else []
+    if not text:
+        return []
+    ends = _cut(text)
     return [text[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
