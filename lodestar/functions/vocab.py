@@ -75,3 +75,9 @@ ALERT_SUSTAIN_WINDOWS = 10
 
 # --- fixed values: retrain trigger sources --------------------------------------------
 TRIGGER_SOURCES = ["monitoring", "scheduler", "manual", "eventarc"]
+
+# severities at or above ERROR in a request log
+ERROR_SEVERITIES = ["ERROR", "CRITICAL", "ALERT", "EMERGENCY"]
+
+# lifetime of a cached search result
+CACHE_TTL_SECONDS = 120

@@ -19,22 +19,28 @@ CHECK_COLUMNS = ["run_date", "metric", "feature_name", "value", "threshold", "st
 
 
 def search_logs_from_ranking_log(ranking_log: DataFrame, requests: DataFrame) -> DataFrame:
-    """AGG-18: one search_logs row per request with its shown ids in final-rank order.
+    """AGG-18: one search_logs row per request with its shown ids in display order.
 
-    Only the first ``top_k`` of the pool were shown, so the list is bounded by
-    top_k (<= 100); the sort is per request, never global.
+    The display position counts rows by (final_rank, rrf_rank), which holds in
+    both regimes: without a model final_rank is the lexical rank value. Only the
+    first ``top_k`` positions were shown, so the list is bounded by top_k (<= 100).
+    A request whose pool was empty keeps its row, with no ids and, where
+    ``requests`` carries ``requested_at``, that instant.
     """
-    r = ranking_log.select("request_id", "ts", "property_id", "final_rank", "model_path")
-    shown = r.join(requests.select("request_id", "top_k"), "request_id") \
-        .filter(F.col("final_rank") <= F.col("top_k"))
+    r = ranking_log.select("request_id", "ts", "property_id", "final_rank", "rrf_rank", "model_path")
+    order = Window.partitionBy("request_id").orderBy("final_rank", "rrf_rank", "property_id")
+    shown = r.withColumn("_at", F.row_number().over(order)).join(requests.select("request_id", "top_k"), "request_id") \
+        .filter(F.col("_at") <= F.col("top_k"))
     per_req = shown.groupBy("request_id").agg(
         F.min("ts").alias("ts"),
-        F.transform(F.sort_array(F.collect_list(F.struct("final_rank", "property_id"))),
+        F.transform(F.sort_array(F.collect_list(F.struct("_at", "property_id"))),
                     lambda s: s["property_id"]).alias("result_property_ids"),
         F.max("model_path").alias("model_path"),
     )
-    return per_req.join(requests, "request_id").select(
-        "request_id", "ts", "query", "filters", "top_k", "result_property_ids", "model_path", "latency_ms")
+    asked = F.col("requested_at") if "requested_at" in requests.columns else F.lit(None).cast("timestamp_ntz")
+    return requests.join(per_req, "request_id", "left").select(
+        "request_id", F.coalesce("ts", asked).alias("ts"), "query", "filters", "top_k",
+        F.coalesce("result_property_ids", F.array().cast("array<string>")).alias("result_property_ids"), "model_path", "latency_ms")
 
 
 def unpivot_features(df: DataFrame, features: list[str] | None = None) -> DataFrame:

@@ -5,11 +5,10 @@ Scale notes
 * BM25: document tokens are exploded once and filtered to the query vocabulary
   *before* the (doc, term) aggregation; a hot term is handled by the broadcast
   of query terms (or AQE skew-join splitting when the query table is large).
-* Vector top-k: the corpus stays partitioned; each partition scores a bounded
-  block of query vectors with one matrix product and emits at most k rows per
-  query; a per-query top-k (``WindowGroupLimit``) merges the partial lists.
-  Query blocks are size-checked before broadcast; larger query tables are cut
-  into blocks by key hash and processed block by block.
+* Vector top-k: the corpus stays partitioned; each partition scores the query
+  vectors in tiles and emits at most k rows per query, ties cut by id; two
+  levels of per-query top-k merge the partial lists. Queries are broadcast after
+  a check of their measured size; larger query tables meet the corpus in cogroups.
 * Per-query ranks are windows partitioned by ``query_id`` on pools bounded by k.
 """
 
@@ -135,74 +134,112 @@ def bm25_topk(docs: DataFrame, queries: DataFrame, k: int = POOL_PER_RETRIEVER)
 
 
 # ----------------------------------------------------------- vectors (RET-02/03)
-def _topk_block(qids: np.ndarray, qmat: np.ndarray, k: int):
-    """mapInPandas body: exact cosine distance of a corpus partition against a query block.
+QUERY_TILE, ROW_TILE = 256, 4096
 
-    A running top-k per query is kept across the partition's Arrow batches and
-    emitted once, so a partition sends at most k rows per query to the shuffle.
+
+def _unit(rows) -> np.ndarray:
+    m = np.stack(rows).astype(np.float64)
+    return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
+
+
+class _Best:
+    """Running top-k of a block of queries, ordered by (rounded distance, id).
+
+    A row enters when its rounded distance is not above the k-th so far; the
+    lists are cut only by the full order, so ties at the cut go by id whatever
+    the partitioning. Memory: tiles of QUERY_TILE x ROW_TILE distances, and at
+    most k + ROW_TILE rows a query before it is cut again.
     """
-    qn = qmat / np.maximum(np.linalg.norm(qmat, axis=1, keepdims=True), 1e-300)
-    nq = len(qids)
-
-    def run(batches):
-        best_d = np.empty((nq, 0))
-        best_id = np.empty((nq, 0), dtype=object)
-        for pdf in batches:
-            if pdf.empty:
+
+    def __init__(self, n: int, k: int):
+        self.k, self.limit = k, np.full(n, np.inf)
+        self.dist = [np.empty(0)] * n
+        self.raw = [np.empty(0)] * n
+        self.ids = [np.empty(0, dtype=object)] * n
+
+    def add(self, first: int, raw: np.ndarray, ids: np.ndarray) -> None:
+        dist = np.round(raw, RANK_DECIMALS)
+        for q in range(dist.shape[0]):
+            i = first + q
+            near = np.flatnonzero(dist[q] <= self.limit[i])
+            if not len(near):
                 continue
-            m = np.stack(pdf["embedding"].to_numpy()).astype(np.float64)
-            mn = m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
-            dist = 1.0 - qn @ mn.T                      # (queries, batch)
-            ids = np.broadcast_to(pdf["property_id"].to_numpy().astype(object), dist.shape)
-            d = np.concatenate([best_d, dist], axis=1)
-            i = np.concatenate([best_id, ids], axis=1)
-            kk = min(k, d.shape[1])
-            keep = np.argpartition(d, kk - 1, axis=1)[:, :kk]
-            best_d = np.take_along_axis(d, keep, axis=1)
-            best_id = np.take_along_axis(i, keep, axis=1)
-        if best_d.shape[1] == 0:
-            return
-        kk = best_d.shape[1]
-        yield pd.DataFrame({"query_id": np.repeat(qids, kk), "property_id": best_id.ravel(),
-                            "cosine_distance": best_d.ravel()})
-    return run
-
-
-def _query_blocks(queries: DataFrame, dim_hint: int) -> list[DataFrame]:
-    """Split the query table into blocks whose vectors fit a broadcast."""
-    n = queries.count()
-    per_block = max(1, MAX_BROADCAST_QUERY_BYTES // (8 * max(dim_hint, 1) + 64))
-    blocks = max(1, -(-n // per_block))
-    if blocks == 1:
-        return [queries]
-    b = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
-    return [queries.filter(b == i) for i in range(blocks)]
-
-
-def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = POOL_PER_RETRIEVER,
-                dim_hint: int = 768) -> DataFrame:
+            d, p, x = np.r_[self.dist[i], dist[q][near]], np.r_[self.ids[i], ids[near]], np.r_[self.raw[i], raw[q][near]]
+            if len(d) > self.k:
+                top = np.partition(d, self.k - 1)[self.k - 1]
+                keep = np.flatnonzero(d <= top)
+                order = keep[sorted(range(len(keep)), key=lambda j: (d[keep[j]], p[keep[j]]))][:self.k]
+                d, p, x, self.limit[i] = d[order], p[order], x[order], top
+            self.dist[i], self.ids[i], self.raw[i] = d, p, x
+
+
+def _scan(qids: np.ndarray, qmat: np.ndarray, frames, k: int):
+    best = _Best(len(qids), k)
+    for pdf in frames:
+        for s in range(0, len(pdf), ROW_TILE):
+            part = pdf.iloc[s:s + ROW_TILE]
+            rows, ids = _unit(part["embedding"].to_numpy()), part["property_id"].to_numpy().astype(object)
+            for q in range(0, len(qids), QUERY_TILE):
+                best.add(q, 1.0 - qmat[q:q + QUERY_TILE] @ rows.T, ids)
+    for i, qid in enumerate(qids):
+        if len(best.dist[i]):
+            yield pd.DataFrame({"query_id": qid, "property_id": best.ids[i], "cosine_distance": best.raw[i], "_rounded": best.dist[i]})
+
+
+def usable_vectors(df: DataFrame, vector: str, dim: int) -> DataFrame:
+    """Rows whose vector has ``dim`` finite elements; VAL-06 reports the others."""
+    v = F.col(vector)
+    odd = F.exists(v, lambda x: x.isNull() | F.isnan(x))
+    return df.filter(v.isNotNull() & (F.size(v) == dim) & ~odd)
+
+
+def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = POOL_PER_RETRIEVER) -> DataFrame:
     """RET-02 (no filters): exact cosine top-k per query over the whole corpus.
 
     ``queries``: (query_id, query_vector); ``corpus``: (property_id, embedding).
+    Distances are rounded to RANK_DECIMALS; ties go to the smaller id. Rows of
+    either side without an id, or whose vector is null, has a null or NaN or
+    another length than the queries' longest, take no part.
+
+    Queries of a measured size up to MAX_BROADCAST_QUERY_BYTES are broadcast and
+    each corpus partition sends its own top-k. Beyond it, corpus chunks meet query
+    blocks in cogroups. The partial lists are merged in two levels.
     """
     spark = corpus.sparkSession
-    schema = "query_id string, property_id string, cosine_distance double"
-    parts = []
-    for block in _query_blocks(queries.filter(F.col("query_vector").isNotNull()), dim_hint):
-        pdf = block.select("query_id", "query_vector").toPandas()   # bounded by the block size
+    queries = queries.filter(F.col("query_id").isNotNull() & F.col("query_vector").isNotNull())
+    n, dim = queries.agg(F.count(F.lit(1)), F.max(F.size("query_vector"))).first()
+    result = "query_id string, property_id string, cosine_distance double"
+    schema = f"{result}, _rounded double"
+    if not n:
+        return spark.createDataFrame([], result)
+    queries = usable_vectors(queries, "query_vector", dim).select("query_id", "query_vector")
+    rows = usable_vectors(corpus.filter(F.col("property_id").isNotNull()), "embedding", dim).select("property_id", "embedding")
+    size = n * (8 * dim + 64)
+    if size <= MAX_BROADCAST_QUERY_BYTES:
+        pdf = queries.toPandas()  # of the size just checked
         if pdf.empty:
-            continue
-        qids = pdf["query_id"].to_numpy()
-        qmat = np.stack(pdf["query_vector"].to_numpy()).astype(np.float64)
-        fn = _topk_block(qids, qmat, k)
-        parts.append(corpus.select("property_id", "embedding").mapInPandas(fn, schema))
-    if not parts:
-        return spark.createDataFrame([], schema)
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    w = Window.partitionBy("query_id").orderBy(F.round("cosine_distance", RANK_DECIMALS), F.col("property_id"))
-    return (cand.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r"))
+            return spark.createDataFrame([], result)
+        side = spark.sparkContext.broadcast((pdf["query_id"].to_numpy(), _unit(pdf["query_vector"].to_numpy())))
+        cand = rows.mapInPandas(lambda frames: _scan(*side.value, frames, k), schema)
+    else:
+        blocks, chunks = -(-size // (MAX_BROADCAST_QUERY_BYTES // 8)), max(1, rows.rdd.getNumPartitions())
+        q = queries.withColumn("_b", F.pmod(F.xxhash64("query_id"), F.lit(blocks))).withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+        r = rows.withColumn("_c", F.pmod(F.xxhash64("property_id"), F.lit(chunks)).cast("int")).withColumn("_b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
+
+        def meet(left, right):
+            if len(left) and len(right):
+                found = list(_scan(left["query_id"].to_numpy(), _unit(left["query_vector"].to_numpy()), [right], k))
+                if found:
+                    return pd.concat(found, ignore_index=True)
+            return pd.DataFrame({"query_id": pd.Series(dtype=str), "property_id": pd.Series(dtype=str), "cosine_distance": pd.Series(dtype=float), "_rounded": pd.Series(dtype=float)})
+
+        cand = q.groupBy("_b", "_c").cogroup(r.groupBy("_b", "_c")).applyInPandas(meet, schema)
+    order = [F.col("_rounded"), F.col("property_id")]
+    some = F.pmod(F.spark_partition_id(), F.lit(32))
+    first = Window.partitionBy("query_id", "_g").orderBy(*order)
+    cand = cand.withColumn("_g", some).withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= k)
+    last = Window.partitionBy("query_id").orderBy(*order)
+    return cand.withColumn("_r", F.row_number().over(last)).filter(F.col("_r") <= k).drop("_r", "_g", "_rounded")
 
 
 def semantic_rank(hits: DataFrame, listings: DataFrame, queries: DataFrame) -> DataFrame:
@@ -348,11 +385,13 @@ def linear_scorer(weights: dict[str, float] | None = None):
     return score
 
 
-def hybrid_search(cands: DataFrame, queries: DataFrame, reranker=None, model_path: str | None = None):
+def hybrid_search(cands: DataFrame, queries: DataFrame, reranker=None, model_path: str | None = None,
+                  as_of: str | None = None):
     """RET-06: (ranking_log rows for the full pool, top_k results).
 
     With a reranker (DataFrame -> DataFrame adding ``score``) ranks by score;
-    without one falls back to lexical rank. An empty pool yields no rows.
+    without one falls back to lexical rank. An empty pool yields no rows. The log's
+    ``ts`` is ``as_of`` (UTC), or now where none is given.
     """
     if reranker is not None:
         ranked = final_rank_rerank(reranker(cands))
@@ -360,7 +399,8 @@ def hybrid_search(cands: DataFrame, queries: DataFrame, reranker=None, model_pat
     else:
         ranked = final_rank_fallback(cands)
         path = F.lit(None).cast("string")
-    log = emit_ranking_log(ranked.withColumn("model_path", path))
+    now = F.lit(as_of) if as_of else F.current_timestamp()
+    log = emit_ranking_log(ranked.withColumn("model_path", path), now.cast("timestamp_ntz"))
     return log, topk_results(ranked, queries)
 
 
@@ -409,7 +449,7 @@ def build_bm25_index(docs: DataFrame, path: str, buckets: int = TERM_BUCKETS) ->
         postings = (toks.select("property_id", F.explode("tokens").alias("term"))
                     .groupBy("term", "property_id").agg(F.count(F.lit(1)).alias("tf"))
                     .withColumn("term_bucket", term_bucket(F.col("term"), buckets)))
-        (postings.repartition("term_bucket").sortWithinPartitions("term")
+        (postings.repartition("term_bucket", "term").sortWithinPartitions("term_bucket", "term")
          .write.partitionBy("term_bucket").mode("errorifexists").parquet(f"{path}/postings"))
         dl = toks.select("property_id", F.size("tokens").alias("dl"), "rent", "layout", "walk_min", "pet_ok",
                          "age_years")

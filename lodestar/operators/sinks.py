@@ -46,14 +46,13 @@ def upsert_embeddings(target: DataFrame, batch: DataFrame, new_path: str) -> int
     """SNK-03: rows of ``target`` whose id is in ``batch`` are replaced by the batch rows.
 
     Writes the merged table to ``new_path`` (a new version) and returns the
-    number of batch rows written; an empty batch writes nothing and returns 0.
+    number of batch rows written. An empty batch returns 0 and the new version is
+    the old table, so readers of ``new_path`` always find one.
     """
     from pyspark import StorageLevel
     b = batch.select(*target.columns).persist(StorageLevel.MEMORY_AND_DISK)  # counted and written once
     try:
         n = b.count()
-        if n == 0:
-            return 0
         keep = target.join(b.select("property_id"), "property_id", "left_anti")
         keep.unionByName(b).repartition("property_id").write.mode("errorifexists").parquet(new_path)
         return n

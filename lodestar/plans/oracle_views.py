@@ -96,17 +96,21 @@ view("feedback_events", ["pairs"], """
 
 view("search_requests", [], """
   SELECT 'R' || CAST(o_orderkey AS VARCHAR) AS request_id, o_orderpriority AS query,
-         CAST(20 AS BIGINT) AS top_k, o_totalprice / 1000 AS latency_ms
+         CAST(20 AS BIGINT) AS top_k, o_totalprice / 1000 AS latency_ms, o_orderdate AS requested_at
   FROM orders""")
 
 view("search_logs", ["ranking_log", "search_requests"], """
   SELECT r.request_id, min(r.ts) AS ts, q.query, q.top_k, q.latency_ms,
-         list(r.property_id ORDER BY r.final_rank) AS result_property_ids,
-         string_agg(r.property_id, ',' ORDER BY r.final_rank) AS result_ids,
+         list(r.property_id ORDER BY r.shown) AS result_property_ids,
+         string_agg(r.property_id, ',' ORDER BY r.shown) AS result_ids,
          count(*) AS n_results
-  FROM ranking_log r JOIN search_requests q ON q.request_id = r.request_id
-  WHERE r.final_rank <= q.top_k
-  GROUP BY r.request_id, q.query, q.top_k, q.latency_ms""")
+  FROM (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY final_rank, rrf_rank) AS shown FROM ranking_log) r
+  JOIN search_requests q ON q.request_id = r.request_id
+  WHERE r.shown <= q.top_k
+  GROUP BY r.request_id, q.query, q.top_k, q.latency_ms
+  UNION ALL
+  SELECT q.request_id, q.requested_at, q.query, q.top_k, q.latency_ms, [], '', 0
+  FROM search_requests q WHERE q.request_id NOT IN (SELECT request_id FROM ranking_log)""")
 
 view("training_runs", [], """
   SELECT 'run-' || CAST(o_orderkey AS VARCHAR) AS run_id, o_orderdate AS started_at,
@@ -116,7 +120,7 @@ view("training_runs", [], """
          CAST(0.5 AS DOUBLE) + CAST(o_orderkey % 400 AS DOUBLE) / 1000 AS ndcg_at_10,
          CAST(0.3 AS DOUBLE) + CAST(o_orderkey % 300 AS DOUBLE) / 1000 AS map,
          CAST(0.6 AS DOUBLE) + CAST(o_orderkey % 200 AS DOUBLE) / 1000 AS recall_at_20
-  FROM orders WHERE o_orderkey % 50 = 0""")
+  FROM orders""")
 
 view("job_audit", [], """
   SELECT o_orderkey AS job_id, o_orderdate AS creation_time,
@@ -130,7 +134,7 @@ view("access_log", [], """
               WHEN 'purchase' THEN '/feedback' WHEN 'signup' THEN '/healthz' ELSE '/search' END AS path,
          CAST(CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS BIGINT) AS status,
          value * 5 AS latency_ms,
-         CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS severity,
+         CASE WHEN event_type = 'error' AND user_id % 4 = 0 THEN 'CRITICAL' WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS severity,
          CAST(user_id AS VARCHAR) || ':' || event_type AS fingerprint, user_id, event_type
   FROM events""")
 
@@ -152,7 +156,7 @@ view("text_queries", [], """
 
 view("query_vectors", [], """
   SELECT 'Q' || CAST(vec_id AS VARCHAR) AS query_id, CAST(embedding AS DOUBLE[]) AS query_vector
-  FROM embeddings WHERE vec_id IN (SELECT item_id FROM benchmark) AND vec_id % 4 <> 3""")
+  FROM embeddings WHERE vec_id IN (SELECT item_id FROM benchmark)""")
 
 view("property_embeddings", ["properties"], """
   SELECT 'P' || CAST(e.vec_id AS VARCHAR) AS property_id, CAST(e.embedding AS DOUBLE[]) AS embedding,

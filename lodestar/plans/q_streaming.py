@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from lodestar.functions.columns import ts_lit
+from lodestar.functions.vocab import CACHE_TTL_SECONDS
 from lodestar.plans.q_features import _sink_dir, mart
 from lodestar.plans.q_monitoring import DRIFT_SQL, RETRAIN_SQL, q_drift
 from lodestar.plans.registry import query
@@ -14,8 +15,7 @@ from lodestar.sources import fixtures as fx
 from lodestar.streaming import messages as msg
 from lodestar.streaming import operators as so
 
-HOUR = "1 hour"  # one-minute windows are nearly empty on the driver events; fixtures widen them
-RUN = 3
+HOUR_RUN = 3  # the hourly variants show alert rows on the driver events, which are sparse by the minute
 
 
 def _rl_messages(spark, d):
@@ -47,20 +47,24 @@ def q_fb_stream(spark, d):
     return valid
 
 
-def _run_stream_to_table(spark, raw_df, parse_fn, name):
-    """Write messages as JSON files, stream them through ``parse_fn`` into parquet, read back."""
+def _run_stream_to_table(spark, raw_df, parse_fn, name, kind):
+    """Write messages as JSON files, stream them through ``parse_fn`` into parquet and what it rejects
+    into a quarantine table beside it; (table, quarantine) read back."""
     base = _sink_dir(spark, name)
-    raw_df.repartition(4).write.mode("errorifexists").text(f"{base}/in")
+    raw_df.write.mode("errorifexists").text(f"{base}/in")
     stream = spark.readStream.schema("value string").text(f"{base}/in")
-    q = so.stream_to_table(parse_fn(stream), f"{base}/out", f"{base}/ckpt")
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    runs = [so.stream_to_table(parse_fn(stream), f"{base}/out", f"{base}/ckpt"),
+            so.stream_to_table(msg.quarantine(stream, kind), f"{base}/quarantine", f"{base}/ckpt-quarantine")]
+    for q in runs:
+        q.awaitTermination()
+    rejected = spark.read.schema("topic string, raw string, reason string").parquet(f"{base}/quarantine")
+    return spark.read.parquet(f"{base}/out"), rejected
 
 
 @query("stream_to_table", RL_SQL, ("ranking_log",))
 def q_stream_to_table(spark, d):
     """SNK-05: a real Structured Streaming run: JSON files -> from_json -> parquet sink with checkpoint."""
-    out = _run_stream_to_table(spark, _rl_messages(spark, d), msg.ranking_log_rows, "ranking_log_stream")
+    out, _ = _run_stream_to_table(spark, _rl_messages(spark, d), msg.ranking_log_rows, "ranking_log_stream", "ranking_log")
     return _rl_out(out)
 
 
@@ -68,7 +72,26 @@ def q_stream_to_table(spark, d):
 def q_record_feedback(spark, d):
     """SNK-07: streamed feedback appended (valid rows) to the feedback table."""
     raw = msg.to_message(fx.feedback_stream_rows(spark, d).drop("event_id"))
-    return _run_stream_to_table(spark, raw, lambda s: msg.feedback_rows(s)[0], "feedback_stream")
+    return _run_stream_to_table(spark, raw, lambda s: msg.feedback_rows(s)[0], "feedback_stream", "feedback")[0]
+
+
+def _broken_feedback(spark, d):
+    """Feedback messages of which every 97th is cut short and every 89th lacks its listing."""
+    e = fx.feedback_stream_rows(spark, d)
+    rows = e.withColumn("property_id", F.when(F.col("event_id") % 89 != 0, F.col("property_id")))
+    out = rows.select("event_id", F.to_json(F.struct("request_id", "property_id", "action", "ts"), msg.JSON_OPTIONS).alias("value"))
+    return out.select(F.when(F.col("event_id") % 97 == 0, F.lit("not json")).otherwise(F.col("value")).alias("value"))
+
+
+@query("quarantined_messages", """
+SELECT reason, count(*) AS n_messages FROM (
+  SELECT CASE WHEN event_id % 97 = 0 THEN 'unparsable' WHEN event_id % 89 = 0 THEN 'missing field'
+              WHEN action NOT IN ('click', 'favorite', 'inquiry') THEN 'unknown action' END AS reason
+  FROM feedback_stream) WHERE reason IS NOT NULL GROUP BY reason""", ("feedback_stream",))
+def q_quarantine(spark, d):
+    """SNK-07: what a feedback stream rejects is kept, by reason."""
+    _, bad = _run_stream_to_table(spark, _broken_feedback(spark, d), lambda s: msg.feedback_rows(s)[0], "feedback_rejects", "feedback")
+    return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n_messages"))
 
 
 @query("alerts_stream", f"""
@@ -113,54 +136,68 @@ def q_trigger(spark, d):
                     F.size("retrain_reasons").alias("n_reasons"))
 
 
-ER_SQL = """
-SELECT date_trunc('hour', ts) AS window_start, count(*) AS n_requests, count_if(severity = 'ERROR') AS n_errors,
-       round(count_if(severity = 'ERROR') / count(*), 6) AS error_rate
+def _er_sql(unit: str) -> str:
+    return f"""
+SELECT date_trunc('{unit}', ts) AS window_start, count(*) AS n_requests, count_if(severity IN ('ERROR', 'CRITICAL')) AS n_errors,
+       round(count_if(severity IN ('ERROR', 'CRITICAL')) / count(*), 6) AS error_rate
+FROM access_log GROUP BY 1"""
+
+
+def _p95_sql(unit: str) -> str:
+    return f"""
+SELECT date_trunc('{unit}', ts) AS window_start, round(quantile_cont(latency_ms, 0.95), 6) AS p95_latency_ms,
+       count(*) AS n_requests
 FROM access_log GROUP BY 1"""
 
 
-def _sustained_sql(inner: str, breach: str) -> str:
+def _sustained_sql(inner: str, breach: str, unit: str, run: int) -> str:
+    joins = "\n".join(f"JOIN b b{i} ON b{i}.window_start = b0.window_start - INTERVAL {i} {unit.upper()}" for i in range(1, run))
     return f"""
 WITH w AS ({inner}), b AS (SELECT window_start FROM w WHERE {breach})
 SELECT b0.window_start FROM b b0
-JOIN b b1 ON b1.window_start = b0.window_start - INTERVAL 1 HOUR
-JOIN b b2 ON b2.window_start = b0.window_start - INTERVAL 2 HOUR"""
+{joins}"""
 
 
-@query("error_rate_1m", ER_SQL, ("access_log",))
+@query("error_rate_1m", _er_sql("minute"), ("access_log",))
 def q_error_rate(spark, d):
-    """STR-05: per-window error rate (width 1 hour on the driver events)."""
-    return so.error_rate(fx.access_log(spark, d), HOUR).withColumn("error_rate", F.round("error_rate", 6))
+    """STR-05: per-minute error rate."""
+    return so.error_rate(fx.access_log(spark, d)).withColumn("error_rate", F.round("error_rate", 6))
 
 
-@query("error_rate_alerts", _sustained_sql(ER_SQL, "n_errors > 0"), ("access_log",))
+@query("error_rate_alerts", _sustained_sql(_er_sql("minute"), "n_errors > 0", "minute", 10), ("access_log",))
 def q_error_alerts(spark, d):
-    """STR-05 second stage: rate > 0 in 3 consecutive windows."""
-    return so.error_alerts(fx.access_log(spark, d), HOUR, 3600, RUN)
+    """STR-05 second stage: rate > 0 in 10 consecutive minutes."""
+    return so.error_alerts(fx.access_log(spark, d), "1 minute", 60)
 
 
-P95_SQL = """
-SELECT date_trunc('hour', ts) AS window_start, round(quantile_cont(latency_ms, 0.95), 6) AS p95_latency_ms,
-       count(*) AS n_requests
-FROM access_log GROUP BY 1"""
+@query("error_rate_alerts_hourly", _sustained_sql(_er_sql("hour"), "n_errors > 0", "hour", HOUR_RUN), ("access_log",))
+def q_error_alerts_hourly(spark, d):
+    """STR-05 with hours and runs of three."""
+    return so.error_alerts(fx.access_log(spark, d), "1 hour", 3600, HOUR_RUN)
 
 
-@query("latency_p95_1m", P95_SQL, ("access_log",))
+@query("latency_p95_1m", _p95_sql("minute"), ("access_log",))
 def q_p95(spark, d):
-    """STR-06: per-window p95 latency (exact in batch)."""
-    return so.latency_p95(fx.access_log(spark, d), HOUR).withColumn("p95_latency_ms", F.round("p95_latency_ms", 6))
+    """STR-06: per-minute p95 latency (exact in batch)."""
+    return so.latency_p95(fx.access_log(spark, d)).withColumn("p95_latency_ms", F.round("p95_latency_ms", 6))
 
 
-@query("latency_alerts", _sustained_sql(P95_SQL, "p95_latency_ms > 500"), ("access_log",))
+@query("latency_alerts", _sustained_sql(_p95_sql("minute"), "p95_latency_ms > 500", "minute", 10), ("access_log",))
 def q_latency_alerts(spark, d):
-    return so.latency_alerts(fx.access_log(spark, d), HOUR, 3600, RUN)
+    """STR-06 second stage: p95 above 500 ms in 10 consecutive minutes."""
+    return so.latency_alerts(fx.access_log(spark, d), "1 minute", 60)
+
+
+@query("latency_alerts_hourly", _sustained_sql(_p95_sql("hour"), "p95_latency_ms > 500", "hour", HOUR_RUN), ("access_log",))
+def q_latency_alerts_hourly(spark, d):
+    return so.latency_alerts(fx.access_log(spark, d), "1 hour", 3600, HOUR_RUN)
 
 
 @query("request_dedup_ttl", """
 WITH RECURSIVE ev AS (SELECT CAST(substr(request_id, 2) AS BIGINT) AS event_id, fingerprint, epoch_us(ts) / 1e6 AS s
                       FROM access_log),
 nxt AS (SELECT a.event_id,
-               (SELECT b.event_id FROM ev b WHERE b.fingerprint = a.fingerprint AND b.s >= a.s + 86400
+               (SELECT b.event_id FROM ev b WHERE b.fingerprint = a.fingerprint AND b.s >= a.s + 120
                 ORDER BY b.s, b.event_id LIMIT 1) AS next_id
         FROM ev a),
 heads AS (SELECT arg_min(event_id, s * 1e7 + event_id) AS id FROM ev GROUP BY fingerprint),
@@ -171,7 +208,7 @@ def q_dedup(spark, d):
     """STR-07: TTL cache misses per request fingerprint (1-day ttl); the oracle follows the chain
     recursively, the Spark form by pointer doubling."""
     log = fx.access_log(spark, d).withColumn("event_id", F.substring("request_id", 2, 20).cast("bigint"))
-    return so.dedup_ttl(log, "fingerprint", "ts", 86400).select("event_id", "fingerprint", "is_miss")
+    return so.dedup_ttl(log, "fingerprint", "ts", CACHE_TTL_SECONDS).select("event_id", "fingerprint", "is_miss")
 
 
 @query("feedback_attribution", """

@@ -164,6 +164,7 @@ def search_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast(FILTER_STRUCT).alias("filters"),
         F.lit(20).cast("bigint").alias("top_k"),
         (F.col("o_totalprice") / 1000).alias("latency_ms"),
+        F.col("o_orderdate").alias("requested_at"),
     )
 
 
@@ -191,7 +192,7 @@ def training_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(50).cast("bigint").alias("min_data_in_leaf"),
         F.lit(20).cast("bigint").alias("lambdarank_truncation_level"),
     )
-    return read(spark, sf_dir, "orders").filter(k % 50 == 0).select(
+    return read(spark, sf_dir, "orders").select(
         F.concat(F.lit("run-"), k.cast("string")).alias("run_id"),
         F.col("o_orderdate").alias("started_at"),
         F.when(k % 500 == 0, F.lit(None)).otherwise(
@@ -225,7 +226,7 @@ def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         path.alias("path"),
         F.when(et == "error", 500).otherwise(200).cast("bigint").alias("status"),
         (F.col("value") * 5).alias("latency_ms"),
-        F.when(et == "error", "ERROR").otherwise("INFO").alias("severity"),
+        F.when((et == "error") & (F.col("user_id") % 4 == 0), "CRITICAL").when(et == "error", "ERROR").otherwise("INFO").alias("severity"),
         F.concat(F.col("user_id").cast("string"), F.lit(":"), et).alias("fingerprint"),
         "user_id", "event_type",
     )
@@ -261,10 +262,9 @@ def text_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def query_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Query vectors for the text queries: embedding ``vec_id = item_id`` (none when item_id % 4 = 3)."""
+    """Query vectors for the text queries: embedding ``vec_id = item_id``."""
     qids = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("vec_id"))
     return (read(spark, sf_dir, "embeddings").join(qids, "vec_id", "left_semi")
-            .filter(F.col("vec_id") % 4 != 3)
             .select(F.concat(F.lit("Q"), F.col("vec_id").cast("string")).alias("query_id"),
                     F.col("embedding").cast("array<double>").alias("query_vector")))
 

@@ -7,6 +7,8 @@ quarantine frame instead of failing the stream.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,12 +104,44 @@ def feedback_rows(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 def alert_rows(raw: DataFrame) -> DataFrame:
     """STR-03: drift alert messages -> alert table rows, raw payload kept as JSON text."""
     p = raw.withColumn("_m", F.from_json(F.col("value"), ALERT_T, JSON_OPTIONS))
-    return p.filter(F.col("_m").isNotNull()).select("_m.*", F.col("value").alias("payload"))
+    ok = reduce(lambda a, c: a & F.col(f"_m.{c}").isNotNull(), REQUIRED["alert"], F.col("_m").isNotNull())
+    return p.filter(F.coalesce(ok, F.lit(False))).select("_m.*", F.col("value").alias("payload"))
+
+
+def quarantine(raw: DataFrame, kind: str) -> DataFrame:
+    """(topic, raw, reason) of the messages that ``kind`` rejects: what its table never gets.
+
+    reason: unparsable, missing field, or (feedback) unknown action.
+    """
+    from lodestar.functions.vocab import VALID_ACTIONS
+    schema = {"ranking_log": RANKING_LOG_T, "feedback": FEEDBACK_T, "alert": ALERT_T}[kind]
+    p = raw.withColumn("_m", F.from_json(F.col("value"), schema, JSON_OPTIONS))
+    some = reduce(lambda a, f: a | F.col(f"_m.{f.name}").isNotNull(), schema.fields, F.lit(False))
+    whole = reduce(lambda a, c: a & F.col(f"_m.{c}").isNotNull(), REQUIRED[kind], F.lit(True))
+    reason = F.when(F.col("_m").isNull() | ~some, "unparsable").when(~whole, "missing field")
+    if kind == "feedback":
+        reason = reason.when(~F.col("_m.action").isin(*VALID_ACTIONS), "unknown action")
+    return p.select(F.lit(kind).alias("topic"), F.col("value").alias("raw"), reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 
 DEFAULT_PIPELINE_PARAMETERS = {"learning_rate": "0.05", "num_leaves": "31"}
 
 
+def _trigger_text(encoded: bool) -> Column:
+    return F.try_to_binary(F.col("data"), F.lit("base64")).try_cast("string") if encoded else F.col("data")
+
+
+def _is_trigger(encoded: bool) -> Column:
+    text = _trigger_text(encoded)
+    whole = F.trim(text).startswith("{") & F.json_object_keys(text).isNotNull()
+    return F.coalesce(whole, F.lit(False))
+
+
+def rejected_triggers(raw: DataFrame, encoded: bool = True) -> DataFrame:
+    """Trigger messages that are no base64 (where encoded) or no JSON object."""
+    return raw.filter(~_is_trigger(encoded))
+
+
 def trigger_events(raw: DataFrame, defaults: dict[str, str] | None = None,
                    encoded: bool = True) -> DataFrame:
     """STR-04: base64 JSON trigger message -> resolved event.
@@ -115,11 +149,12 @@ def trigger_events(raw: DataFrame, defaults: dict[str, str] | None = None,
     source: a known source (trimmed, lower-cased) wins; otherwise any reason
     mentioning "drift" means monitoring; otherwise scheduler. Parameters are the
     defaults overlaid by the event's own; ``enable_tuning`` defaults to
-    (source = monitoring); reasons are copied to ``retrain_reasons`` unless set.
+    (source = monitoring); ``retrain_reasons`` are the ones given as a parameter
+    (a JSON array) or else the message's reasons. A message that is not base64 of a
+    JSON object is no event; ``rejected_triggers`` has it.
     """
     dflt = defaults if defaults is not None else DEFAULT_PIPELINE_PARAMETERS
-    text = F.decode(F.unbase64(F.col("data")), "UTF-8") if encoded else F.col("data")
-    m = raw.withColumn("_m", F.from_json(text, TRIGGER_T, JSON_OPTIONS))
+    m = raw.filter(_is_trigger(encoded)).withColumn("_m", F.from_json(_trigger_text(encoded), TRIGGER_T, JSON_OPTIONS))
     src = F.lower(F.trim(F.coalesce(F.col("_m.source"), F.lit(""))))
     drift = F.coalesce(F.exists(F.col("_m.reasons"), lambda r: F.lower(r).contains("drift")), F.lit(False))
     source = (F.when(src.isin(*TRIGGER_SOURCES), src).when(drift, F.lit("monitoring"))
@@ -132,4 +167,5 @@ def trigger_events(raw: DataFrame, defaults: dict[str, str] | None = None,
     tuning = F.coalesce(F.lower(params["enable_tuning"]).try_cast("boolean"), source == "monitoring")
     return m.select(*[c for c in raw.columns if c != "data"], source.alias("source"),
                     tuning.alias("enable_tuning"), params.alias("parameters"),
-                    F.coalesce(F.col("_m.reasons"), F.array().cast("array<string>")).alias("retrain_reasons"))
+                    F.coalesce(F.from_json(params["retrain_reasons"], "array<string>"), F.col("_m.reasons"),
+                               F.array().cast("array<string>")).alias("retrain_reasons"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.functions.vocab import ALERT_SUSTAIN_WINDOWS, LATENCY_P95_ALERT_MS
+from lodestar.functions.vocab import ALERT_SUSTAIN_WINDOWS, ERROR_SEVERITIES, LATENCY_P95_ALERT_MS
 
 
 def event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
@@ -17,10 +17,10 @@ def event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
 
 
 def error_rate(log: DataFrame, width: str = "1 minute", ts: str = "ts") -> DataFrame:
-    """STR-05: per tumbling window: requests, ERROR lines and their rate."""
+    """STR-05: per tumbling window: requests, lines of severity ERROR or above, and their rate."""
     g = log.groupBy(F.window(ts, width).alias("w")).agg(
         F.count(F.lit(1)).alias("n_requests"),
-        F.count_if(F.col("severity") == "ERROR").alias("n_errors"))
+        F.count_if(F.col("severity").isin(*ERROR_SEVERITIES)).alias("n_errors"))
     return g.select(F.col("w.start").alias("window_start"), "n_requests", "n_errors",
                     (F.col("n_errors") / F.col("n_requests")).alias("error_rate"))
 

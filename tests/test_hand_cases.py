@@ -250,3 +250,80 @@ def test_export_documents_batches_of_1000(spark, tmp_dir):
     sizes = sorted(sum(1 for _ in open(f)) for f in files)
     assert sizes == [500, 1000, 1000]
     assert all("property_id" in json.loads(open(f).readline()) for f in files)
+
+
+def test_vector_topk_ties_nulls_and_partitionings(spark, monkeypatch):
+    """Equal vectors across the cut: the ids decide, whatever the partitioning; unusable vectors take no part."""
+    from lodestar.operators import retrieval as rt
+    same = [(f"P{i:04d}", [1.0, 0.0, 0.5]) for i in range(300)]
+    odd = [("N1", None), ("N2", [1.0, None, 0.5]), ("N3", [1.0, 0.0]), ("N4", [float("nan"), 0.0, 0.5]), (None, [1.0, 0.0, 0.5]), ("Z", [0.0, 0.0, 0.0])]
+    corpus = spark.createDataFrame(same + odd, "property_id string, embedding array<double>")
+    queries = spark.createDataFrame([("q1", [1.0, 0.0, 0.5]), ("q2", [0.0, 1.0, 0.0]), ("q3", None)], "query_id string, query_vector array<double>")
+    want = {(q, f"P{i:04d}") for q in ("q1", "q2") for i in range(200)}
+    for size in (64 << 20, 64):  # broadcast, then cogroups
+        monkeypatch.setattr(rt, "MAX_BROADCAST_QUERY_BYTES", size)
+        for n in (1, 7):
+            got = rt.vector_topk(queries, corpus.repartition(n)).collect()
+            assert {(r["query_id"], r["property_id"]) for r in got} == want and len(got) == 400
+    assert rt.vector_topk(queries.filter("query_id = 'q3'"), corpus).count() == 0
+
+
+def test_search_log_keeps_shown_rows_and_empty_searches(spark):
+    """Fallback regime: final_rank is the lexical rank, 10000 for semantic hits; the display position decides."""
+    from lodestar.operators import monitoring as mon
+    log = spark.createDataFrame([("a", "P1", 1, 2), ("a", "P2", 7, 1), ("a", "P3", 10000, 3), ("a", "P4", 10000, 4)],
+                                "request_id string, property_id string, final_rank long, rrf_rank long") \
+        .selectExpr("*", "timestamp_ntz'2001-01-01 00:00:00' ts", "'m' model_path")
+    requests = spark.createDataFrame([("a", 3), ("b", 3)], "request_id string, top_k long") \
+        .selectExpr("*", "'q' query", "null filters", "1.0D latency_ms", "timestamp_ntz'2001-01-02 00:00:00' requested_at")
+    got = {r["request_id"]: r for r in mon.search_logs_from_ranking_log(log, requests).collect()}
+    assert got["a"]["result_property_ids"] == ["P1", "P2", "P3"]
+    assert got["b"]["result_property_ids"] == [] and str(got["b"]["ts"]) == "2001-01-02 00:00:00"
+
+
+def test_emitted_log_reads_back(spark):
+    from lodestar.operators import retrieval as rt
+    from lodestar.streaming import messages as msg
+    cands = spark.createDataFrame([("q", f"P{i}", i, 10000, i, 0.0) for i in range(1, 6)],
+                                  "query_id string, property_id string, lexical_rank long, semantic_rank long, rrf_rank long, me5_score double") \
+        .selectExpr("*", "1L rent", "2L walk_min", "3L age_years", "4.0D area_m2", "null ctr", "null fav_rate", "null inquiry_rate")
+    log, _ = rt.hybrid_search(cands, spark.createDataFrame([("q", 3)], "query_id string, top_k long"), as_of="2001-07-15 12:00:00")
+    back = msg.ranking_log_rows(msg.to_message(log)).collect()
+    assert len(back) == 5 and {str(r["ts"]) for r in back} == {"2001-07-15 12:00:00"}
+
+
+def test_unparsable_triggers_and_alerts_are_rejected(spark):
+    import base64
+    from lodestar.streaming import messages as msg
+    enc = lambda s: base64.b64encode(s.encode()).decode()
+    rows = [(1, enc('{"source": "manual"}')), (2, enc("not json")), (3, "%%%"), (4, None), (5, enc("[1]")),
+            (6, enc('{"reasons": ["x"], "parameters": {"retrain_reasons": "[\\"given\\"]"}}'))]
+    raw = spark.createDataFrame(rows, "event_id long, data string")
+    got = {r["event_id"]: r for r in msg.trigger_events(raw).collect()}
+    assert set(got) == {1, 6} and got[6]["retrain_reasons"] == ["given"]
+    assert {r["event_id"] for r in msg.rejected_triggers(raw).collect()} == {2, 3, 4, 5}
+    alerts = spark.createDataFrame([("not json",), ("{}",)], "value string")
+    assert msg.alert_rows(alerts).count() == 0 and msg.quarantine(alerts, "alert").count() == 2
+
+
+def test_empty_upsert_leaves_a_readable_version(spark, tmp_dir):
+    from lodestar.operators import sinks
+    old = spark.createDataFrame([("P1", "a")], "property_id string, text_hash string")
+    path = sinks.new_version_path(tmp_dir)
+    assert sinks.upsert_embeddings(old, old.filter("false"), path) == 0
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [("P1", "a")]
+
+
+def test_critical_counts_as_an_error(spark):
+    from lodestar.streaming import operators as so
+    log = spark.createDataFrame([("INFO",), ("ERROR",), ("CRITICAL",), (None,)], "severity string").selectExpr("*", "timestamp'2024-01-01 00:00:10' ts")
+    assert so.error_rate(log).first()["n_errors"] == 2
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    import pytest
+    from types import SimpleNamespace
+    from lodestar.session import checkpoint_dir
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(fake)
