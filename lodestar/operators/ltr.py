@@ -89,7 +89,7 @@ def group_boundaries(frame: DataFrame, order: str = "pool_rank") -> DataFrame:
             .withColumn("is_group_start", F.lag("request_id").over(w).isNull()))
 
 
-def _ranked(frame: DataFrame, score: Column, tie: Column) -> DataFrame:
+def ranked(frame: DataFrame, score: Column, tie: Column) -> DataFrame:
     """Position by score desc, ties kept in frame order (stable sort)."""
     w = Window.partitionBy("request_id").orderBy(F.col("_s").desc(), F.col("_t").asc())
     return (frame.select("request_id", F.col("label").cast("bigint").alias("_l"),
@@ -100,7 +100,7 @@ def _ranked(frame: DataFrame, score: Column, tie: Column) -> DataFrame:
                 w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
 
 
-def _ideal_dcg(k: int) -> Column:
+def ideal_dcg(k: int) -> Column:
     """Ideal DCG@k from label counts (labels are gains 0..3): best labels first."""
     n3, n2, n1 = F.col("_n3"), F.col("_n2"), F.col("_n1")
     top = F.least(F.lit(k).cast("bigint"), n3 + n2 + n1)
@@ -121,7 +121,7 @@ def per_request_metrics(frame: DataFrame, score: Column | None = None, tie: Colu
     """
     score = score if score is not None else F.col("score")
     tie = tie if tie is not None else F.col("lexical_rank")
-    r = _ranked(frame, score, tie)
+    r = ranked(frame, score, tie)
     gain = F.pow(F.lit(2.0), F.col("_l")) - 1
     g = r.groupBy("request_id").agg(
         F.sum(F.when(F.col("_pos") <= k_ndcg, gain / F.log2(F.col("_pos") + 1))
@@ -134,7 +134,7 @@ def per_request_metrics(frame: DataFrame, score: Column | None = None, tie: Colu
         F.count_if(F.col("_l") == 1).alias("_n1"),
         F.count(F.lit(1)).alias("n_candidates"),
     )
-    idcg = _ideal_dcg(k_ndcg)
+    idcg = ideal_dcg(k_ndcg)
     return g.select(
         "request_id",
         F.when(idcg > 0, F.col("_dcg") / idcg).otherwise(0.0).alias(f"ndcg_at_{k_ndcg}"),

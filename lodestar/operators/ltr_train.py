@@ -2,18 +2,22 @@
 
 Per boosting round:
   1. lambda gradients and hessians per request (pairwise within a request, in
-     numpy inside ``applyInPandas``; a request is a logged pool, bounded by the
+     numpy inside ``mapInPandas``; a request is a logged pool, bounded by the
      pool size, and its pairs never leave the task),
   2. one MLlib regression tree on the Newton target -g/h weighted by h (the
      weighted leaf mean is the Newton step -sum(g)/sum(h)),
   3. score += learning_rate * tree, where the tree is turned into a native
      CASE WHEN column (codegen'd, no model UDF),
-with bagging of requests, a feature subset per tree, early stopping on the
-validation NDCG@10, and a reliable checkpoint every few rounds to cut lineage.
+with bagging of requests, a feature subset per tree, early stopping once one of
+the validation NDCG@5, @10 and @20 has not improved for the given rounds, and a
+reliable checkpoint every few rounds to cut lineage. A model is plain data: it is
+saved as JSON lines, one per tree, and scores wherever it is loaded.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 import math
 from dataclasses import dataclass, field
 
@@ -22,29 +26,60 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.functions.vocab import FEATURE_COLS, LAMBDARANK_PARAMS
+from lodestar.functions.vocab import EVAL_AT, FEATURE_COLS, LAMBDARANK_PARAMS
 from lodestar.operators import ltr
 
 
+def _as_column(node: dict) -> Column:
+    if "value" in node:
+        return F.lit(float(node["value"]))
+    return F.when(F.col(node["feature"]) <= F.lit(float(node["threshold"])), _as_column(node["left"])).otherwise(_as_column(node["right"]))
+
+
 @dataclass
 class Tree:
-    expr: Column            # prediction as a native expression over feature columns
+    root: dict              # {feature, threshold, left, right} or {value}
     importances: dict[str, float]
 
+    @property
+    def expr(self) -> Column:
+        """The prediction as a native expression over feature columns."""
+        return _as_column(self.root)
+
+    def n_leaves(self) -> int:
+        count = lambda n: 1 if "value" in n else count(n["left"]) + count(n["right"])
+        return count(self.root)
+
+
+def _sum(columns: list[Column]) -> Column:
+    """A balanced sum, so that hundreds of trees make no deep expression."""
+    while len(columns) > 1:
+        columns = [columns[i] + columns[i + 1] if i + 1 < len(columns) else columns[i] for i in range(0, len(columns), 2)]
+    return columns[0] if columns else F.lit(0.0)
+
 
 @dataclass
 class LambdaRankModel:
     learning_rate: float
     trees: list[Tree] = field(default_factory=list)
     best_iteration: int = 0
-    history: list[tuple[int, float, float]] = field(default_factory=list)  # (iter, train ndcg, valid ndcg)
+    history: list[tuple] = field(default_factory=list)  # (iteration, train ndcg@10, valid ndcg at each of EVAL_AT)
 
     def score_column(self, n_trees: int | None = None) -> Column:
         trees = self.trees[: (n_trees if n_trees is not None else (self.best_iteration or len(self.trees)))]
-        s = F.lit(0.0)
-        for t in trees:
-            s = s + F.lit(self.learning_rate) * t.expr
-        return s
+        return F.lit(self.learning_rate) * _sum([t.expr for t in trees])
+
+    def save(self, spark, path: str) -> None:
+        """JSON lines at ``path``: a head line, then one line per tree in order."""
+        head = {"learning_rate": self.learning_rate, "best_iteration": self.best_iteration, "history": self.history}
+        lines = [json.dumps({"i": -1} | head)] + [json.dumps({"i": i, "root": t.root, "importances": t.importances}) for i, t in enumerate(self.trees)]
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("errorifexists").text(path)
+
+    @staticmethod
+    def load(spark, path: str) -> LambdaRankModel:
+        rows = sorted((json.loads(r["value"]) for r in spark.read.text(path).collect()), key=lambda x: x["i"])  # one line a tree
+        head = rows[0]
+        return LambdaRankModel(head["learning_rate"], [Tree(r["root"], r["importances"]) for r in rows[1:]], head["best_iteration"], [tuple(h) for h in head["history"]])
 
 
 def check_columns(frame: DataFrame, feature_cols: list[str] = FEATURE_COLS) -> None:
@@ -100,8 +135,8 @@ def lambda_gradients(frame: DataFrame, feature_cols: list[str] = FEATURE_COLS,
     """Per-row lambda gradient and hessian of NDCG for the current ``score``.
 
     Requests must not straddle partitions: with ``clustered=True`` the frame is
-    already hash-partitioned by request_id (the training loop keeps it so) and
-    only a sort inside partitions is added; otherwise it is repartitioned. One
+    already partitioned and sorted by request_id (the training loop keeps it so);
+    otherwise it is repartitioned and sorted here. One
     ``mapInPandas`` pass then walks each partition's requests in order (a
     request split across Arrow batches is carried to the next batch), instead
     of one Arrow round trip per request.
@@ -132,24 +167,21 @@ def lambda_gradients(frame: DataFrame, feature_cols: list[str] = FEATURE_COLS,
 
     f = frame.select(*cols)
     if not clustered:
-        f = f.repartition("request_id")
-    return f.sortWithinPartitions("request_id").mapInPandas(run, schema)
+        f = f.repartition("request_id").sortWithinPartitions("request_id")
+    return f.mapInPandas(run, schema)
 
 
-def _node_to_column(node, cols: list[str]) -> Column:
-    cls = node.getClass().getSimpleName()
-    if cls == "LeafNode":
-        return F.lit(float(node.prediction()))
+def _node(node, cols: list[str]) -> dict:
+    if node.getClass().getSimpleName() == "LeafNode":
+        return {"value": float(node.prediction())}
     split = node.split()
-    c = F.col(cols[split.featureIndex()])
-    left = _node_to_column(node.leftChild(), cols)
-    right = _node_to_column(node.rightChild(), cols)
-    return F.when(c <= F.lit(float(split.threshold())), left).otherwise(right)
+    return {"feature": cols[split.featureIndex()], "threshold": float(split.threshold()),
+            "left": _node(node.leftChild(), cols), "right": _node(node.rightChild(), cols)}
 
 
-def tree_to_column(model, cols: list[str]) -> Column:
-    """A fitted MLlib regression tree as a CASE WHEN expression over ``cols``."""
-    return _node_to_column(model._java_obj.rootNode(), cols)
+def tree_of(model, cols: list[str]) -> dict:
+    """The nodes of a fitted MLlib regression tree over ``cols``."""
+    return _node(model._java_obj.rootNode(), cols)
 
 
 def _feature_subset(round_no: int, fraction: float, cols: list[str], seed: int) -> list[str]:
@@ -159,10 +191,16 @@ def _feature_subset(round_no: int, fraction: float, cols: list[str], seed: int)
     return [cols[i] for i in idx]
 
 
-def _ndcg(frame: DataFrame, score: Column) -> float:
-    f = frame.select("request_id", "label", "pool_rank", score.alias("score"))
-    m = ltr.evaluate_ranking(f, F.col("score"), F.col("pool_rank"))
-    return float(m.first()["ndcg_at_10"])
+def _ndcgs(frame: DataFrame, cutoffs: list[int]) -> list[float]:
+    """Mean NDCG of ``score`` at each cutoff, unrounded, in one pass; no requests -> zeros."""
+    r = ltr.ranked(frame, F.col("score"), F.col("pool_rank"))
+    gain = F.pow(F.lit(2.0), F.col("_l")) - 1
+    g = r.groupBy("request_id").agg(
+        *[F.sum(F.when(F.col("_pos") <= k, gain / F.log2(F.col("_pos") + 1)).otherwise(0.0)).alias(f"_dcg{k}") for k in cutoffs],
+        F.count_if(F.col("_l") >= 3).alias("_n3"), F.count_if(F.col("_l") == 2).alias("_n2"), F.count_if(F.col("_l") == 1).alias("_n1"))
+    per = g.select(*[F.when(ltr.ideal_dcg(k) > 0, F.col(f"_dcg{k}") / ltr.ideal_dcg(k)).otherwise(0.0).alias(f"n{k}") for k in cutoffs])
+    row = per.agg(*[F.coalesce(F.avg(f"n{k}"), F.lit(0.0)).alias(f"n{k}") for k in cutoffs]).first()
+    return [float(x) for x in row]
 
 
 def train_lambdarank(train: DataFrame, valid: DataFrame | None = None, params: dict | None = None,
@@ -171,7 +209,8 @@ def train_lambdarank(train: DataFrame, valid: DataFrame | None = None, params: d
     """LTR-03: boosted LambdaRank trees.
 
     ``train``/``valid``: request_id, pool_rank, label and the feature columns
-    (null-free doubles, e.g. from ``ranker_features``).
+    (null-free doubles, e.g. from ``ranker_features``). An empty training frame
+    raises. Trees are as deep as it takes to hold ``num_leaves`` leaves.
     """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import DecisionTreeRegressor
@@ -181,16 +220,18 @@ def train_lambdarank(train: DataFrame, valid: DataFrame | None = None, params: d
     check_columns(train, feature_cols)
     spark = train.sparkSession
     checkpoint_dir(spark)
-    depth = max(1, int(math.ceil(math.log2(p["num_leaves"] + 1))) - 1)
+    depth = max(1, math.ceil(math.log2(p["num_leaves"])))
     model = LambdaRankModel(learning_rate=p["learning_rate"])
-    # one partition per core, hashed by request: every round's per-request step reuses it
-    cur = (train.select("request_id", "pool_rank", "label", *feature_cols).withColumn("score", F.lit(0.0))
-           .repartition(spark.sparkContext.defaultParallelism, "request_id").checkpoint())
-    vcur = None
-    if valid is not None:
-        vcur = (valid.select("request_id", "pool_rank", "label", *feature_cols).withColumn("score", F.lit(0.0))
-                .repartition(spark.sparkContext.defaultParallelism, "request_id").checkpoint())
-    best, best_iter, since_best = -1.0, 0, 0
+    # hashed and sorted by request once: every round's per-request step reuses it
+    def clustered(f):
+        f = f.select("request_id", "pool_rank", "label", *feature_cols).withColumn("score", F.lit(0.0))
+        return f.repartition("request_id").sortWithinPartitions("request_id").checkpoint()
+
+    cur = clustered(train)
+    if cur.isEmpty():
+        raise ValueError("the training frame has no rows")
+    vcur = clustered(valid) if valid is not None else None
+    best, best_at, best_iter = [-1.0] * len(EVAL_AT), [0] * len(EVAL_AT), 0
     for r in range(int(p["num_iterations"])):
         g = lambda_gradients(cur, feature_cols, int(p["lambdarank_truncation_level"]), clustered=True)
         if p["bagging_fraction"] < 1.0:
@@ -207,7 +248,7 @@ def train_lambdarank(train: DataFrame, valid: DataFrame | None = None, params: d
         fitted = dt.fit(data)
         data.unpersist()
         imp = fitted.featureImportances.toArray()
-        tree = Tree(tree_to_column(fitted, subset), {subset[i]: float(imp[i]) for i in range(len(subset))})
+        tree = Tree(tree_of(fitted, subset), {subset[i]: float(imp[i]) for i in range(len(subset))})
         model.trees.append(tree)
         cur = cur.withColumn("score", F.col("score") + F.lit(p["learning_rate"]) * tree.expr)
         if (r + 1) % checkpoint_every == 0:
@@ -217,16 +258,18 @@ def train_lambdarank(train: DataFrame, valid: DataFrame | None = None, params: d
             vcur = vcur.withColumn("score", F.col("score") + F.lit(p["learning_rate"]) * tree.expr)
             if (r + 1) % checkpoint_every == 0:
                 vcur = vcur.checkpoint()
-            v = _ndcg(vcur, F.col("score"))
+            v = _ndcgs(vcur, EVAL_AT)
             # training NDCG only at checkpoints (it is reporting, not control)
-            t = _ndcg(cur, F.col("score")) if (r + 1) % checkpoint_every == 0 else None
-            model.history.append((r + 1, t, v))
-            if v > best + 1e-12:
-                best, best_iter, since_best = v, r + 1, 0
-            else:
-                since_best += 1
-                if since_best >= int(p["early_stopping_rounds"]):
-                    break
+            t = _ndcgs(cur, [10])[0] if (r + 1) % checkpoint_every == 0 else None
+            model.history.append((r + 1, t, *v))
+            for i, x in enumerate(v):
+                if x > best[i] + 1e-12:
+                    best[i], best_at[i] = x, r + 1
+            stalled = [at for at in best_at if r + 1 - at >= int(p["early_stopping_rounds"])]
+            if stalled:  # the first metric without progress ends it, at its own best round
+                best_iter = min(stalled)
+                break
+            best_iter = best_at[EVAL_AT.index(10)]
     model.best_iteration = best_iter or len(model.trees)
     return model
 
@@ -248,15 +291,20 @@ def feature_importance(spark, model: LambdaRankModel, feature_cols: list[str] =
 
 def training_pipeline(frame: DataFrame, params: dict | None = None, run_id: str = "run",
                       gate_metric: str = "ndcg_at_10", gate_threshold: float = 0.6,
-                      bucket: Column | None = None):
+                      bucket: Column | None = None, model_dir: str | None = None,
+                      git_sha: str | None = None):
     """LTR-08: frame -> split -> train -> evaluate on test -> gate -> run row.
 
     Returns (run row DataFrame, model). The run row follows the training_runs
-    schema (flattened metrics and hyperparameters).
+    schema (flattened metrics and hyperparameters, instants, model path and
+    ``git_sha``); the model is saved under ``model_dir`` where one is given. An
+    empty frame raises.
     """
+    from lodestar.session import checkpoint_dir
+    checkpoint_dir(frame.sparkSession)
+    started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     feats = ltr.ranker_features(frame)
-    split = ltr.group_split(feats, bucket=bucket) \
-        .repartition(frame.sparkSession.sparkContext.defaultParallelism, "request_id").checkpoint()
+    split = ltr.group_split(feats, bucket=bucket).repartition("request_id").checkpoint()
     train = split.filter(F.col("split") == "train")
     test = split.filter(F.col("split") == "test")
     model = train_lambdarank(train, test, params)
@@ -264,8 +312,14 @@ def training_pipeline(frame: DataFrame, params: dict | None = None, run_id: str
     m = ltr.evaluate_ranking(scored.select("request_id", "label", "pool_rank", "score"),
                              F.col("score"), F.col("pool_rank"))
     p = {**LAMBDARANK_PARAMS, **(params or {})}
+    path = f"{model_dir.rstrip('/')}/{run_id}" if model_dir else None
+    if path:
+        model.save(frame.sparkSession, path)
+    finished = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     row = m.select(
         F.lit(run_id).alias("run_id"),
+        F.lit(started).cast("timestamp_ntz").alias("started_at"), F.lit(finished).cast("timestamp_ntz").alias("finished_at"),
+        F.lit(path).cast("string").alias("model_path"), F.lit(git_sha).cast("string").alias("git_sha"),
         F.lit(model.best_iteration).cast("bigint").alias("best_iteration"),
         "ndcg_at_10", "map", "recall_at_20", "n_queries",
         (F.col(gate_metric) >= gate_threshold).alias("passed_gate"),

@@ -1,43 +1,57 @@
 """Queries: LambdaRank training, scoring, importances, the training pipeline (no exact oracle).
 
-The checked runs train ``CHECK_ROUNDS`` boosting rounds (the library default is
-500 with early stopping after 30); the model is shared by the queries of one
-session and data directory.
+Training uses the full parameters (500 rounds, early stopping after 30) on the
+given tables. ``lambdarank_train`` and ``training_pipeline`` always train; the
+queries that only use a model load the one that this session last saved for the
+same tables, and train when there is none.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestar.operators import ltr, ltr_train
+from lodestar.operators import ltr, ltr_train, sinks
+from lodestar.plans.q_features import _sink_dir
 from lodestar.plans.q_ltr import _key_bucket, frame
 from lodestar.plans.registry import query
 
-CHECK_ROUNDS = 10
-CHECK_PARAMS = {"num_iterations": CHECK_ROUNDS, "min_data_in_leaf": 20}
-_CACHE: dict = {}
+
+_SAVED: dict[tuple, tuple] = {}  # (application, tables) -> (model path, its run row)
 
 
 def _trained(spark, d):
+    """(run row, model) of a new training; the model is saved."""
+    row, model = ltr_train.training_pipeline(frame(spark, d), run_id="check", bucket=_key_bucket(), model_dir=_sink_dir(spark, "models"))
+    run = row.first().asDict()
+    row = spark.createDataFrame([run], row.schema)
+    _SAVED[spark.sparkContext.applicationId, d] = (run["model_path"], row)
+    return row, model
+
+
+def _model(spark, d):
+    """(run row, model) last saved for these tables, loaded; trained when there is none."""
     key = (spark.sparkContext.applicationId, d)
-    if key not in _CACHE:
-        row, model = ltr_train.training_pipeline(frame(spark, d), CHECK_PARAMS, run_id="check",
-                                                 bucket=_key_bucket())
-        _CACHE[key] = (row.cache(), model)
-    return _CACHE[key]
+    if key not in _SAVED:
+        _trained(spark, d)
+    path, row = _SAVED[key]
+    return row, ltr_train.LambdaRankModel.load(spark, path)
 
 
 @query("lambdarank_train")
 def q_train(spark, d):
-    """LTR-03: per-round training and validation NDCG@10 of the boosted trees."""
-    _, model = _trained(spark, d)
-    return spark.createDataFrame(model.history, "iteration int, train_ndcg_at_10 double, valid_ndcg_at_10 double")
+    """LTR-03: per-round validation NDCG@5, @10 and @20 of the boosted trees, from the saved model."""
+    row, _ = _trained(spark, d)
+    lines = spark.read.text(row.first()["model_path"])
+    head = lines.select(F.from_json("value", "i int, history array<array<double>>").alias("h")).where("h.i = -1")
+    h = head.select(F.explode("h.history").alias("x"))
+    return h.select(F.get("x", F.lit(0)).cast("int").alias("iteration"), F.get("x", F.lit(1)).alias("train_ndcg_at_10"),
+                    *[F.get("x", F.lit(2 + i)).alias(f"valid_ndcg_at_{k}") for i, k in enumerate(ltr_train.EVAL_AT)])
 
 
 @query("rerank_score")
 def q_rerank_score(spark, d):
-    """LTR-04: model score for every candidate of the training frame."""
-    _, model = _trained(spark, d)
+    """LTR-04: score of every candidate of the training frame by the model, saved and loaded."""
+    _, model = _model(spark, d)
     f = ltr.ranker_features(frame(spark, d))
     return ltr_train.rerank_score(f, model).select("request_id", "property_id", "score")
 
@@ -45,23 +59,24 @@ def q_rerank_score(spark, d):
 @query("feature_importance")
 def q_importance(spark, d):
     """LTR-05: normalised gain per feature."""
-    _, model = _trained(spark, d)
+    _, model = _model(spark, d)
     return ltr_train.feature_importance(spark, model)
 
 
 @query("training_pipeline")
 def q_pipeline(spark, d):
-    """LTR-08: split, train, evaluate on the held-out requests, gate; the run row."""
+    """LTR-08: split, train, evaluate on the held-out requests, gate; the run row, appended and read back."""
     row, _ = _trained(spark, d)
-    return row
+    path = _sink_dir(spark, "runs")
+    sinks.append_run(row, path)
+    run = spark.read.parquet(path)
+    return run.select("run_id", "started_at", "finished_at", "model_path", "git_sha", "metrics.*", "hyperparams.*")
 
 
 @query("write_training_artifacts")
 def q_artifacts(spark, d):
-    """SNK-09: metrics JSON + feature-importance CSV written; the CSV read back."""
-    from lodestar.operators import sinks
-    from lodestar.plans.q_features import _sink_dir
-    row, model = _trained(spark, d)
+    """SNK-09: model, metrics JSON and feature-importance CSV written; the CSV read back."""
+    row, model = _model(spark, d)
     path = _sink_dir(spark, "training_artifacts")
     sinks.write_training_artifacts(row, ltr_train.feature_importance(spark, model), path)
     return spark.read.option("header", True).schema("feature string, gain double").csv(f"{path}/feature_importance")

@@ -327,3 +327,22 @@ def test_no_machine_local_folder_on_a_cluster():
     fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_dir(fake)
+
+
+def test_trained_model_saves_loads_and_scores_the_same(spark, tmp_dir):
+    """Trees reach beyond 16 leaves, three stop metrics are kept, and a loaded model is the saved one."""
+    train, test = synthetic_ranking_frame(spark, n_queries=60, candidates=20, seed=1)
+    model = ltr_train.train_lambdarank(train, test, {"num_iterations": 3, "min_data_in_leaf": 2, "learning_rate": 0.3})
+    assert max(t.n_leaves() for t in model.trees) > 16 and len(model.history[0]) == 2 + 3
+    model.save(spark, f"{tmp_dir}/model")
+    back = ltr_train.LambdaRankModel.load(spark, f"{tmp_dir}/model")
+    a = {(r["request_id"], r["pool_rank"]): r["score"] for r in ltr_train.rerank_score(test, model).collect()}
+    b = {(r["request_id"], r["pool_rank"]): r["score"] for r in ltr_train.rerank_score(test, back).collect()}
+    assert a == b and len(set(a.values())) > 10
+
+
+def test_training_on_nothing_raises(spark):
+    import pytest
+    train, test = synthetic_ranking_frame(spark, n_queries=2, candidates=3, seed=1)
+    with pytest.raises(ValueError, match="no rows"):
+        ltr_train.train_lambdarank(train.filter("false"), test)

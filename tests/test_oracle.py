@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as E
+from lodestar.plans import catalog
 from tests.conftest import SF_SMALL
 from tools.compare import _rows, duck_conn
 
-ORACLE = E.oracle_sql()
-QUERIES = E.queries()
+ORACLE = catalog.ORACLE
+QUERIES = catalog.QUERIES
 TRAINING = {"lambdarank_train", "rerank_score", "feature_importance", "training_pipeline",
             "write_training_artifacts"}
 
