@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.functions.columns import local_date, safe_divide, ts_lit, utc_midnight
-from lodestar.functions.vocab import BEHAVIOUR_WINDOW_DAYS
+from lodestar.functions.vocab import BEHAVIOUR_WINDOW_DAYS, LOCAL_TZ
 
 FEATURE_MART_COLUMNS = ["event_date", "property_id", "rent", "walk_min", "age_years", "area_m2",
                         "ctr", "fav_rate", "inquiry_rate", "popularity_score"]
@@ -133,8 +133,13 @@ def latest_partition(features: DataFrame) -> DataFrame:
 
 
 def local_day_filter(df: DataFrame, run_date: Column, ts: str = "ts") -> DataFrame:
-    """PRJ-07: rows whose Tokyo-local date equals ``run_date``."""
-    return df.filter(local_date(F.col(ts)) == run_date)
+    """PRJ-07: rows whose Tokyo-local date equals ``run_date``.
+
+    The day is also given as a range of UTC instants, which the scan can push down.
+    """
+    start = F.to_utc_timestamp(run_date.cast("timestamp_ntz").cast("timestamp"), LOCAL_TZ).cast("timestamp_ntz")
+    end = F.to_utc_timestamp(F.date_add(run_date, 1).cast("timestamp_ntz").cast("timestamp"), LOCAL_TZ).cast("timestamp_ntz")
+    return df.filter((F.col(ts) >= start) & (F.col(ts) < end) & (local_date(F.col(ts)) == run_date))
 
 
 def schema_version_filter(ranking_log: DataFrame, min_version: int = 2) -> DataFrame:

@@ -199,11 +199,11 @@ def retrain_decision(runs: DataFrame, feedback: DataFrame, as_of: str,
     now = ts_lit(as_of)
     r = runs.filter(F.col("finished_at") <= now)
     fin = F.col("finished_at")
-    last = r.agg(F.max("finished_at")).scalar()
-    ndcg_now = r.agg(F.avg(F.when(fin.between(days_before(now, 3), now),
-                                  F.col("metrics.ndcg_at_10")))).scalar()
-    ndcg_ago = r.agg(F.avg(F.when(fin.between(days_before(now, 10), days_before(now, 7)),
-                                  F.col("metrics.ndcg_at_10")))).scalar()
+    ndcg = F.col("metrics.ndcg_at_10")
+    stats = r.agg(F.struct(  # one scan of the runs for all three
+        F.max("finished_at").alias("last"), F.avg(F.when(fin.between(days_before(now, 3), now), ndcg)).alias("now"),
+        F.avg(F.when(fin.between(days_before(now, 10), days_before(now, 7)), ndcg)).alias("ago"))).scalar()
+    last, ndcg_now, ndcg_ago = stats["last"], stats["now"], stats["ago"]
     since = F.coalesce(last, days_before(now, 30))
     counted = feedback.filter((F.col("ts") >= since) & (F.col("ts") <= now)).agg(
         F.count(F.lit(1)).alias("feedback_rows_since_last"),

@@ -14,6 +14,8 @@ Scale notes
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -25,9 +27,12 @@ from lodestar.functions.vocab import (FEATURE_COLS, MIN_FUSED_POOL, MISSING_RANK
 FILTER_COLUMNS = ["max_rent", "layout", "max_walk_min", "pet_ok", "max_age"]
 BM25_K1 = 1.2
 BM25_B = 0.75
-# token pattern: lower-case latin letters (with the Latin-1 accented range) and digits
-TOKEN_PATTERN = "[a-z0-9à-ÿ]+"
-CJK_PATTERN = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}]+"
+TOKEN_PATTERN = r"[\p{L}\p{N}]+"
+# Han, Hiragana and Katakana with the long-vowel mark, which belongs to no script of its own
+CJK_PATTERN = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}ー]+"
+# full-width forms of the printable ASCII characters
+WIDE = "".join(chr(c + 0xFEE0) for c in range(0x21, 0x7F))
+NARROW = "".join(chr(c) for c in range(0x21, 0x7F))
 RANK_DECIMALS = 9  # scores are rounded before ranking so engines agree on ties
 MAX_BROADCAST_QUERY_BYTES = 64 * 1024 * 1024
 
@@ -42,9 +47,11 @@ def search_documents(cleaned: DataFrame) -> DataFrame:
 
 
 def tokenize(text: Column) -> Column:
-    """Lower-cased word tokens; runs of CJK characters become overlapping bigrams."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), 0)
-    runs = F.regexp_extract_all(text, F.lit(CJK_PATTERN), 0)
+    """Lower-cased runs of letters and digits of any script, full-width forms folded to ASCII;
+    runs of CJK characters become overlapping bigrams (a single one stays)."""
+    folded = F.lower(F.translate(text, WIDE, NARROW))
+    words = F.regexp_extract_all(F.regexp_replace(folded, CJK_PATTERN, " "), F.lit(TOKEN_PATTERN), 0)
+    runs = F.regexp_extract_all(folded, F.lit(CJK_PATTERN), 0)
     bigrams = F.flatten(F.transform(runs, lambda r: F.when(
         F.length(r) < 2, F.array(r)).otherwise(
         F.transform(F.sequence(F.lit(1), F.length(r) - 1), lambda i: F.substring(r, i, 2)))))
@@ -186,6 +193,17 @@ def _scan(qids: np.ndarray, qmat: np.ndarray, frames, k: int):
             yield pd.DataFrame({"query_id": qid, "property_id": best.ids[i], "cosine_distance": best.raw[i], "_rounded": best.dist[i]})
 
 
+def _meet(k: int):
+    """Cogroup body: a block of queries against a chunk of vectors."""
+    def meet(left, right):
+        if len(left) and len(right):
+            found = list(_scan(left["query_id"].to_numpy(), _unit(left["query_vector"].to_numpy()), [right], k))
+            if found:
+                return pd.concat(found, ignore_index=True)
+        return pd.DataFrame({"query_id": pd.Series(dtype=str), "property_id": pd.Series(dtype=str), "cosine_distance": pd.Series(dtype=float), "_rounded": pd.Series(dtype=float)})
+    return meet
+
+
 def usable_vectors(df: DataFrame, vector: str, dim: int) -> DataFrame:
     """Rows whose vector has ``dim`` finite elements; VAL-06 reports the others."""
     v = F.col(vector)
@@ -226,18 +244,15 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = POOL_PER_RETRIEV
         q = queries.withColumn("_b", F.pmod(F.xxhash64("query_id"), F.lit(blocks))).withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
         r = rows.withColumn("_c", F.pmod(F.xxhash64("property_id"), F.lit(chunks)).cast("int")).withColumn("_b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
 
-        def meet(left, right):
-            if len(left) and len(right):
-                found = list(_scan(left["query_id"].to_numpy(), _unit(left["query_vector"].to_numpy()), [right], k))
-                if found:
-                    return pd.concat(found, ignore_index=True)
-            return pd.DataFrame({"query_id": pd.Series(dtype=str), "property_id": pd.Series(dtype=str), "cosine_distance": pd.Series(dtype=float), "_rounded": pd.Series(dtype=float)})
+        cand = q.groupBy("_b", "_c").cogroup(r.groupBy("_b", "_c")).applyInPandas(_meet(k), schema)
+    return _merged(cand, k)
 
-        cand = q.groupBy("_b", "_c").cogroup(r.groupBy("_b", "_c")).applyInPandas(meet, schema)
+
+def _merged(cand: DataFrame, k: int) -> DataFrame:
+    """The k best of each query out of partial lists, in two levels."""
     order = [F.col("_rounded"), F.col("property_id")]
-    some = F.pmod(F.spark_partition_id(), F.lit(32))
     first = Window.partitionBy("query_id", "_g").orderBy(*order)
-    cand = cand.withColumn("_g", some).withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= k)
+    cand = cand.withColumn("_g", F.pmod(F.spark_partition_id(), F.lit(32))).withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= k)
     last = Window.partitionBy("query_id").orderBy(*order)
     return cand.withColumn("_r", F.row_number().over(last)).filter(F.col("_r") <= k).drop("_r", "_g", "_rounded")
 
@@ -259,27 +274,88 @@ def vector_topk_filtered(queries: DataFrame, qvecs: DataFrame, corpus: DataFrame
     return semantic_rank(hits, listings, queries)
 
 
+ANN_SAMPLE_ROWS = 8192   # vectors that the lists are fitted and the probes calibrated on
+ANN_MAX_LISTS = 4096
+ANN_CHUNK_ROWS = 20_000  # a longer list is searched in chunks of so many vectors
+ANN_QUERY_BLOCK = 4096
+ANN_RECALL = 0.9
+
+
+@dataclass
+class VectorLists:
+    """An inverted file: unit centroids, and how many nearest lists a query probes."""
+
+    centroids: np.ndarray
+    n_probe: int
+
+
+def fit_lists(corpus: DataFrame, dim: int, k: int = POOL_PER_RETRIEVER, recall: float = ANN_RECALL, seed: int = 7) -> VectorLists:
+    """k-means lists and the number of probes, from at most ANN_SAMPLE_ROWS vectors (the first by id hash).
+
+    The probes are the fewest for which 64 sampled vectors, searched in the
+    sample, find ``recall`` of their exact neighbours at the same depth.
+    """
+    usable = usable_vectors(corpus, "embedding", dim)
+    total = usable.count()
+    x = _unit(usable.orderBy(F.xxhash64("property_id"), "property_id").limit(ANN_SAMPLE_ROWS).select("embedding").toPandas()["embedding"].to_numpy())
+    rng = np.random.default_rng(seed)
+    n = max(1, min(ANN_MAX_LISTS, int(total**0.5), len(x) // 4))
+    c = x[rng.choice(len(x), n, replace=False)]
+    for _ in range(10):
+        at = (x @ c.T).argmax(axis=1)
+        sums = np.zeros_like(c)
+        np.add.at(sums, at, x)
+        c = np.where(np.bincount(at, minlength=n)[:, None] > 0, sums, c)
+        c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-300)
+    at, probe = (x @ c.T).argmax(axis=1), x[rng.choice(len(x), min(64, len(x)), replace=False)]
+    depth = max(1, min(len(x), max(10, -(-k * len(x) // total))))
+    near = np.argsort(-(probe @ x.T), axis=1, kind="stable")[:, :depth]
+    rank = np.empty((len(probe), n), dtype=np.int64)
+    np.put_along_axis(rank, np.argsort(-(probe @ c.T), axis=1, kind="stable"), np.arange(n)[None, :], axis=1)
+    needed = np.sort(np.take_along_axis(rank, at[near], axis=1).ravel()) + 1
+    return VectorLists(c, int(needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))) - 1)]))
+
+
 def vector_topk_ann(queries: DataFrame, corpus: DataFrame, k: int = POOL_PER_RETRIEVER,
-                    bucket_length: float = 0.7, num_hash_tables: int = 8,
-                    threshold: float = 1.2) -> DataFrame:
-    """RET-03: approximate top-k with random-projection LSH on unit vectors.
+                    recall: float = ANN_RECALL, lists: VectorLists | None = None) -> DataFrame:
+    """RET-03: approximate top-k by an inverted file; every vector is in its nearest list.
 
-    For unit vectors, Euclidean distance d gives cosine distance d^2 / 2.
+    A query is compared exactly with all vectors of the lists it probes. Long
+    lists are cut in chunks and many queries in blocks, so no task holds a whole
+    list; there is no distance or candidate cut. Unusable vectors as in vector_topk.
     """
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-    from lodestar.functions.columns import l2_normalize
-    c = corpus.select("property_id", array_to_vector(l2_normalize(F.col("embedding"))).alias("v"))
-    q = queries.filter(F.col("query_vector").isNotNull()).select(
-        "query_id", array_to_vector(l2_normalize(F.col("query_vector"))).alias("v"))
-    lsh = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket_length,
-                                      numHashTables=num_hash_tables, seed=7).fit(c)
-    pairs = lsh.approxSimilarityJoin(q, c, threshold, distCol="euclid")
-    d = pairs.select(F.col("datasetA.query_id").alias("query_id"),
-                     F.col("datasetB.property_id").alias("property_id"),
-                     (F.col("euclid") * F.col("euclid") / 2).alias("cosine_distance"))
-    w = Window.partitionBy("query_id").orderBy("cosine_distance", "property_id")
-    return d.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k).drop("_r")
+    spark = corpus.sparkSession
+    result = "query_id string, property_id string, cosine_distance double"
+    queries = queries.filter(F.col("query_id").isNotNull() & F.col("query_vector").isNotNull())
+    n, dim = queries.agg(F.count(F.lit(1)), F.max(F.size("query_vector"))).first()
+    rows = usable_vectors(corpus.filter(F.col("property_id").isNotNull()), "embedding", dim or 0).select("property_id", "embedding")
+    if not n or rows.isEmpty():
+        return spark.createDataFrame([], result)
+    lists = lists or fit_lists(rows, dim, k, recall)
+    side = spark.sparkContext.broadcast(lists.centroids)  # at most ANN_MAX_LISTS vectors
+
+    def place(frames):
+        for pdf in frames:
+            for s in range(0, len(pdf), ROW_TILE):
+                part = pdf.iloc[s:s + ROW_TILE]
+                yield part.assign(_list=(_unit(part["embedding"].to_numpy()) @ side.value.T).argmax(axis=1).astype("int32"))
+
+    def probes(frames):
+        for pdf in frames:
+            if len(pdf):
+                near = np.argsort(-(_unit(pdf["query_vector"].to_numpy()) @ side.value.T), axis=1, kind="stable")[:, :lists.n_probe]
+                yield pdf.assign(_list=list(near.astype("int32")))
+
+    blocks = -(-n // ANN_QUERY_BLOCK)
+    placed = rows.mapInPandas(place, "property_id string, embedding array<double>, _list int")
+    chunks = placed.groupBy("_list").agg(F.ceil(F.count(F.lit(1)) / ANN_CHUNK_ROWS).cast("int").alias("_chunks"))
+    r = (placed.join(chunks, "_list").withColumn("_c", F.pmod(F.xxhash64("property_id"), F.col("_chunks")).cast("int")).drop("_chunks")
+         .withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(int(blocks) - 1)))))
+    q = usable_vectors(queries, "query_vector", dim).select("query_id", "query_vector").mapInPandas(probes, "query_id string, query_vector array<double>, _list array<int>")
+    q = (q.withColumn("_list", F.explode("_list")).join(chunks, "_list").withColumn("_c", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))).drop("_chunks")
+         .withColumn("_b", F.pmod(F.xxhash64("query_id"), F.lit(int(blocks))).cast("int")))
+    key = ["_list", "_c", "_b"]
+    return _merged(q.groupBy(*key).cogroup(r.groupBy(*key)).applyInPandas(_meet(k), f"{result}, _rounded double"), k)
 
 
 # ------------------------------------------------------------------ fusion (RET-04)

@@ -246,18 +246,28 @@ D = "CAST({} AS DOUBLE)".format
 _FACETS = """coalesce((q.max_rent IS NULL OR d.rent <= q.max_rent) AND (q.layout IS NULL OR d.layout = q.layout)
           AND (q.max_walk_min IS NULL OR d.walk_min <= q.max_walk_min) AND (q.pet_ok IS NULL OR d.pet_ok = q.pet_ok)
           AND (q.max_age IS NULL OR d.age_years <= q.max_age), FALSE)"""
-TOKEN_RE = "'[a-z0-9à-ÿ]+'"
+
+
+def tokens(text: str) -> str:
+    """The token list of a text expression: full-width forms folded, letters and digits, CJK bigrams."""
+    wide, narrow = "".join(chr(c + 0xFEE0) for c in range(0x21, 0x7F)), "".join(chr(c) for c in range(0x21, 0x7F)).replace("'", "''")
+    folded = f"lower(translate({text}, '{wide}', '{narrow}'))"
+    cjk = "'[\\p{Han}\\p{Hiragana}\\p{Katakana}ー]+'"
+    words = f"regexp_extract_all(regexp_replace({folded}, {cjk}, ' ', 'g'), '[\\p{{L}}\\p{{N}}]+')"
+    pairs = f"list_transform(regexp_extract_all({folded}, {cjk}), lambda r: CASE WHEN length(r) < 2 THEN [r] ELSE list_transform(range(1, length(r)), lambda i: substr(r, i, 2)) END)"
+    return f"list_concat({words}, flatten({pairs}))"
+
 
 view("docs", ["cleaned"], """
   SELECT property_id, rent, layout, walk_min, pet_ok, age_years, area_m2,
          concat_ws(' ', title, description, layout) AS searchable_text FROM cleaned""")
 
 view("doc_tokens", ["docs"], f"""
-  SELECT property_id, regexp_extract_all(lower(searchable_text), {TOKEN_RE}) AS tokens FROM docs""")
+  SELECT property_id, {tokens('searchable_text')} AS tokens FROM docs""")
 
 view("q_terms", ["text_queries"], f"""
   SELECT DISTINCT query_id, term FROM (
-    SELECT query_id, unnest(regexp_extract_all(lower(query_text), {TOKEN_RE})) AS term FROM text_queries)""")
+    SELECT query_id, unnest({tokens('query_text')}) AS term FROM text_queries)""")
 
 view("bm25_tf", ["doc_tokens", "q_terms"], """
   SELECT property_id, dl, term, count(*) AS tf

@@ -223,14 +223,16 @@ def q_attribution(spark, d):
 
 @query("behaviour_window_stream", """
 SELECT window_start, window_start + INTERVAL 28 DAY AS window_end, property_id,
-       count_if(action = 'click') AS click_count, count_if(action = 'favorite') AS favorite_count,
+       count_if(action = 'impression') AS impression_count, count_if(action = 'click') AS click_count, count_if(action = 'favorite') AS favorite_count,
        count_if(action = 'inquiry') AS inquiry_count
 FROM (SELECT property_id, action, date_trunc('day', ts) - to_days(CAST(k AS INTEGER)) AS window_start
-      FROM feedback_events CROSS JOIN range(0, 28) t(k))
-GROUP BY window_start, property_id""", ("feedback_events",))
+      FROM (SELECT property_id, action, ts FROM feedback_events
+            UNION ALL SELECT unnest(result_property_ids), 'impression', ts FROM search_logs) CROSS JOIN range(0, 28) t(k))
+GROUP BY window_start, property_id""", ("feedback_events", "search_logs"))
 def q_behaviour_window(spark, d):
     """STR-09: 28-day windows sliding daily, per listing."""
-    return so.behaviour_window(fx.feedback_events(spark, d))
+    shown = so.shown_listings(fx.search_logs(spark, d))
+    return so.behaviour_window(fx.feedback_events(spark, d).select("property_id", "action", "ts").unionByName(shown))
 
 
 @query("retrain_trigger_stream", f"SELECT 'scheduler' AS source, reasons FROM ({RETRAIN_SQL}) WHERE should_retrain",

@@ -77,16 +77,24 @@ def feedback_attribution(ranking: DataFrame, feedback: DataFrame, within: str =
     return r.join(f, cond, "leftOuter").select("request_id", "property_id", "r_ts", "final_rank", "action", "f_ts")
 
 
-def behaviour_window(feedback: DataFrame, size: str = "28 days", slide: str = "1 day",
+def shown_listings(search_logs: DataFrame) -> DataFrame:
+    """Impressions as events: one row per listing shown in a search."""
+    return search_logs.select(F.explode("result_property_ids").alias("property_id"), F.lit("impression").alias("action"), "ts")
+
+
+def behaviour_window(events: DataFrame, size: str = "28 days", slide: str = "1 day",
                      ts: str = "ts") -> DataFrame:
-    """STR-09: rolling action counts per listing, sliding windows."""
-    a = F.col("action")
-    g = feedback.groupBy(F.window(ts, size, slide).alias("w"), "property_id").agg(
-        F.count_if(a == "click").alias("click_count"),
-        F.count_if(a == "favorite").alias("favorite_count"),
-        F.count_if(a == "inquiry").alias("inquiry_count"))
-    return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "property_id",
-                    "click_count", "favorite_count", "inquiry_count")
+    """STR-09: rolling impression and action counts per listing, sliding windows.
+
+    Events are counted per listing and slide first; only these counts are
+    spread over the windows that hold them.
+    """
+    kinds = {"impression": "impression_count", "click": "click_count", "favorite": "favorite_count", "inquiry": "inquiry_count"}
+    daily = events.groupBy(F.window(ts, slide).alias("w"), "property_id").agg(
+        *[F.count_if(F.col("action") == a).alias(c) for a, c in kinds.items()])
+    g = daily.groupBy(F.window(F.window_time("w"), size, slide).alias("w"), "property_id").agg(
+        *[F.sum(c).alias(c) for c in kinds.values()])
+    return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "property_id", *kinds.values())
 
 
 # ------------------------------------------------------------------- STR-07 TTL dedup

@@ -346,3 +346,24 @@ def test_training_on_nothing_raises(spark):
     train, test = synthetic_ranking_frame(spark, n_queries=2, candidates=3, seed=1)
     with pytest.raises(ValueError, match="no rows"):
         ltr_train.train_lambdarank(train.filter("false"), test)
+
+
+def test_tokens_of_any_script(spark):
+    from lodestar.operators.retrieval import tokenize
+    texts = ["ワンルーム 2ＬＤＫ Straße", "Привет мир 駅", "ΑΒΓ x1 été", "", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", tokenize(F.col("t")).alias("w")).collect()
+    got = {r["i"]: r["w"] for r in rows}
+    assert got[0] == ["2ldk", "straße", "ワン", "ンル", "ルー", "ーム"] and got[1] == ["привет", "мир", "駅"]
+    assert got[2] == ["αβγ", "x1", "été"] and got[3] == [] and got[4] is None
+    import duckdb
+    from lodestar.plans.oracle_views import tokens
+    con = duckdb.connect()
+    for i, t in enumerate(texts[:4]):
+        assert con.execute(f"SELECT {tokens('?')}".replace("?", "$t"), {"t": t}).fetchone()[0] == got[i]
+
+
+def test_rolling_window_counts_impressions(spark):
+    from lodestar.streaming import operators as so
+    ev = spark.createDataFrame([("P1", "click"), ("P1", "impression"), ("P1", "impression")], "property_id string, action string").selectExpr("*", "timestamp'2024-01-10 05:00:00' ts")
+    rows = so.behaviour_window(ev).collect()
+    assert len(rows) == 28 and {(r["impression_count"], r["click_count"], r["favorite_count"]) for r in rows} == {(2, 1, 0)}
