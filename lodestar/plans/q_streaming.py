@@ -193,7 +193,7 @@ def q_latency_alerts_hourly(spark, d):
     return so.latency_alerts(fx.access_log(spark, d), "1 hour", 3600, HOUR_RUN)
 
 
-@query("request_dedup_ttl", """
+DEDUP_SQL = """
 WITH RECURSIVE ev AS (SELECT CAST(substr(request_id, 2) AS BIGINT) AS event_id, fingerprint, epoch_us(ts) / 1e6 AS s
                       FROM access_log),
 nxt AS (SELECT a.event_id,
@@ -203,7 +203,10 @@ nxt AS (SELECT a.event_id,
 heads AS (SELECT arg_min(event_id, s * 1e7 + event_id) AS id FROM ev GROUP BY fingerprint),
 chain(id) AS (SELECT id FROM heads
               UNION ALL SELECT n.next_id FROM chain c JOIN nxt n ON n.event_id = c.id WHERE n.next_id IS NOT NULL)
-SELECT e.event_id, e.fingerprint, e.event_id IN (SELECT id FROM chain) AS is_miss FROM ev e""", ("access_log",))
+SELECT e.event_id, e.fingerprint, e.event_id IN (SELECT id FROM chain) AS is_miss FROM ev e"""
+
+
+@query("request_dedup_ttl", DEDUP_SQL, ("access_log",))
 def q_dedup(spark, d):
     """STR-07: TTL cache misses per request fingerprint (1-day ttl); the oracle follows the chain
     recursively, the Spark form by pointer doubling."""
@@ -246,6 +249,57 @@ def q_retrain_trigger(spark, d):
     return m.select(parsed["source"].alias("source"), F.array_join(parsed["reasons"], ";").alias("reasons"))
 
 
+def _replay(spark, df, fn, name, flush=()):
+    """Run ``fn`` over ``df`` as an append stream with a watermark of ten minutes, and read its table.
+
+    ``flush``: later rows (far in the future) that move the watermark past every real row.
+    """
+    from lodestar.session import conf_override, stream_state_partitions
+    base = _sink_dir(spark, name)
+    df.write.mode("errorifexists").parquet(f"{base}/in/part=0")
+    stream = so.event_time(spark.readStream.schema(df.schema).parquet(f"{base}/in/*")).withWatermark("ts", "10 minutes")
+    with conf_override(spark, stream_state_partitions(spark)):
+        q = fn(stream).writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt").outputMode("append").start()
+    q.processAllAvailable()
+    for i, row in enumerate(flush, 1):
+        row.write.parquet(f"{base}/in/part={i}")
+        q.processAllAvailable()
+    q.stop()
+    return spark.read.parquet(f"{base}/out")
+
+
+def _log_and_flush(spark, d):
+    log = fx.access_log(spark, d).select("request_id", "ts", "severity", "latency_ms", "fingerprint")
+    late = [spark.createDataFrame([("FLUSH", "INFO", 0.0, "flush")], "request_id string, severity string, latency_ms double, fingerprint string")
+            .select("request_id", F.lit(f"2{i}00-01-01 00:00:00").cast("timestamp_ntz").alias("ts"), "severity", "latency_ms", "fingerprint") for i in (1, 2)]
+    return log, late
+
+
+@query("error_rate_stream", _er_sql("minute"), ("access_log",))
+def q_error_rate_stream(spark, d):
+    """STR-05 as a stream: per-minute error rate, each window emitted once the watermark has passed it."""
+    log, late = _log_and_flush(spark, d)
+    out = _replay(spark, log, so.error_rate, "error_rate_stream", late)
+    return out.filter(F.year("window_start") < 2100).withColumns({"window_start": F.col("window_start").cast("timestamp_ntz"), "error_rate": F.round("error_rate", 6)})
+
+
+@query("latency_p95_stream", _p95_sql("minute"), ("access_log",))
+def q_p95_stream(spark, d):
+    """STR-06 as a stream: per-minute p95 latency."""
+    log, late = _log_and_flush(spark, d)
+    out = _replay(spark, log, so.latency_p95, "latency_p95_stream", late)
+    return out.filter(F.year("window_start") < 2100).withColumns({"window_start": F.col("window_start").cast("timestamp_ntz"), "p95_latency_ms": F.round("p95_latency_ms", 6)})
+
+
+@query("request_dedup_stream", DEDUP_SQL, ("access_log",))
+def q_dedup_stream(spark, d):
+    """STR-07 as a stream: state per request fingerprint that expires with the ttl."""
+    log, late = _log_and_flush(spark, d)
+    out = _replay(spark, log, lambda s: so.dedup_ttl_stream(s.withColumn("event_id", F.substring("request_id", 2, 20).try_cast("bigint")), "fingerprint", "ts", CACHE_TTL_SECONDS, expire=True),
+                  "dedup_stream", late[:1])
+    return out.filter(F.col("event_id").isNotNull()).select("event_id", F.col("key").alias("fingerprint"), "is_miss")
+
+
 @query("feedback_attribution_stream", """
 SELECT r.request_id, r.property_id, r.final_rank, f.action
 FROM ranking_log r LEFT JOIN feedback_events f

@@ -170,12 +170,19 @@ def dedup_ttl(events: DataFrame, key: str, ts: str, ttl_seconds: int) -> DataFra
 DEDUP_STATE = T.StructType([T.StructField("last_miss", T.DoubleType())])
 
 
-def dedup_ttl_stream(events: DataFrame, key: str, ts: str, ttl_seconds: int) -> DataFrame:
+def dedup_ttl_stream(events: DataFrame, key: str, ts: str, ttl_seconds: int, expire: bool = False) -> DataFrame:
     """STR-07 (stream): per-key state = time of the last miss; events are taken in event-time
-    order within a micro-batch. Output: event_id, key, is_miss."""
+    order within a micro-batch. Output: event_id, key, is_miss.
+
+    With ``expire`` (needs a watermark on ``ts``) a key's state goes once the
+    watermark passes its last miss plus the ttl, when it can tell nothing any more.
+    """
     import pandas as pd
 
     def fn(k, pdfs, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
         last = state.get[0] if state.exists else None
         out = []
         for pdf in pdfs:
@@ -190,12 +197,15 @@ def dedup_ttl_stream(events: DataFrame, key: str, ts: str, ttl_seconds: int) ->
                 last = float(s)
             flags.append(bool(miss))
         state.update((last,))
+        if expire:
+            state.setTimeoutTimestamp(max(int((last + ttl_seconds) * 1000), state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame({"event_id": pdf["event_id"].to_numpy(), "key": k[0], "is_miss": flags})
 
-    e = events.select("event_id", F.col(key).alias("key"),
+    e = events.select("event_id", F.col(key).alias("key"), F.col(ts),
                       (F.unix_micros(F.col(ts).cast("timestamp")) / 1e6).alias("_s"))
     return e.groupBy("key").applyInPandasWithState(
-        fn, "event_id long, key string, is_miss boolean", DEDUP_STATE.simpleString(), "append", "NoTimeout")
+        fn, "event_id long, key string, is_miss boolean", DEDUP_STATE.simpleString(), "append",
+        "EventTimeTimeout" if expire else "NoTimeout")
 
 
 def stream_to_table(stream: DataFrame, path: str, checkpoint: str, trigger_once: bool = True,
