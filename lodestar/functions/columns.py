@@ -68,8 +68,8 @@ def similarity_from_distance(distance: Column) -> Column:
 
 
 def stable_bucket(key: Column, buckets: int = 10) -> Column:
-    """Process-independent hash bucket of a key."""
-    return F.pmod(F.xxhash64(key), F.lit(buckets))
+    """Process- and engine-independent hash bucket of a key: the first 32 bits of its md5."""
+    return F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint") % F.lit(buckets)
 
 
 def label_gain(action: Column) -> Column:

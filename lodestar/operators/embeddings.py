@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestar.functions.columns import passage_text, text_hash
 from lodestar.functions.vocab import EMBEDDING_DIM_DECLARED, PASSAGE_PREFIX, QUERY_PREFIX
@@ -52,16 +53,29 @@ def changed_texts_anti(texts: DataFrame, stored: DataFrame, model_name: str,
 
 
 def hashing_encoder(dim: int = EMBEDDING_DIM_DECLARED) -> Encoder:
-    """Default encoder: hashed token counts of the prefixed text, L2-normalised (all JVM-side)."""
-    from pyspark.ml.feature import HashingTF, Normalizer
-    from pyspark.ml.functions import vector_to_array
+    """Default encoder: hashed token counts of the prefixed text, L2-normalised.
+
+    A token's place is the first 32 bits of its md5 modulo ``dim``, which any engine
+    can repeat. Tokens are hashed JVM-side; ``mapInPandas`` counts them in numpy, a
+    batch at a time. A text without tokens is the zero vector.
+    """
+    import numpy as np
+    from lodestar.functions.columns import stable_bucket
     from lodestar.operators.retrieval import tokenize
 
     def encode(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
-        toks = df.withColumn("_tokens", tokenize(F.col(text_col)))
-        tf = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=dim).transform(toks)
-        nv = Normalizer(inputCol="_tf", outputCol="_nv", p=2.0).transform(tf)
-        return nv.withColumn(out_col, vector_to_array("_nv", "float64")).drop("_tokens", "_tf", "_nv")
+        placed = df.withColumn("_places", F.transform(tokenize(F.coalesce(F.col(text_col), F.lit(""))), lambda t: stable_bucket(t, dim).cast("int")))
+
+        def count(frames):
+            for pdf in frames:
+                vectors = []
+                for places in pdf["_places"]:
+                    v = np.bincount(places, minlength=dim).astype(float)
+                    vectors.append(v / max(float(np.linalg.norm(v)), 1e-300))
+                yield pdf.drop(columns="_places").assign(**{out_col: vectors})
+
+        schema = T.StructType([f for f in placed.schema.fields if f.name not in ("_places", out_col)] + [T.StructField(out_col, T.ArrayType(T.DoubleType()))])
+        return placed.mapInPandas(count, schema)
     return encode
 
 

@@ -350,9 +350,9 @@ view("scored", ["enriched"], f"""
 
 # ---- embeddings ----------------------------------------------------------------------
 view("text_hashes", ["properties"], """
-  SELECT property_id, sha256('e5-base' || chr(31) || regexp_replace(
-           coalesce(title, '') || '。' || coalesce(description, ''), '^\\s+|\\s+$', '', 'g')) AS text_hash
-  FROM properties WHERE title IS NOT NULL""")
+  SELECT property_id, sha256('e5-base' || chr(31) || text) AS text_hash, text
+  FROM (SELECT property_id, regexp_replace(coalesce(title, '') || '。' || coalesce(description, ''), '^\\s+|\\s+$', '', 'g') AS text
+        FROM properties WHERE title IS NOT NULL)""")
 
 view("changed", ["text_hashes", "property_embeddings"], """
   SELECT t.property_id, t.text_hash FROM text_hashes t

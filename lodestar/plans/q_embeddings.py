@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestar.functions.columns import l2_norm
 from lodestar.operators import embeddings as emb
 from lodestar.operators import sinks
+from lodestar.plans.oracle_views import tokens
 from lodestar.plans.q_features import _sink_dir
 from lodestar.plans.registry import query
 from lodestar.sources import fixtures as fx
@@ -66,30 +66,53 @@ def q_upsert(spark, d):
     return spark.read.parquet(path).select("property_id", "text_hash")
 
 
-@query("encode_passages", "SELECT property_id, CAST(64 AS INTEGER) AS dim, CAST(1.0 AS DOUBLE) AS norm FROM changed", ("changed",))
+def _vector_sql(rows: str) -> str:
+    """Non-zero elements of the default encoder's vectors of ``rows`` (id, text, text already prefixed)."""
+    return f"""
+WITH places AS (SELECT id, ('0x' || substr(md5(t), 1, 8))::BIGINT % {DIM} AS i
+                FROM (SELECT id, unnest({tokens('text')}) AS t FROM ({rows}))),
+counts AS (SELECT id, i, count(*) AS n FROM places GROUP BY id, i)
+SELECT id, CAST(i AS INTEGER) AS i, round(n / sqrt(sum(n * n) OVER (PARTITION BY id)), 6) AS x FROM counts"""
+
+
+def _elements(df, id_col, vector):
+    return df.select(F.col(id_col).alias("id"), F.posexplode(vector).alias("i", "x")).filter("x != 0").select("id", "i", F.round("x", 6).alias("x"))
+
+
+@query("encode_passages", _vector_sql("SELECT property_id AS id, 'passage: ' || text AS text FROM text_hashes SEMI JOIN changed USING (property_id)"),
+       ("text_hashes", "changed"))
 def q_encode(spark, d):
-    """EMB-02: passages encoded by the default (hashed-token) encoder: dimension and unit norm."""
+    """EMB-02: changed passages encoded by the default encoder: every non-zero element."""
     ch = emb.changed_texts(texts(spark, d), stored(spark, d), fx.MODEL_NAME)
-    enc = emb.encode_passages(ch, emb.hashing_encoder(DIM))
-    return enc.select("property_id", F.size("embedding").alias("dim"),
-                      F.round(l2_norm(F.col("embedding")), 6).alias("norm"))
+    return _elements(emb.encode_passages(ch, emb.hashing_encoder(DIM)), "property_id", "embedding")
 
 
-@query("batch_predict_embeddings", """
-SELECT query_id, CAST(64 AS INTEGER) AS dim, CAST(1.0 AS DOUBLE) AS norm FROM text_queries""", ("text_queries",))
+@query("batch_predict_embeddings", _vector_sql("SELECT query_id AS id, 'query: ' || query_text AS text FROM text_queries UNION ALL SELECT 'D' || query_id, 'passage: ' || query_text FROM text_queries"),
+       ("text_queries",))
 def q_batch_predict(spark, d):
-    """EMB-04: {text, kind} rows (kind = query) encoded with the query prefix."""
-    rows = fx.text_queries(spark, d).select("query_id", F.col("query_text").alias("text"),
-                                            F.lit("query").alias("kind"))
-    enc = emb.batch_predict_embeddings(rows, emb.hashing_encoder(DIM))
-    return enc.select("query_id", F.size("embedding").alias("dim"),
-                      F.round(l2_norm(F.col("embedding")), 6).alias("norm"))
+    """EMB-04: {text, kind} rows of both kinds, each with its prefix."""
+    q = fx.text_queries(spark, d)
+    rows = q.select("query_id", F.col("query_text").alias("text"), F.lit("query").alias("kind")).unionByName(
+        q.select(F.concat(F.lit("D"), "query_id").alias("query_id"), F.col("query_text").alias("text"), F.lit("passage").alias("kind")))
+    return _elements(emb.batch_predict_embeddings(rows, emb.hashing_encoder(DIM)), "query_id", "embedding")
 
 
-@query("encode_queries", """
-SELECT query_id, CAST(64 AS INTEGER) AS dim, CAST(1.0 AS DOUBLE) AS norm FROM text_queries""", ("text_queries",))
+@query("encode_queries", _vector_sql("SELECT query_id AS id, 'query: ' || query_text AS text FROM text_queries"), ("text_queries",))
 def q_encode_queries(spark, d):
     """EMB-02 (query side): 'query: ' prefix once, then the encoder."""
-    enc = emb.encode_queries(fx.text_queries(spark, d), emb.hashing_encoder(DIM))
-    return enc.select("query_id", F.size("query_vector").alias("dim"),
-                      F.round(l2_norm(F.col("query_vector")), 6).alias("norm"))
+    return _elements(emb.encode_queries(fx.text_queries(spark, d), emb.hashing_encoder(DIM)), "query_id", "query_vector")
+
+
+@query("text_search", f"""
+WITH e AS ({_vector_sql("SELECT property_id AS id, 'passage: ' || text AS text FROM text_hashes")}),
+q AS ({_vector_sql("SELECT query_id AS id, 'query: ' || query_text AS text FROM text_queries")}),
+dots AS (SELECT q.id AS query_id, e.id AS property_id, sum(q.x * e.x) AS s FROM q JOIN e USING (i) GROUP BY 1, 2)
+SELECT query_id, count(*) AS n_found, round(sum(s), 3) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC) AS r FROM dots) WHERE r <= 10 GROUP BY query_id""",
+       ("text_hashes", "text_queries"))
+def q_text_search(spark, d):
+    """Text to vector to search in one path: passages and queries encoded, exact top-10; each list's size and summed similarity."""
+    from lodestar.operators import retrieval as rt
+    enc = emb.hashing_encoder(DIM)
+    corpus = emb.encode_passages(emb.with_hash(texts(spark, d), fx.MODEL_NAME), enc).select("property_id", "embedding")
+    queries = emb.encode_queries(fx.text_queries(spark, d), enc).select("query_id", "query_vector")
+    return rt.vector_topk(queries, corpus, 10).groupBy("query_id").agg(F.count(F.lit(1)).alias("n_found"), F.round(F.sum(F.lit(1.0) - F.col("cosine_distance")), 3).alias("similarity"))

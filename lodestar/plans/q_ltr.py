@@ -152,23 +152,22 @@ def q_feature_matrix(spark, d):
 
 # Q-8: the production split hashes request ids with xxhash64, which DuckDB cannot
 # reproduce; the checked query buckets by the numeric part of the id instead.
-def _key_bucket():
-    return F.pmod(F.substring("request_id", 2, 20).cast("bigint"), F.lit(10))
+SPLIT_BUCKET = "('0x' || substr(md5(request_id), 1, 8))::BIGINT % 10"
 
 
 @query("group_split", FRAME_SQL + """
-SELECT request_id, property_id, CASE WHEN CAST(substr(request_id, 2) AS BIGINT) % 10 < 8 THEN 'train' ELSE 'test' END AS split
+SELECT request_id, property_id, CASE WHEN """ + SPLIT_BUCKET + """ < 8 THEN 'train' ELSE 'test' END AS split
 FROM frame""", ("ranking_log", "feedback_events"))
 def q_group_split(spark, d):
-    return ltr.group_split(frame(spark, d), bucket=_key_bucket()).select("request_id", "property_id", "split")
+    return ltr.group_split(frame(spark, d)).select("request_id", "property_id", "split")
 
 
 @query("train_test_disjoint", FRAME_SQL + """
-SELECT request_id FROM frame WHERE CAST(substr(request_id, 2) AS BIGINT) % 10 < 8
-INTERSECT SELECT request_id FROM frame WHERE CAST(substr(request_id, 2) AS BIGINT) % 10 >= 8""",
+SELECT request_id FROM frame WHERE """ + SPLIT_BUCKET + """ < 8
+INTERSECT SELECT request_id FROM frame WHERE """ + SPLIT_BUCKET + """ >= 8""",
        ("ranking_log", "feedback_events"))
 def q_train_test_disjoint(spark, d):
-    return ltr.train_test_overlap(ltr.group_split(frame(spark, d), bucket=_key_bucket()))
+    return ltr.train_test_overlap(ltr.group_split(frame(spark, d)))
 
 
 @query("group_sizes", FRAME_SQL + "SELECT request_id, count(*) AS group_size FROM frame GROUP BY request_id",

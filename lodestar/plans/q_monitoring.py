@@ -312,15 +312,16 @@ def q_drift(spark, d):
 
 
 @query("rank_summary", """
-SELECT request_id, string_agg(property_id || ':' || lexical_rank || ':' || final_rank, ';' ORDER BY final_rank) AS summary
+SELECT request_id, string_agg(property_id || ':' || lexical_rank || ':' || final_rank || ':' || printf('%.4f', score) || ':' || printf('%.4f', me5_score), ';' ORDER BY final_rank) AS summary
 FROM ranking_log GROUP BY request_id""", ("ranking_log",))
 def q_rank_summary(spark, d):
     """PRJ-11: per request, ids with lexical and final rank in final order."""
     r = fx.ranking_log(spark, d)
     s = r.groupBy("request_id").agg(F.sort_array(F.collect_list(
-        F.struct("final_rank", "property_id", "lexical_rank"))).alias("l"))
+        F.struct("final_rank", "property_id", "lexical_rank", "score", "me5_score"))).alias("l"))
     return s.select("request_id", F.array_join(F.transform("l", lambda x: F.concat_ws(
-        ":", x["property_id"], x["lexical_rank"].cast("string"), x["final_rank"].cast("string"))), ";").alias("summary"))
+        ":", x["property_id"], x["lexical_rank"].cast("string"), x["final_rank"].cast("string"),
+        F.format_string("%.4f", x["score"]), F.format_string("%.4f", x["me5_score"]))), ";").alias("summary"))
 
 
 @query("feedback_valid", """

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lodestar.operators import ltr, ltr_train, sinks
 from lodestar.plans.q_features import _sink_dir
-from lodestar.plans.q_ltr import _key_bucket, frame
+from lodestar.plans.q_ltr import frame
 from lodestar.plans.registry import query
 
 
@@ -21,7 +21,7 @@ _SAVED: dict[tuple, tuple] = {}  # (application, tables) -> (model path, its run
 
 def _trained(spark, d):
     """(run row, model) of a new training; the model is saved."""
-    row, model = ltr_train.training_pipeline(frame(spark, d), run_id="check", bucket=_key_bucket(), model_dir=_sink_dir(spark, "models"))
+    row, model = ltr_train.training_pipeline(frame(spark, d), run_id="check", model_dir=_sink_dir(spark, "models"))
     run = row.first().asDict()
     row = spark.createDataFrame([run], row.schema)
     _SAVED[spark.sparkContext.applicationId, d] = (run["model_path"], row)
