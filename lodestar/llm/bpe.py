@@ -38,6 +38,8 @@ OTHER, LETTER, NUMBER, BLANK = 0, 1, 2, 3
 BLANKS = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 TAILS = ("re", "ve", "ll", "s", "t", "m", "d")
 SHIFT = np.uint64(32)
+#: Bytes of text encoded at once; the arrays of a slice take some sixty times as much.
+SLICE_BYTES = 1 << 20
 
 
 @lru_cache(maxsize=1)
@@ -239,7 +241,7 @@ def encode(docs: DataFrame, path: str, with_ids: bool = True) -> DataFrame:
     def run(parts):
         v = vocabulary(path)
         for part in parts:
-            for b in slices(part):
+            for b in slices(part, limit=SLICE_BYTES):
                 ids, upto = encode_texts(texts_of(b), v)
                 if with_ids:
                     cols, names = [pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(ids.astype(np.int32)))], ["ids"]
@@ -257,7 +259,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     def run(parts):
         v = vocabulary(path)
         for part in parts:
-            for b in slices(part):
+            for b in slices(part, limit=SLICE_BYTES):
                 ids, upto = encode_texts(texts_of(b), v)
                 lists = pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(ids.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.diff(upto)), lists, pa.array(decode_ids(ids, upto, v), pa.string())], names=["doc_id", "n_tokens", "ids", "text"])
