@@ -1,8 +1,11 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut into sentences (after ``.!?`` before white space, and at line
-ends; a sentence of more than ``LONG`` words also after ``,;:``). At every
-sentence a span begins: the shortest run of two or more consecutive sentences
+A text is cut into sentences (after ``.!?`` before white space, after ``。！？``,
+and at line ends). A sentence of more than ``LONG`` words is cut further, after
+``,;:`` and ``，、；：`` and before words that a hash of the letters around the
+gap picks. These cuts don't depend on what stands farther off, so the long
+sentences of a passage are cut alike in any surroundings. A word is a run without white space, or one Chinese or Japanese
+character. At every sentence a span begins: the shortest run of two or more consecutive sentences
 that holds ``MIN_WORDS`` words. Spans are hashed over lower-case words, grouped
 globally, and every sentence covered by a span that occurred before is removed.
 The first occurrence is the one in the smallest doc_id, and in it the first.
@@ -26,26 +29,81 @@ from pyspark.sql import functions as F
 
 from lodestar.llm.text import mixed, slices, texts_of
 
-MIN_SENTENCES, MIN_WORDS, LONG = 2, 14, 16
-ENDS = re.compile(r"[.!?]+(?=\s)\s*|\n\s*")
-PAUSES = re.compile(r"[,;:]+\s+")
+MIN_SENTENCES, MIN_WORDS, LONG = 2, 14, 9
+ENDS = re.compile(r"[.!?]+(?=\s)\s*|[。！？]+\s*|\n\s*")
+PAUSES = re.compile(r"[,;:]+\s+|[，、；：]+\s*")
+#: Characters that are words of their own; the second form splits a text into words.
+WIDE = re.compile(r"[\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+_APART = re.compile(rf"{WIDE.pattern}|(?:(?!{WIDE.pattern})\S)+")
+#: One gap in so many is a cut of a long sentence.
+GAPS = 3
 NO_ID = 2**63 - 1
 _STEP = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 _BACK = pow(_STEP, -1, 2**64)
 
 
+_WHITE = np.zeros(0x3001, dtype=bool)
+_WHITE[[c for c in range(0x3001) if chr(c).isspace()]] = True
+_LOWER = np.arange(0x3001, dtype=np.uint64)
+for _c in range(0x3001):
+    if len(chr(_c).lower()) == 1:
+        _LOWER[_c] = ord(chr(_c).lower())
+_NEAR = 3
+_SEEDS = mixed(np.arange(1, 2 * _NEAR + 1, dtype=np.uint64)) | np.uint64(1)
+
+
+def words_of(text: str) -> list[str]:
+    """The lower-case words."""
+    return text.lower().split() if text.isascii() or not WIDE.search(text) else _APART.findall(text.lower())
+
+
+def _is_wide(c: np.ndarray) -> np.ndarray:
+    return (c >= 0x3005) & (c <= 0x3007) | (c >= 0x3040) & (c <= 0x30FF) | (c >= 0x3400) & (c <= 0x4DBF) | (c >= 0x4E00) & (c <= 0x9FFF) | (c >= 0xF900) & (c <= 0xFAFF) | (c >= 0x20000) & (c <= 0x3FFFF)
+
+
+def _gaps(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(start of each word, whether the gap before it is picked by the letters on both of its sides)."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    low = np.minimum(c, 0x3000)
+    white = (c <= 0x3000) & _WHITE[low]
+    lead = ~white
+    lead[1:] &= white[:-1]
+    tail = ~white
+    tail[:-1] &= white[1:]
+    if not text.isascii():
+        wide = _is_wide(c)
+        lead[1:] |= (wide[1:] | wide[:-1]) & ~white[1:]
+        lead |= wide
+        tail[:-1] |= (wide[1:] | wide[:-1]) & ~white[:-1]
+        tail |= wide
+    first, last = np.flatnonzero(lead), np.flatnonzero(tail)
+    letters = np.where(c <= 0x3000, _LOWER[low], c.astype(np.uint64))
+    value = np.zeros(max(len(first) - 1, 0), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(_NEAR):
+            before, after = last[:-1] - k, first[1:] + k
+            value += np.where(before >= first[:-1], letters[np.maximum(before, 0)] * _SEEDS[k], np.uint64(0))
+            value += np.where(after <= last[1:], letters[np.minimum(after, len(c) - 1)] * _SEEDS[_NEAR + k], np.uint64(0))
+    return first, np.r_[False, mixed(value) % np.uint64(GAPS) == 0][:len(first)]
+
+
 def _cut(text: str) -> list[int]:
     """Ends of the sentences."""
     ends = [m.end() for m in ENDS.finditer(text)]
     if not ends or ends[-1] < len(text):
         ends.append(len(text))
-    out, at = [], 0
-    for e in ends:
-        if e - at > LONG and len(text[at:e].split()) > LONG:
-            out += [m.end() for m in PAUSES.finditer(text, at, e) if m.end() < e]
-        out.append(e)
-        at = e
-    return out
+    if max(b - a for a, b in zip([0, *ends[:-1]], ends, strict=True)) <= LONG:
+        return ends
+    first, picked = _gaps(text)
+    ends = np.array(ends)
+    upto = np.r_[0, np.searchsorted(first, ends)]
+    long = np.diff(upto) > LONG
+    if not long.any():
+        return ends.tolist()
+    pauses = np.array([m.end() for m in PAUSES.finditer(text)], dtype=np.int64)
+    more = np.r_[first[picked], pauses[pauses < len(text)]]
+    more = more[long[np.searchsorted(ends, more, side="right")]]
+    return np.unique(np.r_[ends, more]).tolist()
 
 
 def sentences(text: str) -> list[str]:
@@ -66,7 +124,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 def spans_of(pieces: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(owner, first sentence, end sentence, hash) of every span of every list of sentences."""
     sizes = np.array([len(p) for p in pieces], dtype=np.int64)
-    flat = [s.lower().split() for p in pieces for s in p]
+    flat = [words_of(s) for p in pieces for s in p]
     n = len(flat)
     if not n:
         return (*(np.empty(0, dtype=np.int64),) * 3, np.empty(0, dtype=np.uint64))

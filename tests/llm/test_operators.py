@@ -417,3 +417,27 @@ def test_span_dedup(spark, docs, empty):
 def test_removed_stretches_are_what_is_missing():
     t = prose(3, 200)
     assert "".join(span_dedup.sentences(t)) == t and span_dedup.sentences("") == []
+
+
+def removed_words(spark, passage: str, hosts: list[tuple[str, str]]) -> int:
+    """Words removed from the second of two texts that hold the passage in other surroundings."""
+    rows = [(i, a + passage + b) for i, (a, b) in enumerate(hosts)]
+    out = {r["doc_id"]: r["text"] for r in span_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[0] == rows[0][1]
+    return len(span_dedup.words_of(rows[1][1])) - len(span_dedup.words_of(out[1]))
+
+
+def test_span_dedup_finds_passages_without_marks(spark):
+    def plain(seed, n):
+        return " ".join(f"{w}{random.Random(seed + i).randrange(90)}" for i, w in enumerate(prose(seed, n).replace(".", "").split()))
+
+    hosts = [(plain(50, 37) + " ", " " + plain(51, 33)), (plain(52, 41) + " ", " " + plain(53, 35))]
+    for n in (40, 60, 150):
+        assert 0.6 * n <= removed_words(spark, plain(54, n), hosts) <= n
+    lines = [(a + "\n", "\n" + b) for a, b in hosts]
+    assert 18 <= removed_words(spark, plain(55, 30), lines) <= 30
+    rng = random.Random(7)
+    wide = lambda n: "".join(chr(0x4E00 + rng.randrange(2000)) for _ in range(n))
+    passage = wide(60)
+    assert 36 <= removed_words(spark, passage, [(wide(40), wide(40)), (wide(45), wide(30))]) <= 60
+    assert span_dedup.sentences("今日は晴れ。明日は雨！") == ["今日は晴れ。", "明日は雨！"]
