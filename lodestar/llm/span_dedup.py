@@ -4,11 +4,14 @@ A text is cut into sentences (after ``.!?`` before white space, after ``。！
 and at line ends). A sentence of more than ``LONG`` words is cut further, after
 ``,;:`` and ``，、；：`` and before words that a hash of the letters around the
 gap picks. These cuts don't depend on what stands farther off, so the long
-sentences of a passage are cut alike in any surroundings. A word is a run without white space, or one Chinese or Japanese
-character. At every sentence a span begins: the shortest run of two or more consecutive sentences
-that holds ``MIN_WORDS`` words. Spans are hashed over lower-case words, grouped
-globally, and every sentence covered by a span that occurred before is removed.
-The first occurrence is the one in the smallest doc_id, and in it the first.
+sentences of a passage are cut alike in any surroundings. A word is a run
+without white space, or one Chinese or Japanese character. At every sentence
+the shortest run of two or more consecutive
+sentences that holds ``MIN_WORDS`` words begins, and another one ends; every
+longer run is covered by such spans. Spans are hashed over lower-case words,
+grouped globally, and every sentence covered by a span that occurred before is
+removed. The first occurrence is the one in the smallest doc_id, and in it the
+first.
 
 Rows with equal doc_id count as one document, rows without an id as one last
 document, whatever their texts: they don't remove each other's spans. A null
@@ -24,7 +27,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.llm.text import mixed, slices, texts_of
@@ -42,12 +45,8 @@ _STEP = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 _BACK = pow(_STEP, -1, 2**64)
 
 
-_WHITE = np.zeros(0x3001, dtype=bool)
-_WHITE[[c for c in range(0x3001) if chr(c).isspace()]] = True
-_LOWER = np.arange(0x3001, dtype=np.uint64)
-for _c in range(0x3001):
-    if len(chr(_c).lower()) == 1:
-        _LOWER[_c] = ord(chr(_c).lower())
+_WHITE = np.array([chr(c).isspace() for c in range(0x3001)])
+_LOWER = np.array([ord(chr(c).lower()) if len(chr(c).lower()) == 1 else c for c in range(0x3001)], dtype=np.uint64)
 _NEAR = 3
 _SEEDS = mixed(np.arange(1, 2 * _NEAR + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -61,56 +60,58 @@ def _is_wide(c: np.ndarray) -> np.ndarray:
     return (c >= 0x3005) & (c <= 0x3007) | (c >= 0x3040) & (c <= 0x30FF) | (c >= 0x3400) & (c <= 0x4DBF) | (c >= 0x4E00) & (c <= 0x9FFF) | (c >= 0xF900) & (c <= 0xFAFF) | (c >= 0x20000) & (c <= 0x3FFFF)
 
 
-def _gaps(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """(start of each word, whether the gap before it is picked by the letters on both of its sides)."""
-    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    low = np.minimum(c, 0x3000)
-    white = (c <= 0x3000) & _WHITE[low]
-    lead = ~white
+def _word_ends(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(code of each character, start of each word, last character of each word)."""
+    if text.isascii():
+        c = np.frombuffer(text.encode(), dtype=np.uint8)
+        white = _WHITE[c]
+    else:
+        c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        white = (c <= 0x3000) & _WHITE[np.minimum(c, 0x3000)]
+    lead, tail = ~white, ~white
     lead[1:] &= white[:-1]
-    tail = ~white
     tail[:-1] &= white[1:]
     if not text.isascii():
         wide = _is_wide(c)
-        lead[1:] |= (wide[1:] | wide[:-1]) & ~white[1:]
-        lead |= wide
-        tail[:-1] |= (wide[1:] | wide[:-1]) & ~white[:-1]
-        tail |= wide
-    first, last = np.flatnonzero(lead), np.flatnonzero(tail)
-    letters = np.where(c <= 0x3000, _LOWER[low], c.astype(np.uint64))
+        near = wide[1:] | wide[:-1]
+        lead[1:] |= near & ~white[1:]
+        tail[:-1] |= near & ~white[:-1]
+    return c, np.flatnonzero(lead), np.flatnonzero(tail)
+
+
+def _picked(c: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Starts of the words before which the letters on both sides of the gap tell to cut."""
     value = np.zeros(max(len(first) - 1, 0), dtype=np.uint64)
     with np.errstate(over="ignore"):
         for k in range(_NEAR):
-            before, after = last[:-1] - k, first[1:] + k
-            value += np.where(before >= first[:-1], letters[np.maximum(before, 0)] * _SEEDS[k], np.uint64(0))
-            value += np.where(after <= last[1:], letters[np.minimum(after, len(c) - 1)] * _SEEDS[_NEAR + k], np.uint64(0))
-    return first, np.r_[False, mixed(value) % np.uint64(GAPS) == 0][:len(first)]
+            for at, inside, seed in ((last[:-1] - k, last[:-1] - k >= first[:-1], _SEEDS[k]), (first[1:] + k, first[1:] + k <= last[1:], _SEEDS[_NEAR + k])):
+                x = c[np.where(inside, at, 0)].astype(np.uint64)
+                value += np.where(inside, np.where(x <= 0x3000, _LOWER[np.minimum(x, np.uint64(0x3000))], x), np.uint64(0)) * seed
+    return first[1:][mixed(value) % np.uint64(GAPS) == 0]
 
 
-def _cut(text: str) -> list[int]:
-    """Ends of the sentences."""
+def _cut(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(ends of the sentences, number of words before each)."""
     ends = [m.end() for m in ENDS.finditer(text)]
     if not ends or ends[-1] < len(text):
         ends.append(len(text))
-    if max(b - a for a, b in zip([0, *ends[:-1]], ends, strict=True)) <= LONG:
-        return ends
-    first, picked = _gaps(text)
     ends = np.array(ends)
-    upto = np.r_[0, np.searchsorted(first, ends)]
-    long = np.diff(upto) > LONG
-    if not long.any():
-        return ends.tolist()
-    pauses = np.array([m.end() for m in PAUSES.finditer(text)], dtype=np.int64)
-    more = np.r_[first[picked], pauses[pauses < len(text)]]
-    more = more[long[np.searchsorted(ends, more, side="right")]]
-    return np.unique(np.r_[ends, more]).tolist()
+    c, first, last = _word_ends(text)
+    upto = np.searchsorted(first, ends)
+    long = np.diff(upto, prepend=0) > LONG
+    if long.any():
+        pauses = np.array([m.end() for m in PAUSES.finditer(text)], dtype=np.int64)
+        more = np.r_[_picked(c, first, last), pauses[pauses < len(text)]]
+        ends = np.unique(np.r_[ends, more[long[np.searchsorted(ends, more, side="right")]]])
+        upto = np.searchsorted(first, ends)
+    return ends, upto
 
 
 def sentences(text: str) -> list[str]:
     """The sentences with the white space behind them; joined they are the text."""
     if not text:
         return []
-    ends = _cut(text)
+    ends = _cut(text)[0].tolist()
     return [text[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
@@ -121,26 +122,35 @@ def _powers(base: int, n: int) -> np.ndarray:
         return np.multiply.accumulate(out)
 
 
-def spans_of(pieces: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(owner, first sentence, end sentence, hash) of every span of every list of sentences."""
-    sizes = np.array([len(p) for p in pieces], dtype=np.int64)
-    flat = [words_of(s) for p in pieces for s in p]
-    n = len(flat)
+def spans_of(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(ends of the sentences of each text, owner, first sentence, end sentence, hash of every span)."""
+    none = np.empty(0, dtype=np.int64)
+    cuts = [_cut(t) if t else (none, none) for t in texts]
+    ends = [e for e, _ in cuts]
+    sizes = np.array([len(e) for e in ends], dtype=np.int64)
+    n = int(sizes.sum())
     if not n:
-        return (*(np.empty(0, dtype=np.int64),) * 3, np.empty(0, dtype=np.uint64))
+        return ends, none, none, none, np.empty(0, dtype=np.uint64)
     h = xxhash.xxh64_intdigest
-    key = np.fromiter((h(" ".join(w)) for w in flat), dtype=np.uint64, count=n)
-    words = np.r_[0, np.cumsum([len(w) for w in flat])]
-    owner, stop = np.repeat(np.arange(len(pieces)), sizes), np.repeat(np.cumsum(sizes), sizes)
-    start = np.arange(n)
-    end = np.maximum(start + MIN_SENTENCES, np.searchsorted(words, words[:-1] + MIN_WORDS, side="left"))
-    whole = end <= stop
+    total = np.array([u[-1] if len(u) else 0 for _, u in cuts], dtype=np.int64)
+    m = int(total.sum())
+    key = mixed(np.fromiter((h(w) for t in texts for w in words_of(t)), dtype=np.uint64, count=m))
+    words = np.r_[0, np.concatenate([u for _, u in cuts]) + np.repeat(np.cumsum(total) - total, sizes)]
+    owner, stop = np.repeat(np.arange(len(texts)), sizes), np.repeat(np.cumsum(sizes), sizes)
+    base = np.repeat(np.cumsum(sizes) - sizes, sizes)
+    at = np.arange(n)
+    end = np.maximum(at + MIN_SENTENCES, np.searchsorted(words, words[:-1] + MIN_WORDS, side="left"))
+    begin = np.minimum(at + 1 - MIN_SENTENCES, np.searchsorted(words, words[1:] - MIN_WORDS, side="right") - 1)
+    ahead, back = end <= stop, begin >= base
+    back &= end[np.maximum(begin, 0)] != at + 1  # a run that is the shortest from both sides counts once
+    start, end = np.r_[at[ahead], begin[back]], np.r_[end[ahead], at[back] + 1]
+    order = np.lexsort((end, start))
+    start, end = start[order], end[order]
     with np.errstate(over="ignore"):
-        upto = np.r_[np.uint64(0), np.cumsum(key * _powers(_STEP, n), dtype=np.uint64)]
-        value = (upto[np.minimum(end, n)] - upto[:-1]) * _powers(_BACK, n)
+        upto = np.r_[np.uint64(0), np.cumsum(key * _powers(_STEP, m), dtype=np.uint64)]
+        value = (upto[words[end]] - upto[words[start]]) * _powers(_BACK, m + 1)[words[start]]
         value = mixed(value ^ mixed((end - start).astype(np.uint64)))
-    base = np.repeat(np.cumsum(sizes) - sizes, sizes)
-    return owner[whole], (start - base)[whole], (end - base)[whole], value[whole]
+    return ends, owner[start], start - base[start], end - base[start], value
 
 
 def _first_seen(owner: np.ndarray, value: np.ndarray) -> np.ndarray:
@@ -158,13 +168,14 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     def hashes(parts):
         for part in parts:
             for b in slices(part):
-                owner, _, _, value = spans_of([sentences(t) for t in texts_of(b)])
+                _, owner, _, _, value = spans_of(texts_of(b))
                 fresh = _first_seen(owner, value)
                 yield pa.RecordBatch.from_arrays([pa.array(value[fresh].view(np.int64)), b.column("doc_key").take(pa.array(owner[fresh]))], names=["h", "doc_key"])
 
     spans = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_key"), "text").mapInArrow(hashes, "h long, doc_key long")
-    again = spans.groupBy("h").agg(F.min("doc_key").alias("first"), F.max("doc_key").alias("last")).where(F.col("first") != F.col("last")).select("h", "first")
-    return spans.join(again, "h").where(F.col("doc_key") != F.col("first")).groupBy("doc_key").agg(F.collect_set("h").alias("hashes"))
+    # One shuffle of the spans; rows of a hash go through a buffer that spills.
+    first = F.min("doc_key").over(Window.partitionBy("h"))
+    return spans.withColumn("first", first).where(F.col("doc_key") != F.col("first")).groupBy("doc_key").agg(F.collect_set("h").alias("hashes"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -179,27 +190,27 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     def prune(parts):
         for part in parts:
             for b in slices(part):
-                pieces = [sentences(t) for t in texts_of(b)]
-                owner, first, end, value = spans_of(pieces)
+                texts = texts_of(b)
+                ends, owner, first, end, value = spans_of(texts)
                 late = ~_first_seen(owner, value)
-                bounds = np.searchsorted(owner, np.arange(len(pieces) + 1))
+                bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
                 elsewhere, was = b.column("hashes"), b.column("text").is_null()
                 rows = []
-                for i, p in enumerate(pieces):
-                    a, z = bounds[i], bounds[i + 1]
+                for i, t in enumerate(texts):
+                    a, z, n = bounds[i], bounds[i + 1], len(ends[i])
                     hit = late[a:z]
                     if elsewhere[i].is_valid:
                         hit = hit | np.isin(value[a:z].view(np.int64), elsewhere[i].values.to_numpy())
                     if not hit.any():
-                        rows.append((None if was[i].as_py() else "".join(p), len(p), 0, ""))
+                        rows.append((None if was[i].as_py() else t, n, 0, ""))
                         continue
-                    step = np.zeros(len(p) + 1, dtype=np.int64)
+                    step = np.zeros(n + 1, dtype=np.int64)
                     np.add.at(step, first[a:z][hit], 1)
                     np.add.at(step, end[a:z][hit], -1)
                     gone = np.cumsum(step[:-1]) > 0
-                    at = np.r_[0, np.cumsum([len(s) for s in p])]
-                    turn = np.flatnonzero(np.diff(np.r_[False, gone, False]))
-                    rows.append(("".join(s for s, g in zip(p, gone, strict=True) if not g), len(p), int(gone.sum()), ",".join(f"{at[x]}:{at[y]}" for x, y in zip(turn[::2], turn[1::2], strict=True))))
+                    turn = np.r_[0, ends[i]][np.flatnonzero(np.diff(np.r_[False, gone, False]))].tolist()
+                    kept = "".join(t[x:y] for x, y in zip([0, *turn[1::2]], [*turn[::2], len(t)], strict=True))
+                    rows.append((kept, n, int(gone.sum()), ",".join(f"{x}:{y}" for x, y in zip(turn[::2], turn[1::2], strict=True))))
                 text, n, removed, where = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(text, pa.string()), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(where, pa.string())], names=["doc_id", "text", "n_sentences", "n_removed", "removed"])
 

@@ -435,9 +435,42 @@ def test_span_dedup_finds_passages_without_marks(spark):
     for n in (40, 60, 150):
         assert 0.6 * n <= removed_words(spark, plain(54, n), hosts) <= n
     lines = [(a + "\n", "\n" + b) for a, b in hosts]
-    assert 18 <= removed_words(spark, plain(55, 30), lines) <= 30
+    assert removed_words(spark, plain(55, 30), lines) == 30
     rng = random.Random(7)
     wide = lambda n: "".join(chr(0x4E00 + rng.randrange(2000)) for _ in range(n))
     passage = wide(60)
     assert 36 <= removed_words(spark, passage, [(wide(40), wide(40)), (wide(45), wide(30))]) <= 60
     assert span_dedup.sentences("今日は晴れ。明日は雨！") == ["今日は晴れ。", "明日は雨！"]
+
+
+def prune_all_runs(rows) -> collections.Counter:
+    """Like ``slow_prune``, over every run of two or more sentences with MIN_WORDS words."""
+    pieces = [span_dedup.sentences(t) for _, t in rows]
+    first, runs = {}, []
+    for (d, _), p in zip(rows, pieces, strict=True):
+        w = [" ".join(span_dedup.words_of(s)) for s in p]
+        mine = [(a, b, tuple(w[a:b])) for a in range(len(p)) for b in range(a + 2, len(p) + 1) if len(" ".join(w[a:b]).split()) >= span_dedup.MIN_WORDS]
+        for _, _, k in mine:
+            first[k] = min(first.get(k, d), d)
+        runs.append(mine)
+    out = collections.Counter()
+    for (d, _), p, mine in zip(rows, pieces, runs, strict=True):
+        gone, seen = set(), set()
+        for a, b, k in mine:
+            if first[k] != d or k in seen:
+                gone |= set(range(a, b))
+            seen.add(k)
+        out[d, "".join(s for j, s in enumerate(p) if j not in gone), len(gone)] += 1
+    return out
+
+
+def test_span_dedup_removes_tails_of_passages(spark):
+    rng = random.Random(21)
+    unit = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n)) + ". "
+    passage = [unit(8), unit(6), unit(6), unit(3)]
+    pool = [unit(rng.randint(1, 9)) for _ in range(12)]
+    rows = [(1, unit(7) + "".join(passage) + unit(7)), (2, unit(9) + "".join(passage) + unit(9))]
+    rows += [(10 + i, "".join(rng.choice(pool) for _ in range(rng.randint(1, 14)))) for i in range(40)]
+    got = by_row(span_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)), "doc_id", "text", "n_removed")
+    assert got == prune_all_runs(rows)
+    assert sum(n for (d, _, removed), n in got.items() if d == 2 and removed == 4) == 1
