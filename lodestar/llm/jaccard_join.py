@@ -11,9 +11,12 @@ Vertices are linked when the Jaccard similarity of their sets is 0.8 or more.
    node, and its vertices go on to one child for each value there. Two vertices
    of similarity 0.8 thus share one child of a shared node on average. All nodes
    are split twice; larger ones than ``BUCKET`` vertices further, until they are
-   small, ``MAX_DEPTH`` deep, or a split leaves most of the node together.
-   A pair of similarity 0.8 stays together in a run with probability 0.73 (two
-   levels), so ten runs miss one such pair in 400,000, fewer of more alike.
+   small or ``MAX_DEPTH`` deep; a node whose split would leave most of it
+   together stays whole. Each deeper split is repeated with other draws (``REPEATS``), so that depth costs
+   next to no pairs. All runs draw from the same ``T`` values; averaged over how
+   many of these agree (``miss_rate``), a pair of similarity 0.8 is missed once
+   in 52,000 at two levels and at most once in ``TARGET`` at any depth, more
+   similar ones less often.
 3. Each final bucket is compared pair by pair: a bucket larger than ``BUCKET``
    in square blocks, each its own task unit. A pair belongs to the smallest
    bucket that both are in and is judged only there: first by its minimum hashes
@@ -31,6 +34,7 @@ are read whole; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -48,6 +52,10 @@ RUNS = 10
 SEED = 97
 BUCKET = 1024
 MAX_DEPTH = 6
+#: At most one pair of similarity 0.8 in so many is missed, whatever the depth.
+TARGET = 40_000
+#: Splits of a node at levels 3, 4, 5 and 6, each with draws of its own.
+REPEATS = (4, 2, 1, 2)
 #: Of ``T`` values so many must agree: for similarity 0.8 fewer do once in a million.
 MIN_AGREEING = 36
 #: Vertex lists are joined by broadcast up to so many rows, else by a shuffle.
@@ -104,6 +112,32 @@ def children(nodes: np.ndarray, sigs: np.ndarray) -> tuple[np.ndarray, np.ndarra
         return row, mixed(nodes[row] * np.uint64(0x9E3779B97F4A7C15) + mixed(token))
 
 
+def repeated(nodes: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, node) of the repeats of every row's node that make the split to level ``depth``."""
+    salts = mixed(np.arange(REPEATS[depth - 3], dtype=np.uint64) + np.uint64(SEED * depth))
+    with np.errstate(over="ignore"):
+        return np.tile(np.arange(len(nodes)), len(salts)), mixed(nodes[None, :] + salts[:, None]).ravel()
+
+
+def kept_apart(agreement: float, depth: int) -> float:
+    """Probability that no run puts two vertices in one bucket that agree in this share of the values."""
+    both = round(1024 * (1 / SIMILARITY - 1)) / 1024
+
+    def split(lost: float) -> float:
+        child = 1 - agreement + agreement * lost
+        return (1 - both) * child + both * child * child
+
+    lost = 0.0
+    for level in range(depth, 0, -1):
+        lost = split(lost) ** (REPEATS[level - 3] if level > 2 else 1)
+    return lost ** RUNS
+
+
+def miss_rate(depth: int, similarity: float = SIMILARITY) -> float:
+    """Share of the pairs of a similarity that no bucket has whose nodes all are split to ``depth``."""
+    return sum(math.comb(T, a) * similarity**a * (1 - similarity)**(T - a) * kept_apart(a / T, depth) for a in range(T + 1))
+
+
 def _sig_column(col: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(col.to_pylist()), dtype=np.uint16).reshape(-1, T)
 
@@ -140,34 +174,38 @@ def _first_nodes(vertices: DataFrame) -> DataFrame:
     return vertices.mapInArrow(walk, "node long, k long")
 
 
-def _split(members: DataFrame, vertices: DataFrame) -> DataFrame:
-    """(node, k, parent_size): the children of ``members`` (node, k, size)."""
+def _split(members: DataFrame, vertices: DataFrame, depth: int) -> DataFrame:
+    """(node, k, parent, parent_size): the children, at level ``depth``, of ``members`` (node, k, size)."""
 
     def walk(parts):
         for b in parts:
             if not b.num_rows:
                 continue
-            at, nodes = children(b.column("node").to_numpy().view(np.uint64), _sig_column(b.column("sig")))
-            take = pa.array(at)
-            yield pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), b.column("k").take(take), b.column("size").take(take)], names=["node", "k", "parent_size"])
+            rows, nodes = repeated(b.column("node").to_numpy().view(np.uint64), depth)
+            at, nodes = children(nodes, _sig_column(b.column("sig"))[rows])
+            take = pa.array(rows[at])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), b.column("k").take(take), b.column("node").take(take), b.column("size").take(take)], names=["node", "k", "parent", "parent_size"])
 
-    return members.join(vertices, "k").select("node", "k", "size", "sig").mapInArrow(walk, "node long, k long, parent_size long")
+    return members.join(vertices, "k").select("node", "k", "size", "sig").mapInArrow(walk, "node long, k long, parent long, parent_size long")
 
 
 def buckets(vertices: DataFrame) -> DataFrame:
     """(bucket, k, size) of all final buckets with two or more vertices."""
-    nodes, done = _first_nodes(vertices).withColumn("parent_size", F.lit(NO_ID)), None
+    nodes = _first_nodes(vertices)
+    nodes, done = nodes.join(nodes.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "node").checkpoint(), None
+    as_bucket = lambda d: d.select(F.col("node").alias("bucket"), "k", "size")
     for depth in range(2, MAX_DEPTH + 1):
-        sizes = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        nodes = nodes.join(sizes, "node").checkpoint()
-        final = (F.col("size") <= BUCKET) | (2 * F.col("size") >= F.col("parent_size"))
-        ready = nodes if depth == MAX_DEPTH else nodes.where(final)
-        ready = ready.select(F.col("node").alias("bucket"), "k", "size")
+        final = F.col("size") <= BUCKET
+        ready = as_bucket(nodes if depth == MAX_DEPTH else nodes.where(final))
         done = ready if done is None else done.unionByName(ready)
         more = nodes.where(~final)
         if depth == MAX_DEPTH or more.isEmpty():
             break
-        nodes = _split(more.select("node", "k", "size"), vertices)
+        nodes = _split(more.select("node", "k", "size"), vertices, depth + 1)
+        nodes = nodes.join(nodes.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "node").checkpoint()
+        whole = nodes.where(2 * F.col("size") >= F.col("parent_size")).select("parent").distinct().checkpoint()
+        done = done.unionByName(as_bucket(more.join(whole, F.col("node") == F.col("parent"), "left_semi")))
+        nodes = nodes.join(whole, "parent", "left_anti")
     return done
 
 

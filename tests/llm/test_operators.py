@@ -474,3 +474,31 @@ def test_span_dedup_removes_tails_of_passages(spark):
     got = by_row(span_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)), "doc_id", "text", "n_removed")
     assert got == prune_all_runs(rows)
     assert sum(n for (d, _, removed), n in got.items() if d == 2 and removed == 4) == 1
+
+
+@pytest.mark.parametrize("depth", [2, 3, 4, 5, 6])
+def test_jaccard_join_misses_as_computed_at_every_depth(depth):
+    assert jaccard_join.RUNS == 10 and jaccard_join.miss_rate(depth) <= 1 / jaccard_join.TARGET
+    rng, pairs, agree = np.random.default_rng(depth), 3000, 40
+    a, b = rng.integers(0, 2**16, (2, pairs, jaccard_join.T), dtype=np.uint16)
+    same = np.argsort(rng.random((pairs, jaccard_join.T)), axis=1) < agree
+    b = np.where(same, a, b)
+    met = np.zeros(pairs, dtype=bool)
+    for run in range(1, jaccard_join.RUNS + 1):
+        nodes, rows = jaccard_join.mixed(np.arange(pairs, dtype=np.uint64) + np.uint64(run * 10**6)), np.arange(pairs)
+        for level in range(1, depth + 1):
+            if level > 2:
+                at, nodes = jaccard_join.repeated(nodes, level)
+                rows = rows[at]
+            (at, left), (_, right) = jaccard_join.children(nodes, a[rows]), jaccard_join.children(nodes, b[rows])
+            nodes, rows = left[left == right], rows[at][left == right]
+        met[rows] = True
+    want = jaccard_join.kept_apart(agree / jaccard_join.T, depth)
+    assert abs((~met).mean() - want) <= 4 * math.sqrt(want / pairs) + 0.15 * want
+
+
+def test_jaccard_join_finds_links_in_deep_buckets(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BUCKET", 2)
+    rows = near_rows()
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert by_row(jaccard_join.join_documents(d), "doc_id", "class_id", "n_links") == slow_classes(rows)
