@@ -3,8 +3,9 @@
 1. Base spans: the four rules (email, ip, card, phone), leftmost non-overlapping
    per kind, each rule written so that it reads any text in linear time. Spans
    come from the pieces between matches (``split``) and the matches themselves.
-2. Candidates: every token with a digit or ``@``, and every phone-like run, with
-   its context. Those that are base matches as a whole are the seeds.
+2. Candidates: every token with a digit, ``@``, ``(at)`` or ``[at]``, every
+   phone-like run, and every run of short digit groups joined by single blanks,
+   dots, dashes or brackets, as one candidate with its context. Those that are base matches as a whole are the seeds.
 3. A bipartite graph links lexical patterns (two words to the left, two to the
    right, or one of each) with the values seen in them. Rounds alternate: a
    pattern's confidence for a kind is the share of its occurrences whose value
@@ -36,7 +37,14 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-CANDIDATE = r"\+[0-9][\x20().0-9-]+[0-9]|(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+_NOT_IP = r"(?![0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9]))"
+#: A group of a joined run: short, so that no solid number is swallowed, and not part of a word.
+_GROUP = _NOT_IP + r"(?:[0-9]{1,6}+|[Xx*]{3,6}+)(?![0-9A-WYZa-wyz@*]|[Xx](?![0-9]))"
+#: Groups joined by single blanks, dots, dashes or brackets, with an extension; the run ends where a token ends.
+_JOINED = rf"(?<!\S)[(\[]?(?=[0-9]){_GROUP}(?:[)\]]?[\x20.-]?[(\[]?{_GROUP})++(?:[Xx][0-9]{{1,6}}+)?+(?![0-9A-Za-z@]|[^\s0-9A-Za-z@]+[0-9A-Za-z@])"
+_AT = r"[(\[][Aa][Tt][)\]]"
+CANDIDATE = (r"\+[0-9][\x20().0-9-]+[0-9]|" + _JOINED + rf"|(?<!\S)[A-Za-z0-9._%+-]++\x20{_AT}\x20[^\s@]++"
+             + rf"|(?<!\S)(?:[^\s0-9@]*+[0-9@]|(?=\S*?{_AT}))\S*+")
 #: Context words are taken from so many code points beside a candidate.
 REACH = 48
 ROUNDS = 3
@@ -117,7 +125,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, base, cands), one row per row of ``docs``: spans and raw candidates, without the text."""
     text = F.coalesce(F.col("text"), F.lit(""))
     d = docs.select("doc_id", text.alias("_t"))
-    cands = F.when(F.col("_t").rlike("[0-9@]"), _candidates(F.col("_t"))).otherwise(F.lit(None))
+    cands = F.when(F.col("_t").rlike("[0-9@]|" + _AT), _candidates(F.col("_t"))).otherwise(F.lit(None))
     return d.select("doc_id", F.xxhash64("_t").alias("text_hash"), base_spans(F.col("_t")).alias("base"), cands.alias("cands"))
 
 

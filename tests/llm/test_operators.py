@@ -502,3 +502,27 @@ def test_jaccard_join_finds_links_in_deep_buckets(spark, monkeypatch):
     rows = near_rows()
     d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert by_row(jaccard_join.join_documents(d), "doc_id", "class_id", "n_links") == slow_classes(rows)
+
+
+def test_pii_learns_spaced_and_spelled_shapes(spark):
+    def luhn(body: str) -> str:
+        return next(body + str(c) for c in range(10) if sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(map(int, reversed(body + str(c))))) % 10 == 0)
+
+    spaced = lambda d: " ".join(d[i:i + 4] for i in range(0, 16, 4))
+    rows = [(i, f"please charge card {spaced(luhn(f'41111111111{i:04d}'))} before noon") for i in range(40)]
+    rows += [(100 + i, f"you may call {'+'}1 (988) 555-{2400 + i} after lunch") for i in range(40)]
+    rows += [(200 + i, f"write to address user{chr(97 + i % 26)}{chr(97 + i // 26)}@example.com for details") for i in range(40)]
+    odd = {900: ("please charge card ", "4111 1111 1111 1112", " before noon", "card"), 901: ("you may call ", "(988) 555-2485", " after lunch", "phone"),
+           902: ("write to address ", "john(at)example.com", " for details", "email"), 903: ("write to address ", "mary [at] example.org", " for details", "email"),
+           904: ("you may call ", "988 555 2485", " after lunch", "phone")}
+    rows += [(i, a + v + b) for i, (a, v, b, _) in odd.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["s"] for r in pii.extract_spans(docs).select("doc_id", pii.spelled(F.col("spans")).alias("s")).collect()}
+    for i, (a, v, _, kind) in odd.items():
+        assert got[i] == f"{kind}:{len(a)}:{len(a) + len(v)}", (i, got[i])
+
+
+def test_pii_joined_runs_leave_solid_values_alone(spark):
+    text = "4111111111111111 12 and 10.0.0.1 5 or 5 10.0.0.1, 2024-01-15 10:30 (988) 555-2485x12. 4111 1111 1111 1111 2nd"
+    got = spark.createDataFrame([(text,)], "t string").select(F.regexp_extract_all("t", F.lit(pii.CANDIDATE), F.lit(0)).alias("c")).first()["c"]
+    assert got == ["4111111111111111", "12", "10.0.0.1", "5", "5", "10.0.0.1,", "2024-01-15", "10:30", "(988) 555-2485x12", "4111 1111 1111 1111", "2nd"]
