@@ -190,6 +190,49 @@ def test_quality_rejects_what_diverges(spark):
     assert quality_rules.kept_documents(d).count() == 60
 
 
+def test_quality_rejects_clean_looking_text_without_common_words(spark):
+    rng = random.Random(6)
+    plain = "house river stone walked garden letter window summer morning friend market bridge".split()
+    common = "the of and to in is that for it with".split()
+    prose_of = lambda n: " ".join(rng.choice(common) if rng.random() < 0.3 else rng.choice(plain) for _ in range(n)).capitalize() + "."
+    rows = [(i, prose_of(rng.randint(130, 250)), "en") for i in range(120)] + [(500, " ".join(rng.choice(plain) for _ in range(200)).capitalize() + ".", "en")]
+    got = {(r["doc_id"], r["base_failed"], r["kept"], r["js_chars"] < 0.05) for r in quality_rules.apply_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got == {(i, False, True, True) for i in range(120)} | {(500, False, False, True)}
+
+
+def test_sparse_and_dense_distances_agree(spark):
+    rng = random.Random(8)
+    n = len(quality_rules.VOCABULARY) + 1
+    counts = [0] * n
+    for _ in range(40):
+        counts[rng.randrange(n - 1)] += 1
+    counts[-1] = 55
+    q = np.array([rng.random() for _ in range(n)])
+    q = (q / q.sum()).tolist()
+    d = spark.createDataFrame([([(i, c) for i, c in enumerate(counts[:-1]) if c], sum(counts), [float(c) for c in counts])], "common array<struct<i: int, n: int>>, n_words long, dense array<double>")
+    a, b = d.select(quality_rules.js_sparse(F.col("common"), F.col("n_words"), q), quality_rules.js_distance(F.col("dense"), q)).first()
+    assert abs(a - b) < 1e-12
+
+
+def test_common_word_counts(docs):
+    want = collections.Counter((i, n, str(sorted(collections.Counter(quality_rules.VOCABULARY.index(w) for w in re.split(r"[\x20\x09-\x0D]+", t.lower()) if w in quality_rules.VOCABULARY).items()))) for i, t in texts() for n in [len(WORD.findall(t))])
+    got = collections.Counter((r["doc_id"], r["n_words"], str(sorted((x["i"], x["n"]) for x in r["common"]))) for r in quality_rules.measured(docs).collect())
+    assert got == want
+
+
+def clashing(spark, names):
+    """A short table whose further columns are named like the operators' own."""
+    return spark.createDataFrame([(i, t, "en", *["mine"] * len(names)) for i, t in texts()], f"doc_id long, text string, lang string, {', '.join(f'{n} string' for n in names)}")
+
+
+def test_stage_columns_may_clash(spark):
+    names = ("_key", "_id", "_th", "_k", "_i", "_row", "spans", "kept", "th", "text_hash")
+    d = clashing(spark, names)
+    items = spark.createDataFrame([(1, prose(1, 60), "x")], "item_id long, text string, _key string")
+    for out in (quality_rules.kept_documents(d), decontam.clean_documents(d, items), jaccard_join.first_of_each(d), pii.mask_documents(d)):
+        assert out.columns == d.columns and {tuple(r) for r in out.select(*names).distinct().collect()} == {("mine",) * len(names)}
+
+
 def test_js_distance(spark):
     rng = np.random.default_rng(2)
     p, q = rng.random(7), rng.random(7)
@@ -281,6 +324,19 @@ def test_leaks(spark, docs, empty):
     assert decontam.leaks(empty, bench).count() == 0 and decontam.leaks(docs, bench.where("false")).count() == 0
 
 
+def test_leaks_of_reordered_items(spark):
+    a, b, c = prose(70, 60).split(), prose(71, 60).split(), prose(72, 90).split()
+    items = [(1, " ".join(a)), (2, " ".join(b)), (3, " ".join(c)), (4, "one and the same " * 12)]
+    around = [prose(80 + k, 30) for k in range(4)]
+    bodies = [a[30:] + a[:30], a[40:] + a[:40], a[20:40] + a[:20] + a[40:], [x for p in zip(a, b, strict=True) for x in p], a[30:] + b[:30] + a[:30], c[30:60] + c[:30] + c[60:],
+              c[45:] + c[:45], a[:57], a[:30] + ["x"] + a[30:], a[30:] + a[:30] + a, a[2:] + a[:2], "one and the same".split() * 30, a[30:] + a[:27]]
+    rows = [(i, f"{around[i % 4]} {' '.join(w)} {around[(i + 1) % 4]}") for i, w in enumerate(bodies)] + [(100 + i, " ".join(w)) for i, w in enumerate(bodies)]
+    found = {(r["doc_id"], r["item_id"]): (r["similarity"], r["start_word"]) for r in decontam.leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = slow_leaks(rows, items)
+    assert (0, 1) in want and (100, 1) in want
+    assert found.keys() == want.keys() and all(abs(found[k][0] - want[k][0]) < 1e-12 and found[k][1] == want[k][1] for k in want)
+
+
 def test_block_index_misses_nothing_within_the_radius():
     rng, masks = random.Random(6), decontam._flips()
     for _ in range(300):
@@ -414,6 +470,41 @@ def test_span_dedup(spark, docs, empty):
     assert span_dedup.remove_repeats(empty).count() == 0
 
 
+def slow_prune_all_runs(rows) -> collections.Counter:
+    """As ``slow_prune``, over every run of two or more sentences with MIN_WORDS words."""
+    pieces = [(d if d is not None else span_dedup.NO_ID, span_dedup.sentences(t)) for d, t in rows]
+    first, out = {}, collections.Counter()
+
+    def spans(p):
+        w = [tuple(s.lower().split()) for s in p]
+        for a in range(len(p)):
+            for b in range(a + 2, len(p) + 1):
+                if sum(map(len, w[a:b])) >= span_dedup.MIN_WORDS:
+                    yield a, b, (sum(w[a:b], ()), b - a)
+
+    for d, p in pieces:
+        for _, _, k in spans(p):
+            first[k] = min(first.get(k, d), d)
+    for (d, p), (i, _) in zip(pieces, rows, strict=True):
+        gone, seen = set(), set()
+        for a, b, k in spans(p):
+            if first[k] != d or k in seen:
+                gone |= set(range(a, b))
+            seen.add(k)
+        out[i, "".join(s for j, s in enumerate(p) if j not in gone), len(gone)] += 1
+    return out
+
+
+@pytest.mark.parametrize("chunk", [1, 100, 10**6])
+def test_span_dedup_over_all_runs(spark, monkeypatch, chunk):
+    monkeypatch.setattr(span_dedup, "CHUNK_SPANS", chunk)
+    passage = prose(50, 45)
+    rows = [(i, prose(60 + i, 20) + " " + (passage if i % 2 else passage[:150]) + " " + prose(90 + i, 25)) for i in range(8)]
+    rows += [(20, passage + ". " + prose(30, 30) + ". " + passage), (None, passage), (None, passage), (3, prose(50, 45)), (21, "short. text. " * 3), (22, "")]
+    got = span_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert by_row(got, "doc_id", "text", "n_removed") == slow_prune_all_runs(rows)
+
+
 def test_removed_stretches_are_what_is_missing():
     t = prose(3, 200)
     assert "".join(span_dedup.sentences(t)) == t and span_dedup.sentences("") == []
