@@ -8,8 +8,8 @@ sentences of a passage are cut alike in any surroundings. A word is a run
 without white space, or one Chinese or Japanese character. At every sentence
 the shortest run of two or more consecutive
 sentences that holds ``MIN_WORDS`` words begins, and another one ends; every
-longer run is covered by such spans. Spans are hashed over lower-case words,
-grouped globally, and every sentence covered by a span that occurred before is
+longer run is covered by such spans. Spans are hashed over lower-case words
+(characters up to U+3000 are lowered), grouped globally, and every sentence covered by a span that occurred before is
 removed. The first occurrence is the one in the smallest doc_id, and in it the
 first.
 
@@ -26,92 +26,140 @@ import re
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.llm.text import mixed, slices, texts_of
 
 MIN_SENTENCES, MIN_WORDS, LONG = 2, 14, 9
-ENDS = re.compile(r"[.!?]+(?=\s)\s*|[。！？]+\s*|\n\s*")
-PAUSES = re.compile(r"[,;:]+\s+|[，、；：]+\s*")
-#: Characters that are words of their own; the second form splits a text into words.
-WIDE = re.compile(r"[\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
-_APART = re.compile(rf"{WIDE.pattern}|(?:(?!{WIDE.pattern})\S)+")
 #: One gap in so many is a cut of a long sentence.
 GAPS = 3
+#: Texts are cut and hashed in slices of so many bytes, each as one array of characters that stays in a core's cache.
+SLICE = 256 << 10
+#: A task compares so many spans among themselves before it sends them.
+CHUNK_SPANS = 2_000_000
 NO_ID = 2**63 - 1
 _STEP = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
 _BACK = pow(_STEP, -1, 2**64)
 
-
-_WHITE = np.array([chr(c).isspace() for c in range(0x3001)])
-_LOWER = np.array([ord(chr(c).lower()) if len(chr(c).lower()) == 1 else c for c in range(0x3001)], dtype=np.uint64)
+_STOPS, _WIDE_STOPS = ".!?", "。！？"
+_RESTS, _WIDE_RESTS = ",;:", "，、；："
+_TABLE = 0x3001
+_WHITE = np.array([chr(c).isspace() for c in range(_TABLE)])
+_LOWER = np.array([ord(chr(c).lower()) if len(chr(c).lower()) == 1 else c for c in range(_TABLE)], dtype=np.uint32)
 _NEAR = 3
 _SEEDS = mixed(np.arange(1, 2 * _NEAR + 1, dtype=np.uint64)) | np.uint64(1)
 
 
+#: Characters that are words of their own; the second form splits a text into words.
+WIDE = re.compile(r"[\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+_APART = re.compile(rf"{WIDE.pattern}|(?:(?!{WIDE.pattern})\S)+")
+
+
 def words_of(text: str) -> list[str]:
     """The lower-case words."""
     return text.lower().split() if text.isascii() or not WIDE.search(text) else _APART.findall(text.lower())
 
 
 def _is_wide(c: np.ndarray) -> np.ndarray:
+    """Characters that are words of their own."""
     return (c >= 0x3005) & (c <= 0x3007) | (c >= 0x3040) & (c <= 0x30FF) | (c >= 0x3400) & (c <= 0x4DBF) | (c >= 0x4E00) & (c <= 0x9FFF) | (c >= 0xF900) & (c <= 0xFAFF) | (c >= 0x20000) & (c <= 0x3FFFF)
 
 
-def _word_ends(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(code of each character, start of each word, last character of each word)."""
-    if text.isascii():
-        c = np.frombuffer(text.encode(), dtype=np.uint8)
-        white = _WHITE[c]
-    else:
-        c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        white = (c <= 0x3000) & _WHITE[np.minimum(c, 0x3000)]
-    lead, tail = ~white, ~white
-    lead[1:] &= white[:-1]
-    tail[:-1] &= white[1:]
-    if not text.isascii():
-        wide = _is_wide(c)
-        near = wide[1:] | wide[:-1]
-        lead[1:] |= near & ~white[1:]
-        tail[:-1] |= near & ~white[:-1]
-    return c, np.flatnonzero(lead), np.flatnonzero(tail)
-
-
-def _picked(c: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Starts of the words before which the letters on both sides of the gap tell to cut."""
-    value = np.zeros(max(len(first) - 1, 0), dtype=np.uint64)
+def _among(c: np.ndarray, chars: str) -> np.ndarray:
+    out = c == ord(chars[0])
+    for ch in chars[1:]:
+        out |= c == ord(ch)
+    return out
+
+
+class _Letters:
+    """Some texts as one array of characters, a line end behind each.
+
+    ``c``: lower-case codes; ``white``: by character; ``first``, ``last``: of each
+    word; ``start``, ``stop``: of each text.
+    """
+
+    def __init__(self, texts: list[str]):
+        whole = "\n".join([*texts, ""])
+        ascii_only = whole.isascii()
+        raw = np.frombuffer(whole.encode(), dtype=np.uint8) if ascii_only else np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        near = raw if ascii_only else np.minimum(raw, _TABLE - 1)
+        self.white = _WHITE[near] if ascii_only else _WHITE[near] & (raw < _TABLE)
+        self.c = _LOWER[near] if ascii_only else np.where(raw < _TABLE, _LOWER[near], raw)
+        sizes = np.array([len(t) for t in texts], dtype=np.int64)
+        self.stop = np.cumsum(sizes + 1) - 1
+        self.start = self.stop - sizes
+        lead, tail = ~self.white, ~self.white
+        lead[1:] &= self.white[:-1]
+        tail[:-1] &= self.white[1:]
+        self.wide = not ascii_only and bool((raw >= 0x3000).any())
+        if self.wide:
+            wide = _is_wide(raw)
+            beside = wide[1:] | wide[:-1]
+            lead[1:] |= beside & ~self.white[1:]
+            tail[:-1] |= beside & ~self.white[:-1]
+        self.first, self.last = np.flatnonzero(lead), np.flatnonzero(tail)
+        self.solid = np.flatnonzero(~self.white)
+
+    def after(self, at: np.ndarray) -> np.ndarray:
+        """From each place on the next character that is not white, at most the end of its text."""
+        k = np.searchsorted(self.solid, at)
+        following = np.append(self.solid, len(self.c))[k]
+        return np.minimum(following, self.stop[np.searchsorted(self.stop, at - 1)])
+
+    def marks(self, narrow: str, broad: str) -> np.ndarray:
+        """Places behind a mark: ``narrow`` ones before white space, ``broad`` ones at the end of their run."""
+        at = np.flatnonzero(_among(self.c, narrow))
+        found = [at[self.white[at + 1]]]  # a text's last character has its line end behind it
+        if self.wide:
+            broad_at = _among(self.c, broad)
+            at = np.flatnonzero(broad_at)
+            found.append(at[~broad_at[at + 1]])
+        return self.after(np.concatenate(found) + 1)
+
+
+def _picked(x: _Letters, k: np.ndarray) -> np.ndarray:
+    """Of the words ``k``, the starts of those before which the letters on both sides of the gap tell to cut."""
+    value = np.zeros(len(k), dtype=np.uint64)
+    first, last = x.first, x.last
     with np.errstate(over="ignore"):
-        for k in range(_NEAR):
-            for at, inside, seed in ((last[:-1] - k, last[:-1] - k >= first[:-1], _SEEDS[k]), (first[1:] + k, first[1:] + k <= last[1:], _SEEDS[_NEAR + k])):
-                x = c[np.where(inside, at, 0)].astype(np.uint64)
-                value += np.where(inside, np.where(x <= 0x3000, _LOWER[np.minimum(x, np.uint64(0x3000))], x), np.uint64(0)) * seed
-    return first[1:][mixed(value) % np.uint64(GAPS) == 0]
-
-
-def _cut(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """(ends of the sentences, number of words before each)."""
-    ends = [m.end() for m in ENDS.finditer(text)]
-    if not ends or ends[-1] < len(text):
-        ends.append(len(text))
-    ends = np.array(ends)
-    c, first, last = _word_ends(text)
-    upto = np.searchsorted(first, ends)
+        for j in range(_NEAR):
+            for at, inside, seed in ((last[k - 1] - j, last[k - 1] - j >= first[k - 1], _SEEDS[j]), (first[k] + j, first[k] + j <= last[k], _SEEDS[_NEAR + j])):
+                value += np.where(inside, x.c[np.where(inside, at, 0)], 0).astype(np.uint64) * seed
+    return first[k][mixed(value) % np.uint64(GAPS) == 0]
+
+
+def _cut(x: _Letters) -> np.ndarray:
+    """Ends of the sentences of all texts, in order; a text without characters has none."""
+    is_end = np.zeros(len(x.c) + 1, dtype=bool)
+    is_end[x.marks(_STOPS, _WIDE_STOPS)] = True
+    lines = x.c == 10
+    lines[x.stop] = False
+    is_end[x.after(np.flatnonzero(lines) + 1)] = True
+    is_end[x.stop[x.stop > x.start]] = True
+    ends = np.flatnonzero(is_end)
+    if not len(ends):
+        return ends
+    upto = np.searchsorted(x.first, ends)
     long = np.diff(upto, prepend=0) > LONG
     if long.any():
-        pauses = np.array([m.end() for m in PAUSES.finditer(text)], dtype=np.int64)
-        more = np.r_[_picked(c, first, last), pauses[pauses < len(text)]]
-        ends = np.unique(np.r_[ends, more[long[np.searchsorted(ends, more, side="right")]]])
-        upto = np.searchsorted(first, ends)
-    return ends, upto
+        inside = np.repeat(long, np.diff(upto, prepend=0))  # by word
+        lead = np.searchsorted(x.first, x.start)
+        inside[lead[lead < len(inside)]] = False  # before a text's first word there is no gap
+        is_end[_picked(x, np.flatnonzero(inside))] = True
+        pauses = x.marks(_RESTS, _WIDE_RESTS)
+        pauses = pauses[pauses < x.stop[np.searchsorted(x.stop, pauses - 1)]]
+        is_end[pauses[long[np.searchsorted(ends, pauses, side="right")]]] = True
+        ends = np.flatnonzero(is_end)
+    return ends
 
 
 def sentences(text: str) -> list[str]:
     """The sentences with the white space behind them; joined they are the text."""
     if not text:
         return []
-    ends = _cut(text)[0].tolist()
+    ends = _cut(_Letters([text])).tolist()
     return [text[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
 
@@ -122,22 +170,29 @@ def _powers(base: int, n: int) -> np.ndarray:
         return np.multiply.accumulate(out)
 
 
+def _runs(items: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run ``items[lo:hi]``, wherever it stands."""
+    with np.errstate(over="ignore"):
+        upto = np.zeros(len(items) + 1, dtype=np.uint64)
+        np.cumsum(items * _powers(_STEP, len(items)), out=upto[1:])
+        value = (upto[hi] - upto[lo]) * _powers(_BACK, len(items) + 1)[lo]
+        return mixed(value ^ mixed((hi - lo).astype(np.uint64)))
+
+
 def spans_of(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(ends of the sentences of each text, owner, first sentence, end sentence, hash of every span)."""
-    none = np.empty(0, dtype=np.int64)
-    cuts = [_cut(t) if t else (none, none) for t in texts]
-    ends = [e for e, _ in cuts]
-    sizes = np.array([len(e) for e in ends], dtype=np.int64)
-    n = int(sizes.sum())
+    x = _Letters(texts)
+    ends = _cut(x)
+    n = len(ends)
+    owner = np.searchsorted(x.stop, ends)
+    sizes = np.bincount(owner, minlength=len(texts)) if n else np.zeros(len(texts), dtype=np.int64)
+    bounds = np.r_[0, np.cumsum(sizes)]
+    apart = [ends[a:b] - s for a, b, s in zip(bounds[:-1], bounds[1:], x.start, strict=True)]
     if not n:
-        return ends, none, none, none, np.empty(0, dtype=np.uint64)
-    h = xxhash.xxh64_intdigest
-    total = np.array([u[-1] if len(u) else 0 for _, u in cuts], dtype=np.int64)
-    m = int(total.sum())
-    key = mixed(np.fromiter((h(w) for t in texts for w in words_of(t)), dtype=np.uint64, count=m))
-    words = np.r_[0, np.concatenate([u for _, u in cuts]) + np.repeat(np.cumsum(total) - total, sizes)]
-    owner, stop = np.repeat(np.arange(len(texts)), sizes), np.repeat(np.cumsum(sizes), sizes)
-    base = np.repeat(np.cumsum(sizes) - sizes, sizes)
+        none = np.empty(0, dtype=np.int64)
+        return apart, none, none, none, np.empty(0, dtype=np.uint64)
+    words = np.r_[0, np.searchsorted(x.first, ends)]
+    base, stop = bounds[owner], bounds[owner + 1]
     at = np.arange(n)
     end = np.maximum(at + MIN_SENTENCES, np.searchsorted(words, words[:-1] + MIN_WORDS, side="left"))
     begin = np.minimum(at + 1 - MIN_SENTENCES, np.searchsorted(words, words[1:] - MIN_WORDS, side="right") - 1)
@@ -146,11 +201,9 @@ def spans_of(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray
     start, end = np.r_[at[ahead], begin[back]], np.r_[end[ahead], at[back] + 1]
     order = np.lexsort((end, start))
     start, end = start[order], end[order]
-    with np.errstate(over="ignore"):
-        upto = np.r_[np.uint64(0), np.cumsum(key * _powers(_STEP, m), dtype=np.uint64)]
-        value = (upto[words[end]] - upto[words[start]]) * _powers(_BACK, m + 1)[words[start]]
-        value = mixed(value ^ mixed((end - start).astype(np.uint64)))
-    return ends, owner[start], start - base[start], end - base[start], value
+    key = _runs(mixed(x.c.astype(np.uint64) + np.uint64(1)), x.first, x.last + 1)
+    value = _runs(key, words[start], words[end]) ^ mixed((end - start).astype(np.uint64))
+    return apart, owner[start], start - base[start], end - base[start], value
 
 
 def _first_seen(owner: np.ndarray, value: np.ndarray) -> np.ndarray:
@@ -163,19 +216,48 @@ def _first_seen(owner: np.ndarray, value: np.ndarray) -> np.ndarray:
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(doc_key, hashes): for each document the spans whose first occurrence is in another one."""
+    """(doc_key, hashes): for each document the spans whose first occurrence is in another one.
+
+    A task first compares its own documents: of those that share a span only the
+    first asks who else has it, the others know already that they are late (their
+    rows carry the hash in ``late``). So a span of a third of all documents sends
+    one row a chunk to the task of its hash, and late rows are dealt out by
+    document and hash.
+    """
 
     def hashes(parts):
+        held, n = [], 0
+
+        def told():
+            value, key = np.concatenate([v for v, _ in held]), np.concatenate([k for _, k in held])
+            late, fresh = np.zeros(len(key), dtype=bool), np.ones(len(key), dtype=bool)
+            order = np.argsort(value)
+            same = value[order[1:]] == value[order[:-1]]
+            shared = order[np.r_[False, same] | np.r_[same, False]]
+            shared = shared[np.lexsort((key[shared], value[shared]))]
+            v, k = value[shared], key[shared]
+            again = np.r_[False, v[1:] == v[:-1]][:len(v)]
+            late[shared] = k[np.maximum.accumulate(np.where(again, 0, np.arange(len(k))))] != k
+            fresh[shared] = ~(again & np.r_[False, k[1:] == k[:-1]][:len(k)])  # a document asks once
+            at = np.where(late, mixed(value ^ mixed(key.view(np.uint64))), value)[fresh].view(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(at), pa.array(key[fresh]), pa.array(value[fresh].view(np.int64), mask=~late[fresh])], names=["at", "doc_key", "late"])
+
         for part in parts:
-            for b in slices(part):
+            for b in slices(part, limit=SLICE):
                 _, owner, _, _, value = spans_of(texts_of(b))
-                fresh = _first_seen(owner, value)
-                yield pa.RecordBatch.from_arrays([pa.array(value[fresh].view(np.int64)), b.column("doc_key").take(pa.array(owner[fresh]))], names=["h", "doc_key"])
+                held.append((value, b.column("doc_key").to_numpy(zero_copy_only=False)[owner]))
+                n += len(value)
+                if n >= CHUNK_SPANS:
+                    yield told()
+                    held, n = [], 0
+        if n:
+            yield told()
 
-    spans = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_key"), "text").mapInArrow(hashes, "h long, doc_key long")
-    # One shuffle of the spans; rows of a hash go through a buffer that spills.
-    first = F.min("doc_key").over(Window.partitionBy("h"))
-    return spans.withColumn("first", first).where(F.col("doc_key") != F.col("first")).groupBy("doc_key").agg(F.collect_set("h").alias("hashes"))
+    spans = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_key"), "text").mapInArrow(hashes, "at long, doc_key long, late long")
+    # One shuffle of the spans; rows of a hash, at most one a chunk, go through a buffer that spills.
+    first = F.min(F.when(F.col("late").isNull(), F.col("doc_key"))).over(Window.partitionBy("at"))
+    asked = spans.withColumn("first", first).where(F.col("late").isNotNull() | (F.col("doc_key") != F.col("first")))
+    return asked.groupBy("doc_key").agg(F.collect_set(F.coalesce("late", "at")).alias("hashes"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -189,7 +271,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     def prune(parts):
         for part in parts:
-            for b in slices(part):
+            for b in slices(part, limit=SLICE):
                 texts = texts_of(b)
                 ends, owner, first, end, value = spans_of(texts)
                 late = ~_first_seen(owner, value)
