@@ -3,9 +3,12 @@
 Texts are lower-cased runs of letters and digits; a shingle is five words (an
 item of fewer words is one shingle of all of them).
 
-1. Windows as long as an item are laid where document and item share a shingle,
-   aligned on it. Any other window shares no shingle with any item, so its
-   similarity is 0 and its fingerprint is never needed.
+1. A window as long as an item is laid wherever enough of its shingles are
+   shingles of items of that length. A window with ``m`` shingles and an item with
+   as many reach a similarity of 0.8 only with ``2 * m * 0.8 / 1.8`` shingles in
+   common, in whatever order they stand; the windows with that many hits are read
+   off the sorted places of the hits. No other window can be similar, so its
+   fingerprint is never needed.
 2. A window's 64-bit SimHash, weighted by how often a shingle occurs in it, is
    looked up in an index of the items' fingerprints: eight blocks of eight bits,
    each entered under every value within two bits. Two fingerprints that differ
@@ -15,9 +18,10 @@ item of fewer words is one shingle of all of them).
    of their shingles (occurrences as weights): ``MIN_SIMILARITY`` = 0.8 or more.
 
 Null and empty texts have no words and match nothing; so do items without words.
-Equal texts are looked at once and their finding holds for every row. Ties go to
-the smallest item_id and then the smallest start. Documents of any length are
-read whole. Empty tables give empty results.
+Rows with equal doc_id and text are looked at once, and a finding holds for each
+of them. Of an item's windows in a document the most similar one is told, of
+equal ones the first. Documents of any length are read whole. Empty tables give
+empty results. Further columns never clash: rows are carried in a struct.
 """
 
 from __future__ import annotations
@@ -85,6 +89,24 @@ def _grams(words: Column, length: int) -> Column:
     return F.when(F.size(words) >= length, F.transform(F.sequence(F.lit(0), F.size(words) - length), lambda i: F.xxhash64(*[F.get(words, i + k) if k < length else F.lit("") for k in range(SHINGLE)]))).otherwise(F.array().cast("array<bigint>"))
 
 
+def window_starts(at: Column, size: Column, n: Column, length: Column) -> Column:
+    """Starts of the windows of ``n`` words that hold enough hits; ``at``: sorted places of the hits in a text of ``size`` words.
+
+    A text shorter than the item is one window.
+    """
+    m, own = n - length + 1, F.least(n, size) - length + 1
+    need = F.greatest(F.lit(1), F.ceil(MIN_SIMILARITY * (m + own) / (1 + MIN_SIMILARITY) - F.lit(1e-9))).cast("int")
+    last = size - n
+
+    def run(p, k):
+        """The windows whose first hit may be ``p``: they reach the hit that makes up the number."""
+        lo, hi = F.greatest(F.lit(0), F.get(at, k + need - 1) - m + 1), F.least(p, last)
+        return F.when(F.get(at, k + need - 1).isNotNull() & (lo <= hi), F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
+
+    whole = F.when(F.size(at) >= need, F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
+    return F.when(last <= 0, whole).otherwise(F.array_distinct(F.flatten(F.transform(at, run))))
+
+
 def _small(df: DataFrame) -> bool:
     return df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
 
@@ -95,19 +117,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     checkpoint_dir(spark)
     items = items_of(benchmark).checkpoint()
     lengths = sorted(r[0] for r in items.select("length").distinct().collect())  # at most five
-    anchors = items.select("n", "length", F.posexplode("shingles").alias("at", "h")).distinct()
+    anchors = items.select("n", "length", F.explode("shingles").alias("h")).distinct()
     anchors = F.broadcast(anchors) if _small(anchors) else anchors
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
     words = rows.select("doc_id", "th", words_of(F.col("text")).alias("w")).withColumn("size", F.size("w"))
     hits = None
     for length in lengths:
         grams = words.select("doc_id", "th", "size", F.posexplode(_grams(F.col("w"), length)).alias("pos", "h"))
-        found = (grams.join(anchors.where(F.col("length") == length), "h")
-                 .select("doc_id", "th", "n", F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.col("size") - F.col("n"))).alias("start")))
+        found = grams.join(anchors.where(F.col("length") == length), "h").select("doc_id", "th", "size", "n", "length", "pos")
         hits = found if hits is None else hits.unionByName(found)
     if hits is None:
         return spark.createDataFrame([], "doc_id long, item_id long, start_word int, n_words int, hamming int, similarity double")
-    places = hits.distinct().groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "n")).alias("places")).checkpoint()
+    # the places of a document's hits: as many as its words at most
+    hit = hits.groupBy("doc_id", "th", "size", "n", "length").agg(F.sort_array(F.collect_set("pos")).alias("at"))
+    starts = hit.withColumn("starts", window_starts(F.col("at"), F.col("size"), F.col("n"), F.col("length"))).where(F.size("starts") > 0)
+    places = starts.groupBy("doc_id", "th").agg(F.flatten(F.collect_list(F.transform("starts", lambda x: F.struct(x.alias("start"), F.col("n").alias("n"))))).alias("places")).checkpoint()
     side = places.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "places")
     side = F.broadcast(side) if _small(places) else side
     held = rows.join(side, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select("doc_id", "th", "text", "places").distinct()
@@ -139,5 +163,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = leaks(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct().checkpoint()
     side = F.broadcast(found) if _small(found) else found
     names = docs.columns
-    d = docs.withColumn("_key", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    return d.join(side, d["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_th")), "left_anti").select(*names)
+    rows = docs.select(F.struct(*[F.col(c) for c in names]).alias("_row"))
+    key = F.xxhash64(F.coalesce(F.col("_row.text"), F.lit("")))
+    clean = rows.join(side, F.col("_row.doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_th")), "left_anti")
+    return clean.select(*[F.col("_row").getField(c).alias(c) for c in names])

@@ -425,5 +425,7 @@ def first_of_each(docs: DataFrame) -> DataFrame:
     ids = _texts(docs).groupBy("k").agg(F.min("id").alias("id")).join(best, "k")
     pick = ids.where(F.col("id") == F.coalesce("class_id", F.lit(NO_ID))).groupBy("class_key").agg(F.min("k").alias("k"), F.min("id").alias("id")).select(F.col("k").alias("_pk"), F.col("id").alias("_pid")).checkpoint()
     pick = F.broadcast(pick) if _few(pick) else pick
-    d = docs.withColumn("_k", F.xxhash64(F.coalesce(F.col("text"), F.lit("")))).withColumn("_i", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
-    return d.join(pick, (F.col("_k") == F.col("_pk")) & (F.col("_i") == F.col("_pid"))).dropDuplicates(["_k"]).select(*names)
+    d = docs.select(F.struct(*[F.col(c) for c in names]).alias("_row"))
+    d = d.withColumn("_k", F.xxhash64(F.coalesce(F.col("_row.text"), F.lit("")))).withColumn("_i", F.coalesce(F.col("_row.doc_id").cast("long"), F.lit(NO_ID)))
+    kept = d.join(pick, (F.col("_k") == F.col("_pk")) & (F.col("_i") == F.col("_pid"))).dropDuplicates(["_k"])
+    return kept.select(*[F.col("_row").getField(c).alias(c) for c in names])
