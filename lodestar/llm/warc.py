@@ -49,6 +49,8 @@ LEVEL = 3
 MIN_REVISIT_BYTES = 0
 #: Decisions are joined by broadcast up to so many rows (about 100 bytes each), else by a shuffle.
 BROADCAST_ROWS = 100_000
+#: A reading task gets about so many frames, whatever the size of the index.
+FRAMES_PER_TASK = 32
 #: Pages carry no time of their own.
 DATE = "1970-01-01T00:00:00Z"
 # Fixed values of the Zstandard seekable format and of the WARC format.
@@ -230,8 +232,10 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
     identifier names, or its form is broken.
     """
     root = folder.rstrip("/")
+    n_frames = index.select("bundle", "frame").distinct().count()
+    tasks = max(index.sparkSession.sparkContext.defaultParallelism, -(-n_frames // FRAMES_PER_TASK))
     # a frame's records: bounded by the bytes of a frame
-    frames = index.groupBy("bundle", "frame").agg(F.collect_list(F.struct("record_id", "page_id", "offset", "length")).alias("records"))
+    frames = index.repartition(tasks, "bundle", "frame").groupBy("bundle", "frame").agg(F.collect_list(F.struct("record_id", "page_id", "offset", "length")).alias("records"))
 
     def read(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = at = None
