@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lodestar.operators import block_index as bi
 from lodestar.operators import features as fm
 from lodestar.operators import retrieval as rt
 from lodestar.plans.q_features import _sink_dir, mart
@@ -242,3 +243,21 @@ def q_bm25_index(spark, d):
     rt.build_bm25_index(docs(spark, d), path)
     hits = rt.bm25_search(spark, path, queries_df(spark, d))
     return hits.select("query_id", "property_id", r6("bm25"), "lexical_rank")
+
+
+def _block_search(spark, d):
+    path = _sink_dir(spark, "bm25_blocks")
+    bi.build_block_index(docs(spark, d), path)
+    return bi.block_search(spark, path, queries_df(spark, d))
+
+
+@query("bm25_block_topk", f"SELECT query_id, property_id, {R6('bm25')}, lexical_rank FROM lexical", ("lexical",))
+def q_bm25_blocks(spark, d):
+    """RET-01 over impact blocks: facets and a threshold per query decide which blocks are read; the same rows."""
+    return _block_search(spark, d).hits.select("query_id", "property_id", r6("bm25"), "lexical_rank")
+
+
+@query("bm25_blocks_read")
+def q_bm25_blocks_read(spark, d):
+    """Per query: blocks of its terms, blocks that its filters leave, blocks read (depends on the stored layout, no oracle)."""
+    return _block_search(spark, d).usage

@@ -30,23 +30,21 @@ def get_spark(master: str | None = None, app: str = "lodestar",
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("LODESTAR_DRIVER_MEMORY", "16g"))
     )
+    if (master or "local").startswith("local") and SparkSession.getActiveSession() is None:
+        builder = builder.config("spark.checkpoint.dir", os.environ.get("LODESTAR_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="lodestar-ckpt-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, which must be set to storage that driver and executors reach.
 
-    On a cluster this must already be set to storage every executor can reach.
-    Only when it is unset and the master is local (tests) do we create a scratch folder.
+    ``get_spark`` sets it for local sessions; a cluster's launcher sets its own.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        path = tempfile.mkdtemp(prefix="lodestar-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir(path)
     return path
 
