@@ -4,8 +4,9 @@ Per boosting round:
   1. lambda gradients and hessians per request (pairwise within a request, in
      numpy inside ``mapInPandas``; a request is a logged pool, bounded by the
      pool size, and its pairs never leave the task),
-  2. one MLlib regression tree on the Newton target -g/h weighted by h (the
-     weighted leaf mean is the Newton step -sum(g)/sum(h)),
+  2. one leaf-wise histogram tree (``hist_trees``) over features binned once by
+     quantiles, grown best gain first to ``num_leaves`` leaves, each leaf worth
+     the Newton step -sum(g)/sum(h),
   3. score += learning_rate * tree, where the tree is turned into a native
      CASE WHEN column (codegen'd, no model UDF),
 with bagging of requests, a feature subset per tree, early stopping once one of
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.functions.vocab import EVAL_AT, FEATURE_COLS, LAMBDARANK_PARAMS
-from lodestar.operators import ltr
+from lodestar.operators import hist_trees, ltr
 
 
 def _as_column(node: dict) -> Column:
@@ -171,19 +172,6 @@ def lambda_gradients(frame: DataFrame, feature_cols: list[str] = FEATURE_COLS,
     return f.mapInPandas(run, schema)
 
 
-def _node(node, cols: list[str]) -> dict:
-    if node.getClass().getSimpleName() == "LeafNode":
-        return {"value": float(node.prediction())}
-    split = node.split()
-    return {"feature": cols[split.featureIndex()], "threshold": float(split.threshold()),
-            "left": _node(node.leftChild(), cols), "right": _node(node.rightChild(), cols)}
-
-
-def tree_of(model, cols: list[str]) -> dict:
-    """The nodes of a fitted MLlib regression tree over ``cols``."""
-    return _node(model._java_obj.rootNode(), cols)
-
-
 def _feature_subset(round_no: int, fraction: float, cols: list[str], seed: int) -> list[str]:
     k = max(1, int(round(fraction * len(cols))))
     rng = np.random.default_rng(seed + round_no)
@@ -210,21 +198,19 @@ def train_lambdarank(train: DataFrame, valid: DataFrame | None = None, params: d
 
     ``train``/``valid``: request_id, pool_rank, label and the feature columns
     (null-free doubles, e.g. from ``ranker_features``). An empty training frame
-    raises. Trees are as deep as it takes to hold ``num_leaves`` leaves.
+    raises. A tree splits its best leaf until it holds ``num_leaves`` leaves.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import DecisionTreeRegressor
     from lodestar.session import checkpoint_dir
 
     p = {**LAMBDARANK_PARAMS, **(params or {})}
     check_columns(train, feature_cols)
     spark = train.sparkSession
     checkpoint_dir(spark)
-    depth = max(1, math.ceil(math.log2(p["num_leaves"])))
     model = LambdaRankModel(learning_rate=p["learning_rate"])
-    # hashed and sorted by request once: every round's per-request step reuses it
+    edges = hist_trees.quantile_edges(train, feature_cols)
+    # binned, hashed and sorted by request once: every round's steps reuse it
     def clustered(f):
-        f = f.select("request_id", "pool_rank", "label", *feature_cols).withColumn("score", F.lit(0.0))
+        f = hist_trees.binned(f.select("request_id", "pool_rank", "label", *feature_cols), edges).withColumn("score", F.lit(0.0))
         return f.repartition("request_id").sortWithinPartitions("request_id").checkpoint()
 
     cur = clustered(train)
@@ -240,22 +226,17 @@ def train_lambdarank(train: DataFrame, valid: DataFrame | None = None, params: d
                 < int(p["bagging_fraction"] * 1000)
             g = g.filter(keep)
         subset = _feature_subset(r, p["feature_fraction"], feature_cols, seed)
-        data = VectorAssembler(inputCols=subset, outputCol="_v").transform(
-            g.withColumn("_target", F.when(F.col("hess") > 0, -F.col("grad") / F.col("hess")).otherwise(0.0)))
-        dt = DecisionTreeRegressor(featuresCol="_v", labelCol="_target", weightCol="hess", maxDepth=depth,
-                                   minInstancesPerNode=int(p["min_data_in_leaf"]), seed=seed + r)
-        data = data.select("_v", "_target", "hess").persist()
-        fitted = dt.fit(data)
+        data = g.select(hist_trees.fixed_point(F.col("grad")).alias("_g"), hist_trees.fixed_point(F.col("hess")).alias("_h"), *subset).persist()
+        grown = hist_trees.grow_tree(data, subset, int(p["num_leaves"]), int(p["min_data_in_leaf"]))
         data.unpersist()
-        imp = fitted.featureImportances.toArray()
-        tree = Tree(tree_of(fitted, subset), {subset[i]: float(imp[i]) for i in range(len(subset))})
-        model.trees.append(tree)
-        cur = cur.withColumn("score", F.col("score") + F.lit(p["learning_rate"]) * tree.expr)
+        model.trees.append(Tree(grown.nodes(edges), grown.gains()))
+        step = F.lit(p["learning_rate"]) * _as_column(grown.bin_nodes())
+        cur = cur.withColumn("score", F.col("score") + step)
         if (r + 1) % checkpoint_every == 0:
             cur = cur.checkpoint()
         if vcur is not None:
             # validation scores are updated like the training ones: one tree per round
-            vcur = vcur.withColumn("score", F.col("score") + F.lit(p["learning_rate"]) * tree.expr)
+            vcur = vcur.withColumn("score", F.col("score") + step)
             if (r + 1) % checkpoint_every == 0:
                 vcur = vcur.checkpoint()
             v = _ndcgs(vcur, EVAL_AT)
@@ -280,7 +261,7 @@ def rerank_score(frame: DataFrame, model: LambdaRankModel, out: str = "score") -
 
 
 def feature_importance(spark, model: LambdaRankModel, feature_cols: list[str] = FEATURE_COLS) -> DataFrame:
-    """LTR-05: summed per-tree gain importances, normalised to 1, in vocabulary order."""
+    """LTR-05: gain of the splits on each feature, summed over the trees and normalised to 1, in vocabulary order."""
     tot = {c: 0.0 for c in feature_cols}
     for t in model.trees[: model.best_iteration or len(model.trees)]:
         for k, v in t.importances.items():
