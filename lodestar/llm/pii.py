@@ -14,6 +14,9 @@
 4. Every occurrence of a value that reached ``MIN_SCORE`` and overlaps no base
    span is a further span. Base spans always stay.
 
+Steps over the matches of one text go in blocks (``_running``), so a log file as
+one document costs about its length.
+
 Nulls and empty texts have no spans; rows with equal doc_id and text get equal
 results; a null doc_id is a key like any other; ties in score go to the kind
 listed first; an empty table gives an empty result.
@@ -49,6 +52,8 @@ CANDIDATE = (r"\+[0-9][\x20().0-9-]+[0-9]|" + _JOINED + rf"|(?<!\S)[A-Za-z0-9._%
 REACH = 48
 ROUNDS = 3
 MIN_SEEDS, MIN_CONFIDENCE, MIN_SCORE = 5, 0.8, 0.9
+#: Arrays of a text's matches are gone through in blocks of so many, which keeps long texts linear.
+BLOCK = 256
 #: Found spans are joined by broadcast up to so many rows, else by a shuffle.
 BROADCAST_ROWS = 100_000
 
@@ -76,18 +81,47 @@ def looks_like(kind: str, value: Column) -> Column:
     }[kind]
 
 
+def _once(value: Column, fn) -> Column:
+    """``fn`` of a value that is computed once, however often ``fn`` names it."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
+def _blocks(values: Column) -> Column:
+    """An array cut into arrays of ``BLOCK``; ``values`` should be bound by ``_once``."""
+    last = F.floor(F.greatest(F.size(values) - 1, F.lit(0)) / BLOCK).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(values, i * BLOCK + 1, F.lit(BLOCK)))
+
+
+def _running(values: Column, op) -> Column:
+    """array<int>: for each element ``op`` over those before it (0 for the first). In blocks, so that no step copies a long array."""
+    def short(block, first):
+        zero = F.struct(first.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(block, zero, lambda acc, x: F.struct(op(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+
+    def whole(blocks):
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), op))
+        return F.flatten(F.zip_with(blocks, short(totals, F.lit(0)), short))
+
+    return _once(values, lambda v: _once(_blocks(v), whole))
+
+
+def _starts(gaps: Column, lengths: Column) -> Column:
+    """array<int>: starts of matches of the given lengths, each after its gap."""
+    both = F.zip_with(gaps, lengths, lambda g, n: g + n)
+    return F.zip_with(_running(both, lambda at, x: at + x), gaps, lambda at, g: at + g)
+
+
 def _located(text: Column, pattern: str) -> Column:
     """array<struct<s int, m string>>: start (code points) and text of every match."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,m:string>>").alias("out"))
+    gaps = F.transform(F.split(text, pattern, -1), F.length)
+    pairs = F.filter(F.zip_with(found, gaps, lambda m, g: F.struct(m.alias("m"), g.alias("g"))), lambda x: x["m"].isNotNull())
 
-    def step(acc, x):
-        s = acc["at"] + x["gap"]
-        return F.struct((s + F.length(x["m"])).alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), x["m"].alias("m")))).alias("out"))
+    def placed(p):
+        starts = _starts(F.transform(p, lambda x: x["g"]), F.transform(p, lambda x: F.length(x["m"])))
+        return F.zip_with(p, starts, lambda x, at: F.struct(at.alias("s"), x["m"].alias("m")))
 
-    pairs = F.zip_with(found, gaps, lambda m, g: F.struct(m.alias("m"), F.length(g).alias("gap")))
-    return F.aggregate(F.filter(pairs, lambda x: x["m"].isNotNull()), zero, step, lambda acc: acc["out"])
+    return _once(pairs, placed)
 
 
 def _none(kind: str = "struct<s:int,k:int,e:int>") -> Column:
@@ -114,11 +148,16 @@ def _candidates(text: Column) -> Column:
     """array<struct<s, m, left, right>>: candidates with the pieces of text beside them."""
     found = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
     gaps = F.transform(F.split(text, CANDIDATE, -1), lambda g: F.struct(F.length(g).alias("n"), F.right(g, F.lit(REACH)).alias("tail"), F.left(g, F.lit(REACH)).alias("head")))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
-    starts = F.aggregate(
-        F.zip_with(found, F.transform(gaps, lambda g: g["n"]), lambda m, g: F.struct(F.length(m).alias("m"), g.alias("g"))), zero,
-        lambda acc, x: F.struct((acc["at"] + x["g"] + F.coalesce(x["m"], F.lit(0))).alias("at"), F.concat(acc["out"], F.array(acc["at"] + x["g"])).alias("out")), lambda acc: acc["out"])
-    return F.filter(F.arrays_zip(found.alias("m"), starts.alias("s"), gaps.alias("left"), F.slice(gaps, 2, F.greatest(F.size(gaps) - 1, F.lit(0))).alias("right")), lambda x: x["m"].isNotNull())
+
+    def placed(p):
+        m, g = p["m"], p["g"]
+        # The last gap has no match; its start is not used.
+        lengths = F.zip_with(m, g, lambda a, _: F.coalesce(F.length(a), F.lit(0)))
+        starts = _starts(F.transform(g, lambda x: x["n"]), lengths)
+        right = F.slice(g, 2, F.greatest(F.size(g) - 1, F.lit(0)))
+        return F.filter(F.arrays_zip(m.alias("m"), starts.alias("s"), g.alias("left"), right.alias("right")), lambda x: x["m"].isNotNull())
+
+    return _once(F.struct(found.alias("m"), gaps.alias("g")), placed)
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -173,6 +212,19 @@ def discovered(occ: DataFrame) -> DataFrame:
     return hits.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("s", "k", "e"))).alias("found"))
 
 
+def _clear(base: Column, found: Column) -> Column:
+    """The found spans that overlap no base span: no base span that starts before their end ends after their start."""
+    starts = F.transform(base, lambda b: F.struct(b["s"].alias("p"), F.lit(1).alias("t"), b["e"].alias("end"), b["s"].alias("s"), b["k"].alias("k")))
+    ends = F.transform(found, lambda x: F.struct(x["e"].alias("p"), F.lit(0).alias("t"), F.lit(0).alias("end"), x["s"].alias("s"), x["k"].alias("k")))
+
+    def of(events):
+        reach = _running(F.transform(events, lambda x: x["end"]), lambda a, b: F.greatest(a, b))
+        seen = F.zip_with(events, reach, lambda x, r: F.struct(x.alias("x"), r.alias("r")))
+        return F.transform(F.filter(seen, lambda y: (y["x"]["t"] == 0) & (y["r"] <= y["x"]["s"])), lambda y: F.struct(y["x"]["s"].alias("s"), y["x"]["k"].alias("k"), y["x"]["p"].alias("e")))
+
+    return _once(F.array_sort(F.concat(starts, ends)), of)
+
+
 def _with_found(rows: DataFrame, found: DataFrame) -> DataFrame:
     """``rows`` (doc_id, text_hash, base, ...) with ``spans``: base and the further ones that overlap none of them."""
     found = found.checkpoint()
@@ -180,8 +232,7 @@ def _with_found(rows: DataFrame, found: DataFrame) -> DataFrame:
     if found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         side = F.broadcast(side)
     j = rows.join(side, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_th")), "left")
-    clear = F.filter(F.coalesce("found", _none()), lambda x: ~F.exists("base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
-    return j.withColumn("spans", F.array_sort(F.concat("base", clear))).drop("_id", "_th", "found", "text_hash")
+    return j.withColumn("spans", F.when(F.col("found").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", _clear(F.col("base"), F.col("found")))))).drop("_id", "_th", "found", "text_hash")
 
 
 def extract_spans(docs: DataFrame) -> DataFrame:
@@ -200,14 +251,19 @@ def spelled(spans: Column) -> Column:
 def masked(text: Column, spans: Column) -> Column:
     """The text with each span replaced by ``<KIND>``; of overlapping spans the first, then longest start the mask."""
     names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc, x):
-        fresh = F.array(F.substring(text, acc["at"] + 1, x["s"] - acc["at"]), F.get(names, x["k"]))
-        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.when(x["s"] >= acc["at"], F.concat(acc["out"], fresh)).otherwise(acc["out"]).alias("out"))
-
-    tail = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, zero, step, tail))
+    reach = _running(F.transform(spans, lambda x: x["e"]), lambda a, b: F.greatest(a, b))
+    cuts = F.filter(F.zip_with(spans, reach, lambda x, at: F.struct(at.alias("at"), x["s"].alias("s"), x["k"].alias("k"))), lambda x: x["s"] >= x["at"])
+
+    def block(cut):
+        # A piece of the text for a block of cuts, so that no cut counts code points from the start of the text.
+        base = F.get(cut, F.lit(0))["at"]
+        piece = F.substring(text, base + 1, F.element_at(cut, -1)["s"] - base)
+        return _once(F.struct(piece.alias("t"), base.alias("b")), lambda p: F.array_join(F.transform(
+            cut, lambda x: F.concat(F.substring(p["t"], x["at"] - p["b"] + 1, x["s"] - x["at"]), F.get(names, x["k"]))), ""))
+
+    body = F.array_join(_once(cuts, lambda c: F.transform(_blocks(c), block)), "")
+    rest = F.substring(text, F.array_max(F.transform(spans, lambda x: x["e"])) + 1, F.length(text))
+    return F.when(F.size(spans) == 0, text).otherwise(F.concat(body, rest))
 
 
 def mask_documents(docs: DataFrame) -> DataFrame:
