@@ -7,9 +7,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from lodestar.functions.columns import ts_lit
-from lodestar.functions.vocab import CACHE_TTL_SECONDS
+from lodestar.functions.vocab import CACHE_TTL_SECONDS, LATENCY_P95_ALERT_MS
 from lodestar.plans.q_features import _sink_dir, mart
-from lodestar.plans.q_monitoring import DRIFT_SQL, RETRAIN_SQL, q_drift
+from lodestar.plans.q_monitoring import A, DRIFT_SQL, RETRAIN_SQL, q_drift
 from lodestar.plans.registry import query
 from lodestar.sources import fixtures as fx
 from lodestar.streaming import messages as msg
@@ -224,14 +224,17 @@ def q_attribution(spark, d):
     return so.feedback_attribution(fx.ranking_log(spark, d), fx.feedback_events(spark, d))
 
 
-@query("behaviour_window_stream", """
+BEHAVIOUR_SQL = """
 SELECT window_start, window_start + INTERVAL 28 DAY AS window_end, property_id,
        count_if(action = 'impression') AS impression_count, count_if(action = 'click') AS click_count, count_if(action = 'favorite') AS favorite_count,
        count_if(action = 'inquiry') AS inquiry_count
 FROM (SELECT property_id, action, date_trunc('day', ts) - to_days(CAST(k AS INTEGER)) AS window_start
       FROM (SELECT property_id, action, ts FROM feedback_events
             UNION ALL SELECT unnest(result_property_ids), 'impression', ts FROM search_logs) CROSS JOIN range(0, 28) t(k))
-GROUP BY window_start, property_id""", ("feedback_events", "search_logs"))
+GROUP BY window_start, property_id"""
+
+
+@query("behaviour_window_stream", BEHAVIOUR_SQL, ("feedback_events", "search_logs"))
 def q_behaviour_window(spark, d):
     """STR-09: 28-day windows sliding daily, per listing."""
     shown = so.shown_listings(fx.search_logs(spark, d))
@@ -242,8 +245,23 @@ def q_behaviour_window(spark, d):
        ("training_runs", "feedback_events"))
 def q_retrain_trigger(spark, d):
     """STR-10: retrain decision -> trigger message rows."""
+    return _retrain_messages(spark, d, fx.AS_OF)
+
+
+#: The fixtures' last run finishes on the first of August, so a retrain is due a month later.
+OVERDUE = "2001-09-01 12:00:00"
+
+
+@query("retrain_trigger_overdue", f"SELECT 'scheduler' AS source, reasons FROM ({RETRAIN_SQL.replace(A, f"TIMESTAMP '{OVERDUE}'")}) WHERE should_retrain",
+       ("training_runs", "feedback_events"))
+def q_retrain_overdue(spark, d):
+    """STR-10 at an instant when a retrain is due: one message with its reasons."""
+    return _retrain_messages(spark, d, OVERDUE)
+
+
+def _retrain_messages(spark, d, as_of):
     from lodestar.operators.monitoring import retrain_decision
-    dec = retrain_decision(fx.training_runs(spark, d), fx.feedback_events(spark, d), fx.AS_OF)
+    dec = retrain_decision(fx.training_runs(spark, d), fx.feedback_events(spark, d), as_of)
     m = so.retrain_trigger_messages(dec)
     parsed = F.from_json("message", "source string, reasons array<string>")
     return m.select(parsed["source"].alias("source"), F.array_join(parsed["reasons"], ";").alias("reasons"))
@@ -291,6 +309,75 @@ def q_p95_stream(spark, d):
     return out.filter(F.year("window_start") < 2100).withColumns({"window_start": F.col("window_start").cast("timestamp_ntz"), "p95_latency_ms": F.round("p95_latency_ms", 6)})
 
 
+def _incidents_sql(inner: str, breach: str, unit: str, run: int) -> str:
+    return f"""
+WITH w AS ({inner}), b AS (SELECT window_start FROM w WHERE {breach}),
+g AS (SELECT window_start, window_start - to_{unit}s(CAST(row_number() OVER (ORDER BY window_start) AS INTEGER)) AS run FROM b)
+SELECT min(window_start) + INTERVAL {run - 1} {unit.upper()} AS opened_at, max(window_start) AS last_window, count(*) AS n_windows
+FROM g GROUP BY run HAVING count(*) >= {run}"""
+
+
+def _hourly(kind):
+    """Windows of an hour and their breach, for a batch or a stream."""
+    if kind == "error":
+        return lambda log: so.error_windows(log, "1 hour"), F.col("n_errors") > 0
+    return lambda log: so.latency_windows(log, "1 hour"), F.col("p95_latency_ms") > LATENCY_P95_ALERT_MS
+
+
+def _plain_times(df):
+    """Rows before the flush, with their times as the driver's tables have them."""
+    first = df.columns[0]
+    return df.filter(F.year(first) < 2100).withColumns({c: F.col(c).cast("timestamp_ntz") for c, t in df.dtypes if t == "timestamp"})
+
+
+def _alert_stream(spark, d, kind, stage, name):
+    windows, breach = _hourly(kind)
+    log, late = _log_and_flush(spark, d)
+    return _plain_times(_replay(spark, log, lambda s: stage(windows(s), breach, 3600, HOUR_RUN), name, late))
+
+
+@query("error_rate_alerts_stream", _sustained_sql(_er_sql("hour"), "n_errors > 0", "hour", HOUR_RUN), ("access_log",))
+def q_error_alerts_stream(spark, d):
+    """STR-05 with its second stage in the stream: chained window aggregates on one watermark."""
+    return _alert_stream(spark, d, "error", so.sustained_windows, "error_alerts_stream")
+
+
+@query("latency_alerts_stream", _sustained_sql(_p95_sql("hour"), "p95_latency_ms > 500", "hour", HOUR_RUN), ("access_log",))
+def q_latency_alerts_stream(spark, d):
+    """STR-06 with its second stage in the stream."""
+    return _alert_stream(spark, d, "latency", so.sustained_windows, "latency_alerts_stream")
+
+
+@query("error_rate_incidents", _incidents_sql(_er_sql("hour"), "n_errors > 0", "hour", HOUR_RUN), ("access_log",))
+def q_error_incidents(spark, d):
+    """STR-05 incidents: one row per run of breaching hours, from opening to close."""
+    windows, breach = _hourly("error")
+    return _plain_times(so.alert_incidents(windows(fx.access_log(spark, d)), breach, 3600, HOUR_RUN))
+
+
+@query("error_rate_incidents_stream", _incidents_sql(_er_sql("hour"), "n_errors > 0", "hour", HOUR_RUN), ("access_log",))
+def q_error_incidents_stream(spark, d):
+    """STR-05 incidents as a stream: a session per run, closed by the watermark."""
+    return _alert_stream(spark, d, "error", so.alert_incidents, "error_incidents_stream")
+
+
+@query("latency_incidents_stream", _incidents_sql(_p95_sql("hour"), "p95_latency_ms > 500", "hour", HOUR_RUN), ("access_log",))
+def q_latency_incidents_stream(spark, d):
+    """STR-06 incidents as a stream."""
+    return _alert_stream(spark, d, "latency", so.alert_incidents, "latency_incidents_stream")
+
+
+@query("behaviour_window_live", BEHAVIOUR_SQL, ("feedback_events", "search_logs"))
+def q_behaviour_live(spark, d):
+    """STR-09 as a stream: daily counts, then 28-day windows over them, each emitted once the watermark has passed it."""
+    shown = so.shown_listings(fx.search_logs(spark, d))
+    events = fx.feedback_events(spark, d).select("property_id", "action", "ts").unionByName(shown)
+    late = [spark.range(1).select(F.lit("FLUSH").alias("property_id"), F.lit("flush").alias("action"),
+                                  F.lit(f"2{i}00-01-01 00:00:00").cast("timestamp_ntz").alias("ts")) for i in (1, 2)]
+    out = _replay(spark, events, so.behaviour_window, "behaviour_live", late)
+    return out.filter(F.col("property_id") != "FLUSH").withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
 @query("request_dedup_stream", DEDUP_SQL, ("access_log",))
 def q_dedup_stream(spark, d):
     """STR-07 as a stream: state per request fingerprint that expires with the ttl."""

@@ -16,21 +16,28 @@ def event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
-def error_rate(log: DataFrame, width: str = "1 minute", ts: str = "ts") -> DataFrame:
-    """STR-05: per tumbling window: requests, lines of severity ERROR or above, and their rate."""
-    g = log.groupBy(F.window(ts, width).alias("w")).agg(
+def error_windows(log: DataFrame, width: str = "1 minute", ts: str = "ts") -> DataFrame:
+    """Per tumbling window ``w``: requests and lines of severity ERROR or above."""
+    return log.groupBy(F.window(ts, width).alias("w")).agg(
         F.count(F.lit(1)).alias("n_requests"),
         F.count_if(F.col("severity").isin(*ERROR_SEVERITIES)).alias("n_errors"))
-    return g.select(F.col("w.start").alias("window_start"), "n_requests", "n_errors",
-                    (F.col("n_errors") / F.col("n_requests")).alias("error_rate"))
+
+
+def error_rate(log: DataFrame, width: str = "1 minute", ts: str = "ts") -> DataFrame:
+    """STR-05: per tumbling window: requests, lines of severity ERROR or above, and their rate."""
+    return error_windows(log, width, ts).select(F.col("w.start").alias("window_start"), "n_requests", "n_errors",
+                                                (F.col("n_errors") / F.col("n_requests")).alias("error_rate"))
 
 
 def latency_p95(log: DataFrame, width: str = "1 minute", ts: str = "ts", exact: bool = True) -> DataFrame:
     """STR-06: per-window p95 latency (exact percentile in batch, approximate in streams)."""
+    return latency_windows(log, width, ts, exact).select(F.col("w.start").alias("window_start"), "p95_latency_ms", "n_requests")
+
+
+def latency_windows(log: DataFrame, width: str = "1 minute", ts: str = "ts", exact: bool = True) -> DataFrame:
+    """Per tumbling window ``w``: p95 latency and requests."""
     p = F.percentile("latency_ms", 0.95) if exact else F.percentile_approx("latency_ms", 0.95, 10000)
-    g = log.groupBy(F.window(ts, width).alias("w")).agg(p.alias("p95_latency_ms"),
-                                                      F.count(F.lit(1)).alias("n_requests"))
-    return g.select(F.col("w.start").alias("window_start"), "p95_latency_ms", "n_requests")
+    return log.groupBy(F.window(ts, width).alias("w")).agg(p.alias("p95_latency_ms"), F.count(F.lit(1)).alias("n_requests"))
 
 
 def sustained(windows: DataFrame, breach: Column, width_seconds: int,
@@ -62,6 +69,39 @@ def latency_alerts(log: DataFrame, width: str, width_seconds: int,
     return sustained(latency_p95(log, width), F.col("p95_latency_ms") > threshold_ms, width_seconds, run_length)
 
 
+def sustained_windows(windows: DataFrame, breach: Column, width_seconds: int,
+                      run_length: int = ALERT_SUSTAIN_WINDOWS) -> DataFrame:
+    """The alerts of ``sustained`` for a batch or a stream: ``windows`` carry their window as ``w``.
+
+    A second aggregate over sliding windows of ``run_length`` widths: one that holds
+    ``run_length`` breaching windows is a full run. On a stream its event time and
+    watermark are those of the first aggregate, so an alert appears as soon as no
+    row of its last window can come any more, and its state is then dropped.
+    """
+    span = F.window(F.window_time("w"), f"{run_length * width_seconds} seconds", f"{width_seconds} seconds")
+    runs = windows.filter(breach).groupBy(span.alias("run")).agg(F.count(F.lit(1)).alias("n"))
+    last = F.col("run.end") - F.make_dt_interval(secs=F.lit(width_seconds))
+    return runs.filter(F.col("n") == run_length).select(last.alias("window_start"))
+
+
+def alert_incidents(windows: DataFrame, breach: Column, width_seconds: int,
+                    run_length: int = ALERT_SUSTAIN_WINDOWS) -> DataFrame:
+    """One row per run of at least ``run_length`` breaching windows, batch or stream: when its alert
+    opened, its last breaching window, and its length.
+
+    A session per run, over the first aggregate's event time: neighbours are one
+    width apart, so a gap of one and a half widths holds a run together and the
+    watermark closes it at the first window that doesn't breach.
+    """
+    # Streams want a key beside the session; the width of the windows is one that is no literal.
+    width = (F.unix_seconds(F.col("w.end").cast("timestamp")) - F.unix_seconds(F.col("w.start").cast("timestamp"))).alias("window_seconds")
+    session = F.session_window(F.window_time("w"), f"{width_seconds * 3 // 2} seconds").alias("session")
+    runs = windows.filter(breach).groupBy(session, width).agg(
+        F.min("w.start").alias("first"), F.max("w.start").alias("last_window"), F.count(F.lit(1)).alias("n_windows"))
+    opened = F.col("first") + F.make_dt_interval(secs=F.lit(width_seconds * (run_length - 1)))
+    return runs.filter(F.col("n_windows") >= run_length).select(opened.alias("opened_at"), "last_window", "n_windows")
+
+
 def feedback_attribution(ranking: DataFrame, feedback: DataFrame, within: str = "1 day") -> DataFrame:
     """STR-08 / JOIN-14: each logged candidate with the feedback that reached it within ``within``.
 
@@ -84,17 +124,26 @@ def shown_listings(search_logs: DataFrame) -> DataFrame:
 
 def behaviour_window(events: DataFrame, size: str = "28 days", slide: str = "1 day",
                      ts: str = "ts") -> DataFrame:
-    """STR-09: rolling impression and action counts per listing, sliding windows.
+    """STR-09: rolling impression and action counts per listing, sliding windows; batch or stream.
 
     Events are counted per listing and slide first; only these counts are
-    spread over the windows that hold them.
+    spread over the windows that hold them. In a batch the counts are dealt out by
+    listing before that, so the spread rows are summed where they are made and
+    never shuffled. A listing has one row per slide, so a hot one is no hot task.
+    ``size`` must be a multiple of ``slide``.
     """
     kinds = {"impression": "impression_count", "click": "click_count", "favorite": "favorite_count", "inquiry": "inquiry_count"}
     daily = events.groupBy(F.window(ts, slide).alias("w"), "property_id").agg(
         *[F.count_if(F.col("action") == a).alias(c) for a, c in kinds.items()])
-    g = daily.groupBy(F.window(F.window_time("w"), size, slide).alias("w"), "property_id").agg(
-        *[F.sum(c).alias(c) for c in kinds.values()])
-    return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "property_id", *kinds.values())
+    counts = [F.sum(c).alias(c) for c in kinds.values()]
+    if events.isStreaming:
+        g = daily.groupBy(F.window(F.window_time("w"), size, slide).alias("w"), "property_id").agg(*counts)
+        return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "property_id", *kinds.values())
+    step, whole = F.expr(f"INTERVAL {slide}"), F.expr(f"INTERVAL {size}")
+    starts = F.sequence(F.col("w.start") - whole + step, F.col("w.start"), step)
+    spread = daily.repartition("property_id").select(F.explode(starts).alias("window_start"), "property_id", *kinds.values())
+    g = spread.groupBy("window_start", "property_id").agg(*counts)
+    return g.select("window_start", (F.col("window_start") + whole).alias("window_end"), "property_id", *kinds.values())
 
 
 # ------------------------------------------------------------------- STR-07 TTL dedup

@@ -124,3 +124,57 @@ def test_dedup_hot_key_never_quiet_matches_loop(spark):
                          df.select("event_id", "k", (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6)).collect()],
                         300)
     assert got == want and sum(want.values()) > 100
+
+
+def _slow_runs(breaching, width, run):
+    """Alert windows and incidents of breaching window starts (seconds), by a loop."""
+    alerts, incidents, chain = [], [], []
+    for s in sorted(breaching) + [None]:
+        if chain and s != chain[-1] + width:
+            if len(chain) >= run:
+                incidents.append((chain[run - 1], chain[-1], len(chain)))
+            chain = []
+        if s is not None:
+            chain.append(s)
+            if len(chain) >= run:
+                alerts.append(s)
+    return alerts, incidents
+
+
+def test_sustained_streams_over_many_batches(spark, tmp_dir):
+    """Ten files, one a micro-batch, with rows that come late but within the watermark; runs cross the files."""
+    import random
+    rnd, rows = random.Random(11), []
+    for minute in range(600):
+        bad = rnd.random() < 0.85
+        rows += [(minute * 60 + rnd.randrange(60), "ERROR" if bad and i == 0 else "INFO", 1.0) for i in range(3)]
+    batches = [[] for _ in range(10)]
+    for s, severity, ms in rows:
+        late = 1 if rnd.random() < 0.1 and s % 3600 > 2700 else 0  # up to 15 minutes before the next file's first row
+        batches[min(9, s // 3600 + late)].append((s, severity, ms))
+    batches += [[(10 ** 8, "INFO", 1.0)], [(2 * 10 ** 8, "INFO", 1.0)]]
+    for i, part in enumerate(batches):
+        (spark.createDataFrame(part, "s long, severity string, latency_ms double").select(F.timestamp_seconds("s").alias("ts"), "severity", "latency_ms")
+         .coalesce(1).write.parquet(f"{tmp_dir}/in/part={i:02d}"))
+    breaching = sorted({s // 60 * 60 for s, severity, _ in rows if severity == "ERROR"})
+    alerts, incidents = _slow_runs(breaching, 60, 10)
+    assert len(alerts) > 20 and len(incidents) > 3
+    for name, stage, want in (("alerts_many", so.sustained_windows, [(a,) for a in alerts]), ("incidents_many", so.alert_incidents, incidents)):
+        stream = spark.readStream.schema("ts timestamp, severity string, latency_ms double").option("maxFilesPerTrigger", 1).parquet(f"{tmp_dir}/in/*")
+        out = stage(so.error_windows(stream.withWatermark("ts", "90 minutes")), F.col("n_errors") > 0, 60)
+        q = out.writeStream.format("memory").queryName(name).outputMode("append").start()
+        q.processAllAvailable()
+        q.stop()
+        got = spark.table(name).select(*[F.unix_seconds(c).alias(c) if t == "timestamp" else F.col(c) for c, t in out.dtypes]).collect()
+        assert sorted(tuple(r) for r in got) == sorted(want)
+        batch = stage(so.error_windows(spark.read.parquet(f"{tmp_dir}/in")), F.col("n_errors") > 0, 60)
+        assert batch.count() == len(want)
+
+
+def test_rolling_window_spreads_after_its_last_shuffle(spark):
+    """The 28-fold rows are summed where they are made: two exchanges, both of daily counts or events."""
+    d = spark.createDataFrame([("a", "click", 86400), ("a", "impression", 90000), ("b", "inquiry", 86400 * 3)], "property_id string, action string, s long")
+    out = so.behaviour_window(d.select("property_id", "action", F.timestamp_seconds("s").alias("ts")))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Generate explode" in plan.split("Exchange hashpartitioning")[0]
+    assert out.count() == 56 and out.agg(F.sum("click_count"), F.sum("impression_count"), F.sum("inquiry_count")).first() == (28, 28, 28)
