@@ -1,4 +1,4 @@
-"""Queries: batch twins of the streaming operators (plus two real stream-to-table runs)."""
+"""Queries: batch twins of the streaming operators, and the operators run as real streams."""
 
 from __future__ import annotations
 
