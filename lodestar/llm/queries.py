@@ -29,7 +29,11 @@ def query(name: str, sql: str | None = None):
 @query("op1_pii")
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.extract_spans(read(spark, sf_dir, "documents"))
-    count = [F.size(F.filter("base", lambda x, i=i: x["k"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
+
+    def number(i: int):  # a second parameter of the lambda, even one with a default, would be the index of the span
+        return F.size(F.filter("base", lambda x: x["k"] == i)).cast("long")
+
+    count = [number(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
     return found.select("doc_id", *count, F.sha2(pii.spelled(F.col("base")), 256).alias("base_sha256"), pii.spelled(F.col("spans")).alias("spans"))
 
 

@@ -9,6 +9,7 @@ import time
 from pyspark.sql import functions as F
 
 from lodestar.llm import pii
+from lodestar.llm.queries import QUERIES
 from tests.llm.test_operators import slow_pii
 
 SPANS = "array<struct<s:int,k:int,e:int>>"
@@ -27,6 +28,14 @@ def test_many_matches_in_one_text(spark):
     assert slow_mask(t, got[1][1]) == {r["doc_id"]: r["text"] for r in pii.mask_documents(d).collect()}[1]
 
 
+def test_query_counts_every_kind(spark, tmp_dir):
+    texts = {1: "a@b.c, c@d.e and 10.0.0.1", 2: "10.0.0.1 4111 1111 1111 1111 4111-1111-1111-1111", 3: "+1 (988) 555-1000, +1 (988) 555-1001, x@y.z", 4: None, 5: log_file(300)}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_dir}/documents.parquet")
+    for r in QUERIES["op1_pii"](spark, tmp_dir).collect():
+        kinds = collections.Counter(x.split(":")[0] for x in slow_pii(texts[r["doc_id"]] or "").split(","))
+        assert [r[f"n_{k}"] for k in pii.KINDS] == [kinds[k] for k in pii.KINDS]
+
+
 def test_time_follows_the_length_of_a_text(spark):
     def seconds(n):
         d = spark.createDataFrame([(1, log_file(n))], "doc_id long, text string")
