@@ -81,3 +81,14 @@ def test_bm25_index_prunes_term_buckets_and_matches(spark, tmp_dir):
     full = rt.bm25_search(spark, f"{tmp_dir}/idx", q).select("query_id", "property_id", "lexical_rank")
     direct = rt.bm25_topk(docs, q).select("query_id", "property_id", "lexical_rank")
     assert full.exceptAll(direct).count() == 0 and direct.exceptAll(full).count() == 0
+
+
+def test_bm25_scores_stay_with_their_listing(spark):
+    """Scored rows are one per query and listing: they are summed where the listing is, and the token work is not merged into few tasks."""
+    d = spark.createDataFrame([(f"P{i}", f"red house {i % 7} garden") for i in range(200)], "property_id string, searchable_text string")
+    q = spark.createDataFrame([("Q1", "red garden 3"), ("Q2", "house 5 5")], "query_id string, query_text string")
+    scores = rt.bm25_scores(d, q)
+    assert len(scores.collect()) == 400
+    final = plan(scores).split("== Initial Plan ==")[0]
+    assert "hashpartitioning(query_id" not in final
+    assert rt.spread_by_id(d).rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
