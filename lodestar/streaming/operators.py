@@ -4,7 +4,7 @@ so every stream has a batch twin used for checking (after a flush record moves t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -126,10 +126,11 @@ def behaviour_window(events: DataFrame, size: str = "28 days", slide: str = "1 d
                      ts: str = "ts") -> DataFrame:
     """STR-09: rolling impression and action counts per listing, sliding windows; batch or stream.
 
-    Events are counted per listing and slide first; only these counts are
-    spread over the windows that hold them. In a batch the counts are dealt out by
-    listing before that, so the spread rows are summed where they are made and
-    never shuffled. A listing has one row per slide, so a hot one is no hot task.
+    Events are counted per listing and slide first. On a stream these counts are
+    spread over the windows that hold them. In a batch they are dealt out by
+    listing and summed along its time as changes; every window with an event is
+    then made once, with no row to sort or sum for each event and window.
+    A listing has one row per slide, so a hot one is no hot task.
     ``size`` must be a multiple of ``slide``.
     """
     kinds = {"impression": "impression_count", "click": "click_count", "favorite": "favorite_count", "inquiry": "inquiry_count"}
@@ -140,10 +141,17 @@ def behaviour_window(events: DataFrame, size: str = "28 days", slide: str = "1 d
         g = daily.groupBy(F.window(F.window_time("w"), size, slide).alias("w"), "property_id").agg(*counts)
         return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "property_id", *kinds.values())
     step, whole = F.expr(f"INTERVAL {slide}"), F.expr(f"INTERVAL {size}")
-    starts = F.sequence(F.col("w.start") - whole + step, F.col("w.start"), step)
-    spread = daily.repartition("property_id").select(F.explode(starts).alias("window_start"), "property_id", *kinds.values())
-    g = spread.groupBy("window_start", "property_id").agg(*counts)
-    return g.select("window_start", (F.col("window_start") + whole).alias("window_end"), "property_id", *kinds.values())
+    # a day's counts enter at its first window and leave after its last one: two changes, not a row a window
+    at, sums = F.col("_at"), [*kinds.values(), "_n"]
+    day = daily.select("property_id", F.col("w.start").alias("_day"), *kinds.values(), F.lit(1).cast("bigint").alias("_n"))
+    changes = day.select("property_id", F.inline(F.array(
+        F.struct((F.col("_day") - whole + step).alias("_at"), *sums),
+        F.struct((F.col("_day") + step).alias("_at"), *[(-F.col(c)).alias(c) for c in sums]))))
+    by_time = Window.partitionBy("property_id").orderBy("_at")  # at most two rows a listing and slide
+    net = changes.repartition("property_id").groupBy("property_id", "_at").agg(*[F.sum(c).alias(c) for c in sums])
+    run = net.select("property_id", "_at", F.lead("_at").over(by_time).alias("_until"), *[F.sum(c).over(by_time.rowsBetween(Window.unboundedPreceding, 0)).alias(c) for c in sums])
+    spread = run.filter(F.col("_n") > 0).select(F.explode(F.sequence(at, F.col("_until") - step, step)).alias("window_start"), "property_id", *kinds.values())
+    return spread.select("window_start", (F.col("window_start") + whole).alias("window_end"), "property_id", *kinds.values())
 
 
 # ------------------------------------------------------------------- STR-07 TTL dedup

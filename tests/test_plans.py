@@ -92,3 +92,24 @@ def test_bm25_scores_stay_with_their_listing(spark):
     final = plan(scores).split("== Initial Plan ==")[0]
     assert "hashpartitioning(query_id" not in final
     assert rt.spread_by_id(d).rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
+
+
+def test_behaviour_windows_are_made_once(spark):
+    """A window's row is no sum over a row for each of its days; gaps, days side by side and unknown actions count."""
+    import datetime as dt
+
+    from lodestar.streaming import operators as so
+    days = [("P1", "click", 0), ("P1", "view", 3), ("P1", "impression", 3), ("P1", "click", 28), ("P2", "favorite", 100), ("P2", "inquiry", 200), ("P2", "inquiry", 200)]
+    start = dt.datetime(2024, 1, 1, 12)
+    events = spark.createDataFrame([(p, a, start + dt.timedelta(days=k)) for p, a, k in days], "property_id string, action string, ts timestamp_ntz")
+    out = so.behaviour_window(events)
+    got = {((r.window_start - dt.datetime(2024, 1, 1)).days, r.property_id): tuple(r[3:]) for r in out.collect()}
+    want = {}
+    for p, a, k in days:
+        for w in range(k - 27, k + 1):
+            row = want.setdefault((w, p), [0, 0, 0, 0])
+            if a != "view":
+                row[["impression", "click", "favorite", "inquiry"].index(a)] += 1
+    assert got == {k: tuple(v) for k, v in want.items()} and out.count() == len(want)
+    top = plan(out).split("== Initial Plan ==")[0]
+    assert "HashAggregate" not in top[:top.index("Generate explode(sequence")]
