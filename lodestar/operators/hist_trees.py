@@ -149,6 +149,17 @@ def _send(route, bins: list[np.ndarray], rows: np.ndarray, out: np.ndarray) -> N
     _send(outside, bins, rows[~low], out)
 
 
+def _count(cells: np.ndarray, g: np.ndarray, h: np.ndarray, bins: list[np.ndarray], route, n_bins: int) -> None:
+    """Add the rows that ``route`` numbers to ``cells``: features x (nodes x bins) x (gradient, hessian, rows)."""
+    node = np.full(len(g), -1, dtype=np.int64)
+    _send(route, bins, np.arange(len(g)), node)
+    at = np.flatnonzero(node >= 0)
+    for i, x in enumerate(bins):
+        cell = node[at] * n_bins + x[at]
+        for k, w in enumerate((g[at], h[at], None)):
+            cells[i, :, k] += np.bincount(cell, weights=w, minlength=cells.shape[1]).astype(np.int64)
+
+
 def _histograms(data: DataFrame, cols: list[str], route, n_nodes: int, n_bins: int) -> np.ndarray:
     """nodes x features x bins x (gradient, hessian, rows) of the rows that ``route`` numbers.
 
@@ -160,13 +171,7 @@ def _histograms(data: DataFrame, cols: list[str], route, n_nodes: int, n_bins: i
         cells = np.zeros((len(cols), n_nodes * n_bins, 3), dtype=np.int64)
         for batch in batches:
             g, h, *bins = (x.to_numpy(zero_copy_only=False) for x in batch.columns)
-            node = np.full(len(g), -1, dtype=np.int64)
-            _send(route, bins, np.arange(len(g)), node)
-            at = np.flatnonzero(node >= 0)
-            for i, x in enumerate(bins):
-                cell = node[at] * n_bins + x[at]
-                for k, w in enumerate((g[at], h[at], None)):
-                    cells[i, :, k] += np.bincount(cell, weights=w, minlength=n_nodes * n_bins).astype(np.int64)
+            _count(cells, g, h, bins, route, n_bins)
         f, cell = np.nonzero(cells[..., 2])
         sums = cells[f, cell]
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in ((cell // n_bins).astype(np.int32), f.astype(np.int32), (cell % n_bins).astype(np.int32),
@@ -180,7 +185,7 @@ def _histograms(data: DataFrame, cols: list[str], route, n_nodes: int, n_bins: i
     return out
 
 
-def _measure(data: DataFrame, cols: list[str], root: Leaf, wanted: list[Leaf], n_bins: int, min_rows: int) -> None:
+def _measure(histograms, root: Leaf, wanted: list[Leaf], min_rows: int) -> None:
     """Give every wanted leaf its two children, with histograms: the smaller read, the larger subtracted."""
     index = {id(leaf): i for i, leaf in enumerate(wanted)}
 
@@ -193,7 +198,7 @@ def _measure(data: DataFrame, cols: list[str], root: Leaf, wanted: list[Leaf], n
         own = index[id(leaf)]
         return (s.feature, s.bin, own, None) if s.left[2] <= s.right[2] else (s.feature, s.bin, None, own)
 
-    small = _histograms(data, cols, route(root), len(wanted), n_bins)
+    small = histograms(route(root), len(wanted))
     for leaf, hist in zip(wanted, small):
         s = leaf.split
         pair = (hist, leaf.hist - hist) if s.left[2] <= s.right[2] else (leaf.hist - hist, hist)
@@ -207,7 +212,15 @@ def grow_tree(data: DataFrame, cols: list[str], num_leaves: int, min_rows: int,
     An empty ``data`` gives a single leaf of value 0. ``data`` is read once a
     histogram job; persist it.
     """
-    hist = _histograms(data, cols, 0, 1, n_bins)[0]
+    return grow(cols, lambda route, n_nodes: _histograms(data, cols, route, n_nodes, n_bins), num_leaves, min_rows)
+
+
+def grow(cols: list[str], histograms, num_leaves: int, min_rows: int, first: np.ndarray | None = None) -> HistTree:
+    """The best-first tree over rows that ``histograms(route, nodes)`` counts: nodes x features x bins x 3.
+
+    ``first`` is the histogram of all rows, where it is known already.
+    """
+    hist = first if first is not None else histograms(0, 1)[0]
     root = Leaf(hist[0].sum(axis=0), hist, best_split(hist, min_rows))
     tree, leaves = HistTree(cols, root), [root]
     while len(leaves) < num_leaves:
@@ -218,7 +231,7 @@ def grow_tree(data: DataFrame, cols: list[str], num_leaves: int, min_rows: int,
         if best.children is None and left_to_go == 1:
             best.children = (Leaf(best.split.left), Leaf(best.split.right))
         elif best.children is None:
-            _measure(data, cols, root, [x for x in ready[:left_to_go] if x.children is None], n_bins, min_rows)
+            _measure(histograms, root, [x for x in ready[:left_to_go] if x.children is None], min_rows)
         s = best.split
         tree.splits.append((len(tree.splits), best.number, s.feature, s.bin, s.gain, s.left, s.right))
         best.grown = True

@@ -2,13 +2,13 @@
 
 Per boosting round:
   1. lambda gradients and hessians per request (pairwise within a request, in
-     numpy inside ``mapInPandas``; a request is a logged pool, bounded by the
-     pool size, and its pairs never leave the task),
+     numpy over blocks of whole requests; a request is a logged pool, bounded by
+     the pool size, and its pairs never leave the task),
   2. one leaf-wise histogram tree (``hist_trees``) over features binned once by
      quantiles, grown best gain first to ``num_leaves`` leaves, each leaf worth
      the Newton step -sum(g)/sum(h),
-  3. score += learning_rate * tree, where the tree is turned into a native
-     CASE WHEN column (codegen'd, no model UDF),
+  3. score += learning_rate * tree over the bins (a model scores raw features as
+     a native CASE WHEN column, no model UDF),
 with bagging of requests, a feature subset per tree, early stopping once one of
 the validation NDCG@5, @10 and @20 has not improved for the given rounds, and a
 reliable checkpoint every few rounds to cut lineage. A model is plain data: it is
@@ -19,13 +19,14 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-import math
+import pickle
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from lodestar.functions.vocab import EVAL_AT, FEATURE_COLS, LAMBDARANK_PARAMS
 from lodestar.operators import hist_trees, ltr
@@ -91,44 +92,81 @@ def check_columns(frame: DataFrame, feature_cols: list[str] = FEATURE_COLS) -> N
         raise ValueError(f"training frame is missing columns: {missing}")
 
 
-def _lambda_fn(truncation: int, sigma: float, feature_cols: list[str]):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["score", "pool_rank"], ascending=[False, True], kind="stable")
-        lab = pdf["label"].to_numpy(dtype=np.float64)
-        s = pdf["score"].to_numpy(dtype=np.float64)
-        n = len(lab)
-        grad = np.zeros(n)
-        hess = np.zeros(n)
-        gains = np.power(2.0, lab) - 1.0
-        disc = 1.0 / np.log2(np.arange(n) + 2.0)
-        ideal = np.sort(gains)[::-1][:truncation]
-        max_dcg = float(np.sum(ideal * disc[: len(ideal)]))
-        if max_dcg > 0 and n > 1:
-            top = min(truncation, n)
-            i = np.repeat(np.arange(top), n)
-            j = np.tile(np.arange(n), top)
-            keep = (j > i) & (lab[i] != lab[j])
-            i, j = i[keep], j[keep]
-            hi = np.where(lab[i] > lab[j], i, j)
-            lo = np.where(lab[i] > lab[j], j, i)
-            delta = np.abs(gains[hi] - gains[lo]) * np.abs(disc[i] - disc[j]) / max_dcg
-            rho = 1.0 / (1.0 + np.exp(sigma * (s[hi] - s[lo])))
-            lam = -sigma * rho * delta
-            h = sigma * sigma * rho * (1.0 - rho) * delta
-            np.add.at(grad, hi, lam)
-            np.add.at(grad, lo, -lam)
-            np.add.at(hess, hi, h)
-            np.add.at(hess, lo, h)
-            total = float(np.sum(-lam)) * 2.0
-            if total > 0:
-                norm = math.log2(1.0 + total) / total
-                grad *= norm
-                hess *= norm
-        out = pdf.copy()
-        out["grad"] = grad
-        out["hess"] = hess
-        return out
-    return fn
+def _ranking(starts: np.ndarray, score: np.ndarray, pool_rank: np.ndarray):
+    """Rows by request, falling score, pool rank; the request of each place; its position there.
+
+    ``starts`` are the row numbers at which requests begin, and the number of rows.
+    """
+    req = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    return np.lexsort((pool_rank, -score, req)), req, np.arange(len(req)) - starts[req]
+
+
+def _gradients(starts, label, score, pool_rank, truncation: int, sigma: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+    """Lambda gradient and hessian of every row, over the pairs within each request, all requests at once."""
+    order, req, place = _ranking(starts, score, pool_rank)
+    lab, s = label[order].astype(np.float64), score[order].astype(np.float64)
+    n, m = len(lab), len(starts) - 1
+    grad, hess = np.zeros(n), np.zeros(n)
+    gains = np.power(2.0, lab) - 1.0
+    disc = 1.0 / np.log2(place + 2.0)
+    ideal = gains[np.lexsort((-lab, req))]
+    max_dcg = np.bincount(req, np.where(place < truncation, ideal * disc, 0.0), minlength=m)
+    pairs = np.where((place < truncation) & (max_dcg[req] > 0), starts[req + 1] - np.arange(n) - 1, 0)
+    i = np.repeat(np.arange(n), pairs)
+    j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(pairs) - pairs, pairs)
+    keep = lab[i] != lab[j]
+    i, j = i[keep], j[keep]
+    hi = np.where(lab[i] > lab[j], i, j)
+    lo = np.where(lab[i] > lab[j], j, i)
+    delta = np.abs(gains[hi] - gains[lo]) * np.abs(disc[i] - disc[j]) / max_dcg[req[i]]
+    rho = 1.0 / (1.0 + np.exp(sigma * (s[hi] - s[lo])))
+    lam = -sigma * rho * delta
+    h = sigma * sigma * rho * (1.0 - rho) * delta
+    np.add.at(grad, hi, lam)
+    np.add.at(grad, lo, -lam)
+    np.add.at(hess, hi, h)
+    np.add.at(hess, lo, h)
+    total = np.bincount(req[i], -lam, minlength=m) * 2.0
+    norm = np.ones(m)
+    norm[total > 0] = np.log2(1.0 + total[total > 0]) / total[total > 0]
+    back = np.empty((2, n))
+    back[:, order] = grad * norm[req], hess * norm[req]
+    return back[0], back[1]
+
+
+def _ndcg_sums(starts, label, score, pool_rank, cutoffs: list[int]) -> list[float]:
+    """Sum over the requests of NDCG at each cutoff (labels above 3 are worth 3 in the ideal order)."""
+    order, req, place = _ranking(starts, score, pool_rank)
+    lab, m = label[order].astype(np.float64), len(starts) - 1
+    got = (np.power(2.0, lab) - 1.0) / np.log2(place + 2.0)
+    best = (np.power(2.0, np.clip(lab[np.lexsort((-lab, req))], 0, 3)) - 1.0) / np.log2(place + 2.0)
+    out = []
+    for k in cutoffs:
+        dcg, ideal = (np.bincount(req, np.where(place < k, x, 0.0), minlength=m) for x in (got, best))
+        out.append(float(np.sum(dcg[ideal > 0] / ideal[ideal > 0])))
+    return out
+
+
+def _whole_requests(batches):
+    """The rows of ``batches``, sorted by request, in frames that cut no request: a batch's last one waits for the next."""
+    carry = None
+    for pdf in batches:
+        if carry is not None:
+            pdf = pd.concat([carry, pdf], ignore_index=True)
+        if pdf.empty:
+            continue
+        tail = pdf["request_id"] == pdf["request_id"].iloc[-1]
+        carry = pdf[tail]
+        if not tail.all():
+            yield pdf[~tail]
+    if carry is not None and len(carry):
+        yield carry
+
+
+def _starts(pdf: pd.DataFrame) -> np.ndarray:
+    """Where the requests of a frame sorted by request begin, and its length."""
+    ids = pdf["request_id"].to_numpy()
+    return np.concatenate([[0], np.flatnonzero(ids[1:] != ids[:-1]) + 1, [len(ids)]])
 
 
 def lambda_gradients(frame: DataFrame, feature_cols: list[str] = FEATURE_COLS,
@@ -145,26 +183,11 @@ def lambda_gradients(frame: DataFrame, feature_cols: list[str] = FEATURE_COLS,
     cols = ["request_id", "pool_rank", "label", "score", *feature_cols]
     schema = ", ".join([f"{c} {frame.schema[c].dataType.simpleString()}" for c in cols]
                        + ["grad double", "hess double"])
-    per_request = _lambda_fn(truncation, sigma, feature_cols)
-
-    def process(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.concat([per_request(g) for _, g in pdf.groupby("request_id", sort=False)], ignore_index=True)
 
     def run(batches):
-        carry = None
-        for pdf in batches:
-            if carry is not None:
-                pdf = pd.concat([carry, pdf], ignore_index=True)
-            if pdf.empty:
-                continue
-            last = pdf["request_id"].iloc[-1]
-            tail = pdf["request_id"] == last
-            carry = pdf[tail]
-            done = pdf[~tail]
-            if len(done):
-                yield process(done)
-        if carry is not None and len(carry):
-            yield process(carry)
+        for pdf in _whole_requests(batches):
+            grad, hess = _gradients(_starts(pdf), *(pdf[c].to_numpy() for c in ("label", "score", "pool_rank")), truncation, sigma)
+            yield pdf.assign(grad=grad, hess=hess)
 
     f = frame.select(*cols)
     if not clustered:
@@ -179,16 +202,94 @@ def _feature_subset(round_no: int, fraction: float, cols: list[str], seed: int)
     return [cols[i] for i in idx]
 
 
-def _ndcgs(frame: DataFrame, cutoffs: list[int]) -> list[float]:
-    """Mean NDCG of ``score`` at each cutoff, unrounded, in one pass; no requests -> zeros."""
-    r = ltr.ranked(frame, F.col("score"), F.col("pool_rank"))
-    gain = F.pow(F.lit(2.0), F.col("_l")) - 1
-    g = r.groupBy("request_id").agg(
-        *[F.sum(F.when(F.col("_pos") <= k, gain / F.log2(F.col("_pos") + 1)).otherwise(0.0)).alias(f"_dcg{k}") for k in cutoffs],
-        F.count_if(F.col("_l") >= 3).alias("_n3"), F.count_if(F.col("_l") == 2).alias("_n2"), F.count_if(F.col("_l") == 1).alias("_n1"))
-    per = g.select(*[F.when(ltr.ideal_dcg(k) > 0, F.col(f"_dcg{k}") / ltr.ideal_dcg(k)).otherwise(0.0).alias(f"n{k}") for k in cutoffs])
-    row = per.agg(*[F.coalesce(F.avg(f"n{k}"), F.lit(0.0)).alias(f"n{k}") for k in cutoffs]).first()
-    return [float(x) for x in row]
+def _blocks(frame: DataFrame, cols: list[str], bags: int, fraction: float, seed: int):
+    """An RDD of the frame's requests as numpy blocks, dealt out by request once: what every round works on.
+
+    A block holds whole requests, about an Arrow batch of them: ``starts``, ``train``
+    (a request of the training side), ``bag`` (its bags, where there is bagging), and
+    per row label, pool rank, bins and score.
+    """
+    keep = F.transform(F.sequence(F.lit(0), F.lit(max(bags, 1) - 1)),
+                       lambda k: F.pmod(F.xxhash64("request_id", F.lit(seed), k), F.lit(1000)) < int(fraction * 1000))
+
+    def pack(batches):
+        for pdf in _whole_requests(batches):
+            starts = _starts(pdf)
+            first = starts[:-1]
+            block = {"starts": starts, "train": pdf["_train"].to_numpy(dtype=bool)[first],
+                     "bag": np.packbits(np.stack(pdf["_bag"].to_numpy()[first]).astype(bool), axis=1) if bags else None,
+                     "label": pdf["label"].to_numpy(dtype=np.float64), "pool_rank": pdf["pool_rank"].to_numpy(dtype=np.int64),
+                     "bins": np.stack([pdf[c].to_numpy().astype(np.uint8) for c in cols]), "score": np.zeros(len(pdf))}
+            yield pd.DataFrame({"block": [pickle.dumps(block)]})
+
+    by_request = frame.repartition("request_id").sortWithinPartitions("request_id")
+    return by_request.withColumn("_bag", keep).mapInPandas(pack, "block binary").rdd.map(lambda row: pickle.loads(row[0]))
+
+
+def _rows_of(block: dict, requests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the marked requests, and where these begin among them."""
+    sizes = np.diff(block["starts"])
+    return np.flatnonzero(np.repeat(requests, sizes)), np.concatenate([[0], np.cumsum(sizes[requests])])
+
+
+def _add_tree(node: dict, at: dict[str, int], bins: np.ndarray, rows: np.ndarray, score: np.ndarray, rate: float) -> None:
+    if "value" in node:
+        score[rows] += rate * node["value"]
+        return
+    low = bins[at[node["feature"]]][rows] <= node["threshold"]
+    _add_tree(node["left"], at, bins, rows[low], score, rate)
+    _add_tree(node["right"], at, bins, rows[~low], score, rate)
+
+
+def _advance(blocks, tree: dict | None, cols: list[str], rate: float, truncation: int, bag: int | None):
+    """The blocks with ``tree`` added to their scores and the gradients of the training rows in ``bag``."""
+    at = {c: i for i, c in enumerate(cols)}
+
+    def run(block):
+        score = block["score"].copy()
+        if tree is not None:
+            _add_tree(tree, at, block["bins"], np.arange(len(score)), score, rate)
+        rows, starts = _rows_of(block, block["train"])
+        g, h = _gradients(starts, block["label"][rows], score[rows], block["pool_rank"][rows], truncation)
+        if bag is not None:
+            inside = np.repeat(np.unpackbits(block["bag"], axis=1)[block["train"], bag].astype(bool), np.diff(starts))
+            rows, g, h = rows[inside], g[inside], h[inside]
+        fixed = [np.floor(x * float(hist_trees.SCALE) + 0.5).astype(np.int64) for x in (g, h)]
+        return block | {"score": score, "rows": rows, "g": fixed[0], "h": fixed[1]}
+
+    return blocks.map(run)
+
+
+def _summed(blocks, arrays) -> list[np.ndarray]:
+    """The arrays that ``arrays`` makes of a block, added up over all blocks: in tasks, from many partitions in a tree."""
+    def plus(a, b):
+        return [x + y for x, y in zip(a, b)]
+
+    def run(part):
+        total = None
+        for block in part:
+            x = arrays(block)
+            total = x if total is None else plus(total, x)
+        return [] if total is None else [total]
+
+    return blocks.mapPartitions(run).treeReduce(plus, depth=1 if blocks.getNumPartitions() <= 16 else 2)
+
+
+def _cells(block: dict, subset: list[int], route, n_nodes: int) -> np.ndarray:
+    """features x (nodes x bins) x 3 of the block's rows in the bag."""
+    cells = np.zeros((len(subset), n_nodes * hist_trees.BIN_STEPS, 3), dtype=np.int64)
+    hist_trees._count(cells, block["g"], block["h"], [block["bins"][f][block["rows"]] for f in subset], route, hist_trees.BIN_STEPS)
+    return cells
+
+
+def _by_node(cells: np.ndarray, n_nodes: int) -> np.ndarray:
+    return cells.reshape(cells.shape[0], n_nodes, -1, 3).swapaxes(0, 1)
+
+
+def _ndcg_of(block: dict, train: bool, cutoffs: list[int]) -> np.ndarray:
+    """NDCG sums of the training or the validation requests, and their number."""
+    rows, starts = _rows_of(block, block["train"] == train)
+    return np.array([*_ndcg_sums(starts, block["label"][rows], block["score"][rows], block["pool_rank"][rows], cutoffs), len(starts) - 1])
 
 
 def train_lambdarank(train: DataFrame, valid: DataFrame | None = None, params: dict | None = None,
@@ -199,6 +300,11 @@ def train_lambdarank(train: DataFrame, valid: DataFrame | None = None, params: d
     ``train``/``valid``: request_id, pool_rank, label and the feature columns
     (null-free doubles, e.g. from ``ranker_features``). An empty training frame
     raises. A tree splits its best leaf until it holds ``num_leaves`` leaves.
+
+    The binned rows stay in numpy blocks of a persisted RDD. A round is one job that
+    adds the last tree, measures both sides, and counts the next tree's root, then one
+    job for each step of that tree: no planning and no shuffle, so a round of a small
+    table costs little more than these jobs' start.
     """
     from lodestar.session import checkpoint_dir
 
@@ -207,50 +313,51 @@ def train_lambdarank(train: DataFrame, valid: DataFrame | None = None, params: d
     spark = train.sparkSession
     checkpoint_dir(spark)
     model = LambdaRankModel(learning_rate=p["learning_rate"])
-    edges = hist_trees.quantile_edges(train, feature_cols)
-    # binned, hashed and sorted by request once: every round's steps reuse it
-    def clustered(f):
-        f = hist_trees.binned(f.select("request_id", "pool_rank", "label", *feature_cols), edges).withColumn("score", F.lit(0.0))
-        return f.repartition("request_id").sortWithinPartitions("request_id").checkpoint()
-
-    cur = clustered(train)
-    if cur.isEmpty():
+    if train.isEmpty():
         raise ValueError("the training frame has no rows")
-    vcur = clustered(valid) if valid is not None else None
-    best, best_at, best_iter = [-1.0] * len(EVAL_AT), [0] * len(EVAL_AT), 0
-    for r in range(int(p["num_iterations"])):
-        g = lambda_gradients(cur, feature_cols, int(p["lambdarank_truncation_level"]), clustered=True)
-        if p["bagging_fraction"] < 1.0:
-            block = r // max(1, int(p["bagging_freq"]))
-            keep = F.pmod(F.xxhash64("request_id", F.lit(seed), F.lit(block)), F.lit(1000)) \
-                < int(p["bagging_fraction"] * 1000)
-            g = g.filter(keep)
-        subset = _feature_subset(r, p["feature_fraction"], feature_cols, seed)
-        data = g.select(hist_trees.fixed_point(F.col("grad")).alias("_g"), hist_trees.fixed_point(F.col("hess")).alias("_h"), *subset).persist()
-        grown = hist_trees.grow_tree(data, subset, int(p["num_leaves"]), int(p["min_data_in_leaf"]))
-        data.unpersist()
-        model.trees.append(Tree(grown.nodes(edges), grown.gains()))
-        step = F.lit(p["learning_rate"]) * _as_column(grown.bin_nodes())
-        cur = cur.withColumn("score", F.col("score") + step)
-        if (r + 1) % checkpoint_every == 0:
-            cur = cur.checkpoint()
-        if vcur is not None:
-            # validation scores are updated like the training ones: one tree per round
-            vcur = vcur.withColumn("score", F.col("score") + step)
-            if (r + 1) % checkpoint_every == 0:
-                vcur = vcur.checkpoint()
-            v = _ndcgs(vcur, EVAL_AT)
-            # training NDCG only at checkpoints (it is reporting, not control)
-            t = _ndcgs(cur, [10])[0] if (r + 1) % checkpoint_every == 0 else None
-            model.history.append((r + 1, t, *v))
+    edges = hist_trees.quantile_edges(train, feature_cols)
+    rounds, freq, bagging = int(p["num_iterations"]), max(1, int(p["bagging_freq"])), p["bagging_fraction"] < 1.0
+
+    def side(f, is_train):
+        return hist_trees.binned(f.select("request_id", "pool_rank", "label", *feature_cols), edges).withColumn("_train", F.lit(is_train))
+
+    both = side(train, True) if valid is None else side(train, True).unionByName(side(valid, False))
+    blocks = _blocks(both, feature_cols, -(-rounds // freq) if bagging else 0, p["bagging_fraction"], seed).persist(StorageLevel.MEMORY_AND_DISK)
+    best, best_at, best_iter, tree = [-1.0] * len(EVAL_AT), [0] * len(EVAL_AT), 0, None
+    for r in range(rounds + 1 if valid is not None else rounds):
+        subset = [feature_cols.index(c) for c in _feature_subset(r, p["feature_fraction"], feature_cols, seed)]
+        # training NDCG only at checkpoints (it is reporting, not control)
+        report = r % checkpoint_every == 0
+        before, blocks = blocks, _advance(blocks, tree, feature_cols, p["learning_rate"], int(p["lambdarank_truncation_level"]),
+                                          min(r, rounds - 1) // freq if bagging else None).persist(StorageLevel.MEMORY_AND_DISK)
+        if r and report:
+            blocks.checkpoint()
+        measured = valid is not None and r > 0
+        root, *ndcgs = _summed(blocks, lambda b: [_cells(b, subset, 0, 1), *([_ndcg_of(b, False, EVAL_AT)] if measured else []),
+                                                  *([_ndcg_of(b, True, [10])] if measured and report else [])])
+        before.unpersist()
+        if measured:
+            means = [(x[:-1] / max(x[-1], 1.0)).tolist() for x in ndcgs]
+            v, t = means[0], means[1][0] if report else None
+            model.history.append((r, t, *v))
             for i, x in enumerate(v):
                 if x > best[i] + 1e-12:
-                    best[i], best_at[i] = x, r + 1
-            stalled = [at for at in best_at if r + 1 - at >= int(p["early_stopping_rounds"])]
+                    best[i], best_at[i] = x, r
+            stalled = [at for at in best_at if r - at >= int(p["early_stopping_rounds"])]
             if stalled:  # the first metric without progress ends it, at its own best round
                 best_iter = min(stalled)
                 break
             best_iter = best_at[EVAL_AT.index(10)]
+        if r == rounds:
+            break
+
+        def histograms(route, n_nodes):
+            return _by_node(_summed(blocks, lambda b: [_cells(b, subset, route, n_nodes)])[0], n_nodes)
+
+        grown = hist_trees.grow([feature_cols[f] for f in subset], histograms, int(p["num_leaves"]), int(p["min_data_in_leaf"]), _by_node(root, 1)[0])
+        model.trees.append(Tree(grown.nodes(edges), grown.gains()))
+        tree = grown.bin_nodes()
+    blocks.unpersist()
     model.best_iteration = best_iter or len(model.trees)
     return model
 
