@@ -126,20 +126,18 @@ def behaviour_window(events: DataFrame, size: str = "28 days", slide: str = "1 d
                      ts: str = "ts") -> DataFrame:
     """STR-09: rolling impression and action counts per listing, sliding windows; batch or stream.
 
-    Events are counted per listing and slide first. On a stream these counts are
-    spread over the windows that hold them. In a batch they are dealt out by
+    Events are counted per listing and slide first. On a stream a listing's counts
+    are one state, see ``_rolling_stream``. In a batch they are dealt out by
     listing and summed along its time as changes; every window with an event is
     then made once, with no row to sort or sum for each event and window.
-    A listing has one row per slide, so a hot one is no hot task.
+    In a batch a listing has one row per slide, so a hot one is no hot task.
     ``size`` must be a multiple of ``slide``.
     """
     kinds = {"impression": "impression_count", "click": "click_count", "favorite": "favorite_count", "inquiry": "inquiry_count"}
+    if events.isStreaming:
+        return _rolling_stream(events, kinds, size, slide, ts)
     daily = events.groupBy(F.window(ts, slide).alias("w"), "property_id").agg(
         *[F.count_if(F.col("action") == a).alias(c) for a, c in kinds.items()])
-    counts = [F.sum(c).alias(c) for c in kinds.values()]
-    if events.isStreaming:
-        g = daily.groupBy(F.window(F.window_time("w"), size, slide).alias("w"), "property_id").agg(*counts)
-        return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "property_id", *kinds.values())
     step, whole = F.expr(f"INTERVAL {slide}"), F.expr(f"INTERVAL {size}")
     # a day's counts enter at its first window and leave after its last one: two changes, not a row a window
     at, sums = F.col("_at"), [*kinds.values(), "_n"]
@@ -154,6 +152,72 @@ def behaviour_window(events: DataFrame, size: str = "28 days", slide: str = "1 d
     return spread.select("window_start", (F.col("window_start") + whole).alias("window_end"), "property_id", *kinds.values())
 
 
+ROLLING_STATE = "days binary, counts binary, done bigint"  # numbers of the slides with events, their counts, the last window emitted
+
+
+def _rolling_stream(events: DataFrame, kinds: dict[str, str], size: str, slide: str, ts: str) -> DataFrame:
+    """``behaviour_window`` of a stream with a watermark: a listing's counts per slide are one state.
+
+    An event changes its listing's state, not one for each window that holds it. Once
+    the watermark passes the end of a window it is final: the state hands on the
+    stretches of such windows with equal counts, which become a row a window after
+    it, and forgets the slides that no later window holds. A row is late when its
+    whole slide is. A listing's new events of a micro-batch are counted in one task,
+    a piece at a time.
+    """
+    import numpy as np
+    import pandas as pd
+
+    step, whole = (int(pd.Timedelta(x).value // 1000) for x in (slide, size))  # microseconds
+    per, names = whole // step, list(kinds.values())
+
+    def summed(days, counts):
+        days, at = np.unique(days, return_inverse=True)
+        out = np.zeros((len(days), counts.shape[1]), dtype=np.int64)
+        np.add.at(out, at, counts)
+        return days, out
+
+    def fn(key, pdfs, state):
+        days, counts, done = np.zeros(0, np.int64), np.zeros((0, len(names)), np.int64), None
+        if state.exists:
+            d, c, done = state.get
+            days, counts = np.frombuffer(d, np.int64), np.frombuffer(c, np.int64).reshape(-1, len(names))
+        if not state.hasTimedOut:
+            for pdf in pdfs:
+                kind = pdf["_kind"].to_numpy()[:, None] == np.arange(len(names))
+                days, counts = summed(np.concatenate([days, pdf["_day"].to_numpy()]), np.concatenate([counts, kind.astype(np.int64)]))
+        now = state.getCurrentWatermarkMs()
+        last = now * 1000 // step - per  # the last window that is final
+        if len(days):
+            first = days - per + 1 if done is None else np.maximum(days - per + 1, done + 1)
+            opens, ends = first <= last, days < last
+            both = np.column_stack([counts, np.ones(len(days), np.int64)])  # the last column: slides with events
+            at, change = summed(np.concatenate([first[opens], days[ends] + 1]), np.concatenate([both[opens], -both[ends]]))
+            sums, until = change.cumsum(axis=0), np.append(at[1:], last + 1)
+            held = sums[:, -1] > 0
+            if held.any():
+                yield pd.DataFrame({"property_id": [key[0]] * int(held.sum()), "_from": at[held] * step, "_until": until[held] * step,
+                                    **{c: sums[held, i] for i, c in enumerate(names)}})
+            days, counts = days[days > last], counts[days > last]
+            done = last if done is None else max(done, last)
+        if not len(days):
+            state.remove()
+            return
+        state.update((days.tobytes(), counts.tobytes(), int(done)))
+        closes = (max(int(days[0]) - per + 1, done + 1) + per) * step // 1000
+        state.setTimeoutTimestamp(max(closes - 1, now + 1))
+
+    kind = F.lit(-1)
+    for i, a in enumerate(kinds):
+        kind = F.when(F.col("action") == a, F.lit(i)).otherwise(kind)
+    slides = events.select("property_id", kind.alias("_kind"), F.window(ts, slide).alias("w"))
+    numbered = slides.select("property_id", "_kind", F.expr(f"unix_micros(w.start) div {step}").alias("_day"), F.window_time("w").alias("_time"))
+    runs = numbered.groupBy("property_id").applyInPandasWithState(
+        fn, "property_id string, _from bigint, _until bigint, " + ", ".join(f"{c} bigint" for c in names), ROLLING_STATE, "append", "EventTimeTimeout")
+    windows = runs.select(F.explode(F.sequence("_from", F.col("_until") - step, F.lit(step).cast("bigint"))).alias("_at"), "property_id", *names)
+    return windows.select(F.timestamp_micros("_at").alias("window_start"), F.timestamp_micros(F.col("_at") + whole).alias("window_end"), "property_id", *names)
+
+
 # ------------------------------------------------------------------- STR-07 TTL dedup
 def global_index(df: DataFrame, order_cols: list[str], name: str = "pos") -> DataFrame:
     """0-based position of every row in the total order ``order_cols``.

@@ -178,3 +178,32 @@ def test_rolling_window_spreads_after_its_last_shuffle(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2 and "Generate explode" in plan.split("Exchange hashpartitioning")[0]
     assert out.count() == 56 and out.agg(F.sum("click_count"), F.sum("impression_count"), F.sum("inquiry_count")).first() == (28, 28, 28)
+
+
+def test_rolling_stream_over_many_batches(spark, tmp_dir):
+    """A file a micro-batch, late rows within the watermark, quiet months, unknown actions: the batch's rows, each once.
+
+    A listing has one state, however many windows hold its events, and old slides leave it."""
+    import random
+    rnd, rows = random.Random(4), []
+    actions = ["impression", "click", "favorite", "inquiry", "view"]
+    for day in [*range(0, 60), *range(150, 170)]:
+        rows += [(f"P{rnd.randrange(6)}", rnd.choice(actions), day * 86400 + rnd.randrange(86400)) for _ in range(4)]
+    files = [[] for _ in range(17)]
+    for r in rows:
+        files[min(16, r[2] // 864000 + (1 if rnd.random() < 0.2 and r[2] % 864000 > 700000 else 0))].append(r)
+    files = [f for f in files if f] + [[("FLUSH", "view", 10 ** 9)], [("FLUSH", "view", 2 * 10 ** 9)]]
+    for i, part in enumerate(files):
+        (spark.createDataFrame(part, "property_id string, action string, s long").select("property_id", "action", F.timestamp_seconds("s").alias("ts"))
+         .coalesce(1).write.parquet(f"{tmp_dir}/in/part={i:02d}"))
+    stream = spark.readStream.schema("property_id string, action string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(f"{tmp_dir}/in/*")
+    out = so.behaviour_window(stream.withWatermark("ts", "4 days"))
+    q = out.writeStream.format("memory").queryName("rolling_many").outputMode("append").start()
+    q.processAllAvailable()
+    held = [sum(o["numRowsTotal"] for o in p["stateOperators"]) for p in q.recentProgress]
+    q.stop()
+    got = spark.table("rolling_many").filter("property_id <> 'FLUSH'")
+    want = so.behaviour_window(spark.read.parquet(f"{tmp_dir}/in").filter("property_id <> 'FLUSH'").select("property_id", "action", "ts"))
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert got.count() == want.count() > 400 and got.exceptAll(want).count() == 0
+    assert max(held) <= 7 and held[-1] <= 1
