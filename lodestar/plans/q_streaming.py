@@ -48,10 +48,10 @@ def q_fb_stream(spark, d):
 
 
 def _run_stream_to_table(spark, raw_df, parse_fn, name, kind):
-    """Write messages as JSON files, stream them through ``parse_fn`` into parquet and what it rejects
+    """Write messages as compressed JSON files, stream them through ``parse_fn`` into parquet and what it rejects
     into a quarantine table beside it; (table, quarantine) read back."""
     base = _sink_dir(spark, name)
-    raw_df.write.mode("errorifexists").text(f"{base}/in")
+    raw_df.write.mode("errorifexists").option("compression", "gzip").text(f"{base}/in")
     stream = spark.readStream.schema("value string").text(f"{base}/in")
     runs = [so.stream_to_table(parse_fn(stream), f"{base}/out", f"{base}/ckpt"),
             so.stream_to_table(msg.quarantine(stream, kind), f"{base}/quarantine", f"{base}/ckpt-quarantine")]

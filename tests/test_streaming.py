@@ -207,3 +207,14 @@ def test_rolling_stream_over_many_batches(spark, tmp_dir):
     assert got.schema.simpleString() == want.schema.simpleString()
     assert got.count() == want.count() > 400 and got.exceptAll(want).count() == 0
     assert max(held) <= 7 and held[-1] <= 1
+
+
+def test_messages_are_laid_down_compressed(spark, tmp_dir, monkeypatch):
+    from lodestar.plans import q_streaming as q
+    base = os.path.join(tmp_dir, "messages")
+    monkeypatch.setattr(q, "_sink_dir", lambda spark, name: base)
+    rows = q.q_stream_to_table(spark, SF_SMALL)
+    assert rows.count() == fx.ranking_log(spark, SF_SMALL).count()
+    size = lambda d, end: sum(os.path.getsize(os.path.join(r, f)) for r, _, fs in os.walk(d) for f in fs if f.endswith(end))
+    plain = q._rl_messages(spark, SF_SMALL).agg(F.sum(F.length("value") + 1)).first()[0]
+    assert 0 < size(f"{base}/in", ".gz") < plain / 5 and size(f"{base}/in", ".txt") == 0
