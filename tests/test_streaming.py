@@ -209,6 +209,21 @@ def test_rolling_stream_over_many_batches(spark, tmp_dir):
     assert max(held) <= 7 and held[-1] <= 1
 
 
+def test_attribution_replay_arrives_in_stretches_of_time(spark, tmp_dir, monkeypatch):
+    """Many stretches give the rows of the batch join, and each holds a bounded number of rows, later than the one before."""
+    from lodestar.plans import q_streaming as q
+    base = os.path.join(tmp_dir, "replay")
+    monkeypatch.setattr(q, "_sink_dir", lambda spark, name: base)
+    total = fx.ranking_log(spark, SF_SMALL).count() + fx.feedback_events(spark, SF_SMALL).count()
+    monkeypatch.setattr(q, "REPLAY_ROWS", total // 4 // spark.sparkContext.defaultParallelism)
+    got = q.q_attribution_stream(spark, SF_SMALL)
+    want = so.feedback_attribution(fx.ranking_log(spark, SF_SMALL), fx.feedback_events(spark, SF_SMALL)).select(*got.columns)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    parts = sorted(p for p in os.listdir(f"{base}/rl") if "flush" not in p)
+    spans = [spark.read.parquet(f"{base}/rl/{p}").agg(F.min("ts"), F.max("ts"), F.count(F.lit(1))).first() for p in parts]
+    assert 4 <= len(spans) <= 8 and all(a[1] < b[0] for a, b in zip(spans, spans[1:])) and max(s[2] for s in spans) < total // 3
+
+
 def test_messages_are_laid_down_compressed(spark, tmp_dir, monkeypatch):
     from lodestar.plans import q_streaming as q
     base = os.path.join(tmp_dir, "messages")
