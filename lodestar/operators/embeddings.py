@@ -57,7 +57,8 @@ def hashing_encoder(dim: int = EMBEDDING_DIM_DECLARED) -> Encoder:
 
     A token's place is the first 32 bits of its md5 modulo ``dim``, which any engine
     can repeat. Tokens are hashed JVM-side; ``mapInPandas`` counts them in numpy, a
-    batch at a time. A text without tokens is the zero vector.
+    batch at a time. A text without tokens is the zero vector. A text column whose
+    name starts with an underscore is a helper: it doesn't go through Python and isn't returned.
     """
     import numpy as np
     from lodestar.functions.columns import stable_bucket
@@ -65,6 +66,8 @@ def hashing_encoder(dim: int = EMBEDDING_DIM_DECLARED) -> Encoder:
 
     def encode(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
         placed = df.withColumn("_places", F.transform(tokenize(F.coalesce(F.col(text_col), F.lit(""))), lambda t: stable_bucket(t, dim).cast("int")))
+        if text_col.startswith("_"):
+            placed = placed.drop(text_col)
 
         def count(frames):
             for pdf in frames:
@@ -79,20 +82,24 @@ def hashing_encoder(dim: int = EMBEDDING_DIM_DECLARED) -> Encoder:
     return encode
 
 
+def _prefixed(df: DataFrame, prefix: str, text_col: str) -> DataFrame:
+    """The frame with its prompt text; a helper column that holds the text (underscore) is replaced by it."""
+    out = df.withColumn("_prefixed", F.concat(F.lit(prefix), F.col(text_col)))
+    return out.drop(text_col) if text_col.startswith("_") else out
+
+
 def encode_passages(df: DataFrame, encoder: Encoder | None = None, text_col: str = "text",
                     out_col: str = "embedding") -> DataFrame:
     """EMB-02: prefix once with 'passage: ' and encode."""
     enc = encoder or hashing_encoder()
-    pre = df.withColumn("_prefixed", F.concat(F.lit(PASSAGE_PREFIX), F.col(text_col)))
-    return enc(pre, "_prefixed", out_col).drop("_prefixed")
+    return enc(_prefixed(df, PASSAGE_PREFIX, text_col), "_prefixed", out_col).drop("_prefixed")
 
 
 def encode_queries(df: DataFrame, encoder: Encoder | None = None, text_col: str = "query_text",
                    out_col: str = "query_vector") -> DataFrame:
     """EMB-02: prefix once with 'query: ' and encode."""
     enc = encoder or hashing_encoder()
-    pre = df.withColumn("_prefixed", F.concat(F.lit(QUERY_PREFIX), F.col(text_col)))
-    return enc(pre, "_prefixed", out_col).drop("_prefixed")
+    return enc(_prefixed(df, QUERY_PREFIX, text_col), "_prefixed", out_col).drop("_prefixed")
 
 
 def batch_predict_embeddings(rows: DataFrame, encoder: Encoder | None = None) -> DataFrame:

@@ -113,6 +113,8 @@ def q_text_search(spark, d):
     """Text to vector to search in one path: passages and queries encoded, exact top-10; each list's size and summed similarity."""
     from lodestar.operators import retrieval as rt
     enc = emb.hashing_encoder(DIM)
-    corpus = emb.encode_passages(emb.with_hash(texts(spark, d), fx.MODEL_NAME), enc).select("property_id", "embedding")
-    queries = emb.encode_queries(fx.text_queries(spark, d), enc).select("query_id", "query_vector")
+    # only the ids go through the encoder's Python beside the tokens: no copy of a text does
+    passages = emb.with_hash(texts(spark, d), fx.MODEL_NAME).select("property_id", F.col("text").alias("_text"))
+    corpus = emb.encode_passages(passages, enc, "_text").select("property_id", "embedding")
+    queries = emb.encode_queries(fx.text_queries(spark, d).select("query_id", F.col("query_text").alias("_text")), enc, "_text").select("query_id", "query_vector")
     return rt.vector_topk(queries, corpus, 10).groupBy("query_id").agg(F.count(F.lit(1)).alias("n_found"), F.round(F.sum(F.lit(1.0) - F.col("cosine_distance")), 3).alias("similarity"))

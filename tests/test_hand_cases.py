@@ -367,3 +367,18 @@ def test_rolling_window_counts_impressions(spark):
     ev = spark.createDataFrame([("P1", "click"), ("P1", "impression"), ("P1", "impression")], "property_id string, action string").selectExpr("*", "timestamp'2024-01-10 05:00:00' ts")
     rows = so.behaviour_window(ev).collect()
     assert len(rows) == 28 and {(r["impression_count"], r["click_count"], r["favorite_count"]) for r in rows} == {(2, 1, 0)}
+
+
+def test_encoder_sends_no_text_through_python(spark):
+    """A helper text column stays out of the Python step and of the result; a plain one is kept."""
+    df = spark.createDataFrame([("P1", "red house"), ("P2", None), ("P3", "")], "property_id string, text string")
+    enc = emb.hashing_encoder(8)
+    plain = emb.encode_passages(df, enc)
+    lean = emb.encode_passages(df.withColumnRenamed("text", "_text"), enc, "_text")
+    assert plain.columns == ["property_id", "text", "embedding"] and lean.columns == ["property_id", "embedding"]
+    assert {r["property_id"]: r["embedding"] for r in plain.collect()} == {r["property_id"]: r["embedding"] for r in lean.collect()}
+    from lodestar.plans.q_embeddings import q_text_search
+    from tests.conftest import SF_SMALL
+    logical = q_text_search(spark, SF_SMALL)._jdf.queryExecution().analyzed().toString()
+    encoders = [line for line in logical.splitlines() if "MapInPandas count(" in line]
+    assert encoders and not any("text" in line or "_prefixed" in line for line in encoders)
