@@ -288,43 +288,46 @@ def dedup_ttl(events: DataFrame, key: str, ts: str, ttl_seconds: int) -> DataFra
         .withColumn("is_miss", F.coalesce(F.col("is_miss"), F.lit(False)))
 
 
-DEDUP_STATE = T.StructType([T.StructField("last_miss", T.DoubleType())])
+DEDUP_STATE = T.StructType([T.StructField("keys", T.ArrayType(T.StringType())), T.StructField("last_miss", T.ArrayType(T.DoubleType()))])
+#: Keys share so many states: a state costs a Python call of milliseconds in each micro-batch that meets it.
+DEDUP_BUCKETS = 2048
 
 
 def dedup_ttl_stream(events: DataFrame, key: str, ts: str, ttl_seconds: int, expire: bool = False) -> DataFrame:
-    """STR-07 (stream): per-key state = time of the last miss; events are taken in event-time
-    order within a micro-batch. Output: event_id, key, is_miss.
+    """STR-07 (stream): state = time of the last miss of each key, kept for a bucket of keys together; events are
+    taken in event-time order within a micro-batch. Output: event_id, key, is_miss.
 
-    With ``expire`` (needs a watermark on ``ts``) a key's state goes once the
-    watermark passes its last miss plus the ttl, when it can tell nothing any more.
+    With ``expire`` (needs a watermark on ``ts``) a key goes once the watermark
+    passes its last miss plus the ttl, when it can tell nothing any more.
     """
     import pandas as pd
 
-    def fn(k, pdfs, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        last = state.get[0] if state.exists else None
-        out = []
-        for pdf in pdfs:
-            out.append(pdf)
-        if not out:
-            return
-        pdf = pd.concat(out).sort_values(["_s", "event_id"])
-        flags = []
-        for s in pdf["_s"].to_numpy():
-            miss = last is None or s >= last + ttl_seconds
-            if miss:
-                last = float(s)
-            flags.append(bool(miss))
-        state.update((last,))
+    def fn(bucket, pdfs, state):
+        last = dict(zip(*state.get, strict=True)) if state.exists else {}
+        if not state.hasTimedOut:
+            pdf = pd.concat(list(pdfs)).sort_values(["_s", "event_id"])
+            flags = []
+            for k, s in zip(pdf["key"].tolist(), pdf["_s"].tolist(), strict=True):
+                before = last.get(k)
+                miss = before is None or s >= before + ttl_seconds
+                if miss:
+                    last[k] = s
+                flags.append(miss)
+            yield pd.DataFrame({"event_id": pdf["event_id"].to_numpy(), "key": pdf["key"].to_numpy(), "is_miss": flags})
+        if expire:
+            now = state.getCurrentWatermarkMs()
+            last = {k: s for k, s in last.items() if (s + ttl_seconds) * 1000 > now}
+            if not last:
+                state.remove()
+                return
+        state.update((list(last), list(last.values())))
         if expire:
-            state.setTimeoutTimestamp(max(int((last + ttl_seconds) * 1000), state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"event_id": pdf["event_id"].to_numpy(), "key": k[0], "is_miss": flags})
+            state.setTimeoutTimestamp(max(int((min(last.values()) + ttl_seconds) * 1000), now + 1))
 
     e = events.select("event_id", F.col(key).alias("key"), F.col(ts),
-                      (F.unix_micros(F.col(ts).cast("timestamp")) / 1e6).alias("_s"))
-    return e.groupBy("key").applyInPandasWithState(
+                      (F.unix_micros(F.col(ts).cast("timestamp")) / 1e6).alias("_s"),
+                      F.pmod(F.xxhash64(key), F.lit(DEDUP_BUCKETS)).cast("int").alias("_bucket"))
+    return e.groupBy("_bucket").applyInPandasWithState(
         fn, "event_id long, key string, is_miss boolean", DEDUP_STATE.simpleString(), "append",
         "EventTimeTimeout" if expire else "NoTimeout")
 
