@@ -5,7 +5,8 @@ Scale notes
 * BM25: documents are dealt out by id, tokenised once and kept as counts of the
   query terms. Up to a measured number of query terms, each partition multiplies its
   counts with the terms' weights in tiles and sends at most k rows per query; beyond
-  it, or where ids repeat, postings and weights are joined. A hot term is no hot task.
+  it postings and weights are joined. Counts of ids that repeat are put together
+  first, as the joins do. A hot term is no hot task.
 * Vector top-k: the corpus stays partitioned; each partition scores the query
   vectors in tiles and emits at most k rows per query, ties cut by id; two
   levels of per-query top-k merge the partial lists. Queries are broadcast after
@@ -154,7 +155,7 @@ def bm25_scores(docs: DataFrame, queries: DataFrame, k1: float = BM25_K1, b: flo
 
 
 def _joined_scores(docs: DataFrame, queries: DataFrame, k1: float, b: float) -> DataFrame:
-    """The scores by joins of postings and weights: for any number of query terms, and for ids that repeat."""
+    """The scores by joins of postings and weights: for any number of query terms."""
     # tokenised once: the corpus size, the mean length and the postings all read it
     toks = spread_by_id(docs).select("property_id", tokenize(F.col("searchable_text")).alias("tokens")) \
         .persist(StorageLevel.MEMORY_AND_DISK)
@@ -209,7 +210,8 @@ class _Weights:
 def _counted(docs: DataFrame, queries: DataFrame, k1: float, b: float, carry: list[str]) -> tuple[DataFrame, _Weights] | None:
     """Listings (property_id, dl, ``carry``) with their counts of the query terms, kept, and the terms' weights.
 
-    None where there are no or too many query terms to send to every task, or an id is null or repeats.
+    None where there are no or too many query terms to send to every task, or a query's id is null or repeats.
+    Where a listing's id is null or repeats, ``_by_id`` puts the counts together.
     """
     spark = docs.sparkSession
     qterms = query_terms(queries)
@@ -222,17 +224,35 @@ def _counted(docs: DataFrame, queries: DataFrame, k1: float, b: float, carry: li
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in toks.drop("tokens").schema)
     counts = toks.mapInArrow(_count(spark.sparkContext.broadcast(terms)), f"{kept}, terms array<int>, tfs array<int>").persist(StorageLevel.MEMORY_AND_DISK)
     n_docs, avgdl = counts.agg(F.count(F.lit(1)), F.avg("dl")).first()
-    if not counts.groupBy("property_id").count().filter((F.col("count") > 1) | F.col("property_id").isNull()).isEmpty():
-        counts.unpersist()
-        return None
+    again = counts.groupBy("property_id").count().filter((F.col("count") > 1) | F.col("property_id").isNull()).select("property_id")
+    listings = counts
+    if not again.isEmpty():
+        counts = _by_id(counts, again, carry).persist(StorageLevel.MEMORY_AND_DISK)
     df = counts.select(F.explode("terms").alias("term")).groupBy("term").count().toPandas()  # at most the query terms
     idf = np.zeros(len(terms))
     idf[df["term"].to_numpy(dtype=np.int64)] = np.log(1.0 + (n_docs - df["count"].to_numpy(dtype=np.float64) + 0.5) / (df["count"].to_numpy(dtype=np.float64) + 0.5))
     query, term = np.searchsorted(names, pairs["query_id"].to_numpy().astype(object)), np.searchsorted(terms, pairs["term"].to_numpy().astype(object))
     order = np.lexsort((term, query))
+    if counts is not listings:
+        both = counts.filter("_again").drop("_again", *carry)
+        counts = counts.filter(~F.col("_again")).drop("_again").unionByName(both.join(listings.select("property_id", *carry), "property_id", "left") if carry else both)
     return counts, _Weights(names, query[order], term[order], idf[term[order]], len(terms), avgdl or 1.0, k1, b)
 
 
+def _by_id(counts: DataFrame, again: DataFrame, carry: list[str]) -> DataFrame:
+    """``counts`` with one row for an id of ``again`` (marked ``_again``, without its ``carry``): as in the joins, a term counts
+    once for each length of the id's texts. ``dl`` becomes a list beside ``terms``."""
+    def met(how):
+        return counts.join(again.withColumnRenamed("property_id", "_id"), F.col("property_id").eqNullSafe(F.col("_id")), how)
+
+    once = met("left_anti").withColumns({"dl": F.array_repeat("dl", F.size("terms")), "_again": F.lit(False)})
+    tf = met("left_semi").select("property_id", "dl", F.explode(F.arrays_zip("terms", "tfs")).alias("c"))
+    tf = tf.groupBy("property_id", "dl", F.col("c.terms").alias("term")).agg(F.sum("c.tfs").cast("int").alias("tf"))
+    both = tf.groupBy("property_id").agg(F.collect_list(F.struct("dl", "term", "tf")).alias("c"))  # the terms of an id's texts
+    both = both.select("property_id", F.col("c.dl").alias("dl"), F.col("c.term").alias("terms"), F.col("c.tf").alias("tfs"), F.lit(True).alias("_again"))
+    return once.unionByName(both, allowMissingColumns=True)
+
+
 def _count(side):
     """Arrow body: tokens of a listing -> the numbers of the query terms among them and how often each occurs."""
     def count(batches):
@@ -258,8 +278,9 @@ def _tiles(batch, w: _Weights):
     terms, tfs = batch.column("terms"), batch.column("tfs")
     size = pc.list_value_length(terms).to_numpy(zero_copy_only=False)
     term, tf, row = terms.flatten().to_numpy(), tfs.flatten().to_numpy().astype(np.float64), np.repeat(np.arange(batch.num_rows), size)
-    dl = batch.column("dl").to_numpy(zero_copy_only=False).astype(np.float64)
-    part = tf * (w.k1 + 1) / (tf + w.k1 * ((1.0 - w.b) + w.b * dl[row] / w.avgdl))
+    dl = batch.column("dl")
+    dl = (dl.flatten() if pa.types.is_list(dl.type) else dl.take(pa.array(row))).to_numpy(zero_copy_only=False).astype(np.float64)
+    part = tf * (w.k1 + 1) / (tf + w.k1 * ((1.0 - w.b) + w.b * dl / w.avgdl))
     place = np.empty(w.n_terms, dtype=np.int64)
     for first, last, mine, span in w.tiles():
         place[:] = -1
@@ -273,8 +294,8 @@ def _tiles(batch, w: _Weights):
         for s in range(0, len(rows), step):
             lo, hi = np.searchsorted(at, [s, s + step])
             some = held[lo:hi]
-            tile = np.zeros((min(step, len(rows) - s), len(mine)))
-            tile[at[lo:hi] - s, col[some]] = part[some]
+            shape = min(step, len(rows) - s), len(mine)
+            tile = np.bincount((at[lo:hi] - s) * len(mine) + col[some], weights=part[some], minlength=shape[0] * shape[1]).reshape(shape)
             yield first, rows[s:s + step], np.ascontiguousarray((tile @ weight).T)
 
 
@@ -304,7 +325,7 @@ class _Leaders:
         self.limit[i] = max(kth - NEAR, self.limit[i])
         keep = list(np.flatnonzero(d > kth + NEAR))
         seen: dict[float, int] = {}
-        for j in sorted(np.flatnonzero(np.abs(d - kth) <= NEAR), key=lambda j: p[j]):
+        for j in sorted(np.flatnonzero(np.abs(d - kth) <= NEAR), key=lambda j: (p[j] is not None, p[j] or "")):  # nulls first, as Spark has them
             seen[d[j]] = seen.get(d[j], 0) + 1
             if seen[d[j]] <= self.k:
                 keep.append(j)

@@ -42,6 +42,26 @@ def test_tiles_give_the_rows_of_the_joins(spark, monkeypatch, more):
     assert got == {(r.query_id, r.property_id, round(r.bm25, 9)) for r in rt._joined_scores(docs, queries, rt.BM25_K1, rt.BM25_B).collect()}
 
 
+MORE_IDS = [("P1", "red red sea", 1, "1K", 1, True, 1), ("P1", "red house", 9, "2K", 2, False, 3), ("P2", "red", 1, "1K", 1, True, 1), ("P2", "red", 1, "1K", 1, True, 1),
+            (None, "red house", 1, "1K", 1, True, 1), (None, "quiet old red", 2, "1K", 2, False, 2), (" ", "red house red", 1, "1K", 1, True, 1), (" ", None, 1, None, 1, True, 1)]
+
+
+@pytest.mark.parametrize("more", [MORE_IDS, MORE_IDS[:2], MORE_IDS[4:5], [(f"P{i}", "red sea " * (i % 3), i, "1K", i, True, i) for i in range(0, 300, 2)]])
+def test_ids_that_repeat_are_scored_in_tiles(spark, monkeypatch, more):
+    """Ids that repeat or are null take no join of postings with the queries' weights, and give its rows."""
+    docs, queries = _tables(spark, more)
+    expected, scores = _rows(_by_joins(docs, queries, 9)), {(r.query_id, r.property_id, round(r.bm25, 9)) for r in rt._joined_scores(docs, queries, rt.BM25_K1, rt.BM25_B).collect()}
+
+    def joined(*_):
+        raise AssertionError("postings are joined")
+    monkeypatch.setattr(rt, "_joined_scores", joined)
+    monkeypatch.setattr(rt, "TILE_CELLS", 20)
+    hits = rt.bm25_topk(docs, queries, 9)
+    assert _rows(hits) == expected and hits.count() > 30
+    got = [(r.query_id, r.property_id, round(r.bm25, 9)) for r in rt.bm25_scores(docs, queries).collect()]
+    assert set(got) == scores and len(got) == len(scores)
+
+
 def test_postings_meet_no_join(spark):
     """A task's work on a listing is its counts times the weights, and it sends on no more than k rows for each query."""
     docs, queries = _tables(spark)
