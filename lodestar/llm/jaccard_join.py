@@ -198,10 +198,10 @@ def buckets(vertices: DataFrame) -> DataFrame:
         final = F.col("size") <= BUCKET
         ready = as_bucket(nodes if depth == MAX_DEPTH else nodes.where(final))
         done = ready if done is None else done.unionByName(ready)
-        more = nodes.where(~final)
+        more = nodes.where(~final).select("node", "k", "size")  # without the parent of its own, which the next level's would clash with
         if depth == MAX_DEPTH or more.isEmpty():
             break
-        nodes = _split(more.select("node", "k", "size"), vertices, depth + 1)
+        nodes = _split(more, vertices, depth + 1)
         nodes = nodes.join(nodes.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "node").checkpoint()
         whole = nodes.where(2 * F.col("size") >= F.col("parent_size")).select("parent").distinct().checkpoint()
         done = done.unionByName(as_bucket(more.join(whole, F.col("node") == F.col("parent"), "left_semi")))

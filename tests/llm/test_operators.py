@@ -408,6 +408,18 @@ def test_jaccard_join_loses_no_link(spark, monkeypatch, bucket):
     assert by_row(jaccard_join.join_documents(d), "doc_id", "class_id", "n_links") == slow_classes(rows)
 
 
+def test_jaccard_buckets_split_to_the_last_level(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BUCKET", 8)
+    monkeypatch.setattr(jaccard_join, "RUNS", 1)
+    asked, split = [], jaccard_join._split
+    monkeypatch.setattr(jaccard_join, "_split", lambda members, vertices, depth: asked.append(depth) or split(members, vertices, depth))
+    rng = np.random.default_rng(1)
+    rows = [(i, bytearray(rng.integers(0, 3, jaccard_join.T).astype(np.uint16).tobytes())) for i in range(1500)]
+    spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
+    got = jaccard_join.buckets(spark.createDataFrame(rows, "k long, sig binary")).collect()
+    assert asked == [3, 4, 5, 6] and collections.Counter(r["bucket"] for r in got) == {r["bucket"]: r["size"] for r in got}
+
+
 def test_first_of_each(docs, empty):
     kept = jaccard_join.first_of_each(docs)
     classes = slow_classes(texts())
