@@ -7,10 +7,12 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -420,6 +422,66 @@ def test_jaccard_buckets_split_to_the_last_level(spark, monkeypatch):
     assert asked == [3, 4, 5, 6] and collections.Counter(r["bucket"] for r in got) == {r["bucket"]: r["size"] for r in got}
 
 
+def test_jaccard_join_compares_long_texts_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "SLICE", 64)  # blocks of large texts take theirs in many slices, small ones in few
+    monkeypatch.setattr(jaccard_join, "RUNS", 24)
+    rows = near_rows()
+    for c in range(8):
+        w = prose(900, 700).split()
+        for i in range(c):
+            w[97 * i % 700] = f"other{c}"
+        rows.append((9000 + c, " ".join(w)))
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert by_row(jaccard_join.join_documents(d), "doc_id", "class_id", "n_links") == slow_classes(rows)
+
+
+def test_jaccard_block_holds_one_slice_at_a_time():
+    rng, n, slices, each = np.random.default_rng(4), 60, 64, 400
+    base = np.sort(rng.integers(-2**63, 2**63, size=slices * each))
+    sets = [np.where(rng.random(len(base)) < 0.03, rng.integers(-2**63, 2**63, size=len(base)), base) for _ in range(n)]
+    parts = [[np.unique(s[each * i:each * (i + 1)]) for s in sets] for i in range(slices)]
+    size = [sum(len(p[i]) for p in parts) for i in range(n)]
+
+    def batches():
+        for i, lists in enumerate(parts):
+            at = np.r_[0, np.cumsum([len(x) for x in lists])]
+            yield pa.RecordBatch.from_pydict({
+                "bucket": pa.array([1] * n, pa.int64()), "a": pa.array([0] * n, pa.int32()), "b": pa.array([0] * n, pa.int32()), "own": pa.array([0] * n, pa.int32()),
+                "k": pa.array(range(n), pa.int64()), "buckets": pa.array([[1] if i == 0 else None] * n, pa.list_(pa.int64())), "size": pa.array(size, pa.int64()),
+                "slice": pa.array([i] * n, pa.int64()), "cut": pa.array([i] * n, pa.int64()), "shingles": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(lists)))})
+
+    found = None
+    tracemalloc.start()
+    for g in jaccard_join._groups(batches(), [*jaccard_join._BLOCK, "slice"]):
+        block = found = found or jaccard_join._Block(g)
+        block.add(g)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    whole = [set(np.concatenate([p[i] for p in parts]).tolist()) for i in range(n)]
+    want = [sum(len(a & b) >= 0.8 * len(a | b) for j, b in enumerate(whole) if i != j) for i, a in enumerate(whole)]
+    out = list(block.found())
+    assert dict(zip(out[0]["k"].to_pylist(), out[0]["n_links"].to_pylist())) == {i: x for i, x in enumerate(want) if x}
+    assert peak < 8 * sum(size) / 2  # bytes: half of what all shingles take alone
+
+
+@pytest.mark.parametrize("dense", [True, False])
+def test_jaccard_block_counts_what_pairs_share(monkeypatch, dense):
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 90, size=rng.integers(1, 60))) for _ in range(40)]
+    at = np.r_[0, np.cumsum([len(x) for x in sets])]
+    n = len(sets)
+    g = pa.table({"bucket": pa.array([1] * n, pa.int64()), "a": pa.array([0] * n, pa.int32()), "b": pa.array([0] * n, pa.int32()), "own": pa.array([0] * n, pa.int32()), "k": pa.array(range(n), pa.int64()),
+                  "buckets": pa.array([[1]] * n, pa.list_(pa.int64())), "size": pa.array([100] * n, pa.int64()), "shingles": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(sets)))})
+    monkeypatch.setattr(jaccard_join, "COLUMNS", 7)
+    block = jaccard_join._Block(g)
+    one, many = block._one_by_one, block._by_products
+    block._by_products = many if dense else lambda c, v, w: one(c, v, w, np.bincount(v, minlength=n))
+    block._one_by_one = one if not dense else lambda c, v, w, own: many(c, v, w)
+    block.add(g)
+    for i in range(n):
+        assert [block.common[i, j] for j in range(i + 1, n)] == [len(np.intersect1d(sets[i], sets[j])) for j in range(i + 1, n)]
+
+
 def test_first_of_each(docs, empty):
     kept = jaccard_join.first_of_each(docs)
     classes = slow_classes(texts())
