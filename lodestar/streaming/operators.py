@@ -126,8 +126,8 @@ def behaviour_window(events: DataFrame, size: str = "28 days", slide: str = "1 d
                      ts: str = "ts") -> DataFrame:
     """STR-09: rolling impression and action counts per listing, sliding windows; batch or stream.
 
-    Events are counted per listing and slide first. On a stream a listing's counts
-    are one state, see ``_rolling_stream``. In a batch they are dealt out by
+    Events are counted per listing and slide first. On a stream a bucket of listings'
+    counts are one state, see ``_rolling_stream``. In a batch they are dealt out by
     listing and summed along its time as changes; every window with an event is
     then made once, with no row to sort or sum for each event and window.
     In a batch a listing has one row per slide, so a hot one is no hot task.
@@ -152,67 +152,87 @@ def behaviour_window(events: DataFrame, size: str = "28 days", slide: str = "1 d
     return spread.select("window_start", (F.col("window_start") + whole).alias("window_end"), "property_id", *kinds.values())
 
 
-ROLLING_STATE = "days binary, counts binary, done bigint"  # numbers of the slides with events, their counts, the last window emitted
+#: Listings, the slides of each that have events with their counts (packed, see ``_rolling_stream``), the last window emitted.
+ROLLING_STATE = "listings array<string>, slides binary, done bigint"
+#: Listings share so many states: a state costs a Python call of milliseconds in each micro-batch that meets it.
+ROLLING_BUCKETS = 2048
 
 
 def _rolling_stream(events: DataFrame, kinds: dict[str, str], size: str, slide: str, ts: str) -> DataFrame:
-    """``behaviour_window`` of a stream with a watermark: a listing's counts per slide are one state.
+    """``behaviour_window`` of a stream with a watermark: the counts per slide of a bucket of listings are one state.
 
-    An event changes its listing's state, not one for each window that holds it. Once
+    An event changes its listing's counts, not one row for each window that holds it. Once
     the watermark passes the end of a window it is final: the state hands on the
-    stretches of such windows with equal counts, which become a row a window after
-    it, and forgets the slides that no later window holds. A row is late when its
-    whole slide is. A listing's new events of a micro-batch are counted in one task,
-    a piece at a time.
+    stretches of such windows with equal counts of a listing, which become a row a window after
+    it, and forgets the slides that no later window holds and the listings without any. A row is
+    late when its whole slide is. A bucket's new events of a micro-batch are counted in one task,
+    a piece at a time; its state is a compressed table of (listing, slide, counts).
     """
+    import zlib
+
     import numpy as np
     import pandas as pd
 
     step, whole = (int(pd.Timedelta(x).value // 1000) for x in (slide, size))  # microseconds
     per, names = whole // step, list(kinds.values())
 
-    def summed(days, counts):
-        days, at = np.unique(days, return_inverse=True)
-        out = np.zeros((len(days), counts.shape[1]), dtype=np.int64)
-        np.add.at(out, at, counts)
-        return days, out
+    def summed(who, days, counts):
+        """One row for each listing and day, in this order."""
+        order = np.lexsort((days, who))
+        who, days, counts = who[order], days[order], counts[order]
+        heads = np.flatnonzero(np.r_[True, (who[1:] != who[:-1]) | (days[1:] != days[:-1])][: len(who)])
+        return who[heads], days[heads], np.add.reduceat(counts, heads, axis=0) if len(heads) else counts
 
     def fn(key, pdfs, state):
-        days, counts, done = np.zeros(0, np.int64), np.zeros((0, len(names)), np.int64), None
+        listings, who, days, counts, done = [], np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, len(names)), np.int64), None
         if state.exists:
-            d, c, done = state.get
-            days, counts = np.frombuffer(d, np.int64), np.frombuffer(c, np.int64).reshape(-1, len(names))
+            listings, packed, done = state.get
+            table = np.frombuffer(zlib.decompress(packed), np.int64).reshape(2 + len(names), -1)
+            listings, who, days, counts = list(listings), table[0], table[1], table[2:].T
         if not state.hasTimedOut:
+            number = {x: i for i, x in enumerate(listings)}
             for pdf in pdfs:
+                codes, found = pd.factorize(pdf["property_id"], use_na_sentinel=False)
+                at = np.array([number.setdefault(None if pd.isna(x) else x, len(number)) for x in found], dtype=np.int64)[codes]
                 kind = pdf["_kind"].to_numpy()[:, None] == np.arange(len(names))
-                days, counts = summed(np.concatenate([days, pdf["_day"].to_numpy()]), np.concatenate([counts, kind.astype(np.int64)]))
+                who, days, counts = summed(np.concatenate([who, at]), np.concatenate([days, pdf["_day"].to_numpy()]), np.concatenate([counts, kind.astype(np.int64)]))
+            listings = list(number)
         now = state.getCurrentWatermarkMs()
         last = now * 1000 // step - per  # the last window that is final
         if len(days):
+            # an event comes before its windows are final, so ``done`` of the bucket holds for a new listing too
             first = days - per + 1 if done is None else np.maximum(days - per + 1, done + 1)
             opens, ends = first <= last, days < last
             both = np.column_stack([counts, np.ones(len(days), np.int64)])  # the last column: slides with events
-            at, change = summed(np.concatenate([first[opens], days[ends] + 1]), np.concatenate([both[opens], -both[ends]]))
-            sums, until = change.cumsum(axis=0), np.append(at[1:], last + 1)
-            held = sums[:, -1] > 0
-            if held.any():
-                yield pd.DataFrame({"property_id": [key[0]] * int(held.sum()), "_from": at[held] * step, "_until": until[held] * step,
-                                    **{c: sums[held, i] for i, c in enumerate(names)}})
-            days, counts = days[days > last], counts[days > last]
+            of, at, change = summed(np.concatenate([who[opens], who[ends]]), np.concatenate([first[opens], days[ends] + 1]), np.concatenate([both[opens], -both[ends]]))
+            if len(of):
+                heads = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+                sums = change.cumsum(axis=0)
+                sums = sums - np.repeat((sums - change)[heads], np.diff(np.r_[heads, len(of)]), axis=0)  # each listing from nothing
+                until = np.r_[at[1:], last + 1]
+                until[np.r_[heads[1:] - 1, len(of) - 1]] = last + 1
+                held = (sums[:, -1] > 0) & (until > at)
+                if held.any():
+                    yield pd.DataFrame({"property_id": np.array(listings, dtype=object)[of[held]], "_from": at[held] * step, "_until": until[held] * step,
+                                        **{c: sums[held, i] for i, c in enumerate(names)}})
+            left = days > last
+            used, who = np.unique(who[left], return_inverse=True)
+            listings, days, counts = [listings[i] for i in used], days[left], counts[left]
             done = last if done is None else max(done, last)
         if not len(days):
             state.remove()
             return
-        state.update((days.tobytes(), counts.tobytes(), int(done)))
-        closes = (max(int(days[0]) - per + 1, done + 1) + per) * step // 1000
+        state.update((listings, zlib.compress(np.vstack([who, days, counts.T]).astype(np.int64).tobytes(), 1), int(done)))
+        closes = (max(int(days.min()) - per + 1, done + 1) + per) * step // 1000
         state.setTimeoutTimestamp(max(closes - 1, now + 1))
 
     kind = F.lit(-1)
     for i, a in enumerate(kinds):
         kind = F.when(F.col("action") == a, F.lit(i)).otherwise(kind)
     slides = events.select("property_id", kind.alias("_kind"), F.window(ts, slide).alias("w"))
-    numbered = slides.select("property_id", "_kind", F.expr(f"unix_micros(w.start) div {step}").alias("_day"), F.window_time("w").alias("_time"))
-    runs = numbered.groupBy("property_id").applyInPandasWithState(
+    bucket = F.pmod(F.xxhash64("property_id"), F.lit(ROLLING_BUCKETS)).cast("int").alias("_bucket")
+    numbered = slides.select(bucket, "property_id", "_kind", F.expr(f"unix_micros(w.start) div {step}").alias("_day"), F.window_time("w").alias("_time"))
+    runs = numbered.groupBy("_bucket").applyInPandasWithState(
         fn, "property_id string, _from bigint, _until bigint, " + ", ".join(f"{c} bigint" for c in names), ROLLING_STATE, "append", "EventTimeTimeout")
     windows = runs.select(F.explode(F.sequence("_from", F.col("_until") - step, F.lit(step).cast("bigint"))).alias("_at"), "property_id", *names)
     return windows.select(F.timestamp_micros("_at").alias("window_start"), F.timestamp_micros(F.col("_at") + whole).alias("window_end"), "property_id", *names)

@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from lodestar.sources import fixtures as fx
@@ -209,6 +210,32 @@ def test_rolling_stream_over_many_batches(spark, tmp_dir):
     assert max(held) <= 7 and held[-1] <= 1
 
 
+@pytest.mark.parametrize("buckets", [1, 3])
+def test_rolling_stream_keeps_many_listings_in_few_states(spark, tmp_dir, monkeypatch, buckets):
+    """The rows of the batch, with fewer states than listings: new, quiet, returning and null listings share one."""
+    import random
+    monkeypatch.setattr(so, "ROLLING_BUCKETS", buckets, raising=False)
+    rnd, files = random.Random(7), []
+    for part in range(6):
+        days = range(14 * part, 14 * part + 14)
+        ids = [*(f"P{k}" for k in range(5 * (part % 4), 5 * (part % 4) + 9)), None]
+        files.append([(rnd.choice(ids), rnd.choice(["impression", "click", "inquiry", "view"]), d * 86400 + rnd.randrange(86400)) for d in days for _ in range(5)])
+    files += [[("FLUSH", "view", 10 ** 9)], [("FLUSH", "view", 2 * 10 ** 9)]]
+    for i, part in enumerate(files):
+        (spark.createDataFrame(part, "property_id string, action string, s long").select("property_id", "action", F.timestamp_seconds("s").alias("ts"))
+         .coalesce(1).write.parquet(f"{tmp_dir}/in/part={i:02d}"))
+    stream = spark.readStream.schema("property_id string, action string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(f"{tmp_dir}/in/*")
+    name = f"rolling_few_{buckets}"
+    q = so.behaviour_window(stream.withWatermark("ts", "10 minutes")).writeStream.format("memory").queryName(name).outputMode("append").start()
+    q.processAllAvailable()
+    held = [sum(o["numRowsTotal"] for o in p["stateOperators"]) for p in q.recentProgress]
+    q.stop()
+    real = "property_id IS DISTINCT FROM 'FLUSH'"
+    got, want = spark.table(name).filter(real), so.behaviour_window(spark.read.parquet(f"{tmp_dir}/in").filter(real).select("property_id", "action", "ts"))
+    assert got.count() == want.count() > 800 and got.exceptAll(want).count() == 0
+    assert max(held) <= buckets
+
+
 def test_attribution_replay_arrives_in_stretches_of_time(spark, tmp_dir, monkeypatch):
     """Many stretches give the rows of the batch join, and each holds a bounded number of rows, later than the one before."""
     from lodestar.plans import q_streaming as q
