@@ -287,9 +287,9 @@ def _with_partner(rows: DataFrame) -> DataFrame:
     def keep(parts):
         for g in _groups(parts, _BLOCK):
             if g.num_rows > 1:
-                pairs = _owned(g)
-                if pairs.any():
-                    pairs &= _agreeing(g) >= MIN_AGREEING
+                pairs = np.triu(_agreeing(g) >= MIN_AGREEING, 1)
+                if pairs.any():  # few blocks, most of them of a common passage, must look up who judges a pair
+                    pairs &= _owned(g)
                     left = np.flatnonzero(pairs.any(axis=0) | pairs.any(axis=1))
                     if len(left):
                         slices = slices_of(int(g.column("n").to_numpy()[left].sum()), SLICE)
